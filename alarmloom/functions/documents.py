@@ -6,6 +6,8 @@ key with a value. VARIANT keeps them apart; a declared `from_json` struct would
 
 from pyspark.sql import Column, functions as F
 
+JSON_BLANKS = " \t\r\n"
+
 
 def path(key: str) -> str:
     if '"' in key or "\\" in key:
@@ -13,26 +15,42 @@ def path(key: str) -> str:
     return f'$["{key}"]'
 
 
-def parse_object(text: Column) -> Column:
-    """The text as a VARIANT object; NULL if it is not JSON or is JSON of another kind."""
-    doc = F.try_parse_json(text)
-    return F.when(F.schema_of_variant(doc).startswith("OBJECT<"), doc)
+def object_or_none(text: Column) -> Column:
+    """Array with the parsed object, or an empty array if the text is not a JSON object.
+
+    Meant for `explode_outer`: the generator evaluates the parser once per row, while a plain
+    parsed column would be parsed again in every filter on it.
+    """
+    is_object = F.ltrim(text, F.lit(JSON_BLANKS)).startswith("{")
+    return F.filter(F.array(F.try_parse_json(text)), lambda doc: doc.isNotNull() & is_object)
 
 
 def field(doc: Column, key: str) -> Column:
     return F.try_variant_get(doc, path(key), "variant")
 
 
+def value_text(value: Column) -> Column:
+    """A VARIANT value as text: `null` for JSON null, NULL for no value."""
+    return F.coalesce(
+        F.try_variant_get(value, "$", "string"),
+        F.when(F.is_variant_null(value), F.lit("null")),
+    )
+
+
 def field_text(doc: Column, key: str) -> Column:
-    """Value as text, the word `null` for JSON null, NULL for an absent key."""
     return F.coalesce(
         F.try_variant_get(doc, path(key), "string"),
         F.when(F.is_variant_null(field(doc, key)), F.lit("null")),
     )
 
 
-def field_or(doc: Column, key: str, default: str) -> Column:
-    return F.coalesce(field_text(doc, key), F.lit(default))
+def members(doc: Column, keys: list[str], lists: list[str] = ()) -> Column:
+    """The listed keys as a struct of VARIANT values, found in one walk through the object.
+
+    `lists` are taken as arrays of VARIANT, NULL where the key holds something else.
+    """
+    fields = [f"`{key}`: variant" for key in keys] + [f"`{key}`: array<variant>" for key in lists]
+    return F.try_variant_get(doc, "$", f"struct<{', '.join(fields)}>")
 
 
 def integer_code(doc: Column, key: str) -> Column:
@@ -44,8 +62,8 @@ def integer_code(doc: Column, key: str) -> Column:
 
 
 def has_value(doc: Column, key: str) -> Column:
-    value = field(doc, key)
-    return value.isNotNull() & ~F.is_variant_null(value)
+    """The key is there and does not hold JSON null."""
+    return F.try_variant_get(doc, path(key), "string").isNotNull()
 
 
 def object_list(doc: Column, key: str) -> Column:

@@ -35,21 +35,21 @@ GENERATIONS = {
 
 
 def explode_alarms(parsed: DataFrame, generation: int = 2) -> DataFrame:
-    """Repeat the message header for each nested alarm; an empty list gives no row.
+    """Repeat the message header for each nested alarm; an empty or missing list gives no row.
 
     Header fields are read before the explode, so that no alarm carries its whole message along.
     """
-    header = [
-        documents.field_text(F.col("doc"), key).alias(key) for key in HEADER_KEYS + TRAILER_KEYS
-    ]
-    alarms = parsed.select(
-        "topic",
-        "partition",
-        "offset",
-        "event_ts",
-        *header,
-        F.posexplode(documents.object_list(F.col("doc"), ALARM_LIST_KEY)).alias("pos", "alarm"),
+    keys = HEADER_KEYS + TRAILER_KEYS
+    source = ["topic", "partition", "offset", "event_ts"]
+    found = parsed.select(
+        *source, documents.members(F.col("doc"), keys, [ALARM_LIST_KEY]).alias("m")
+    )
+    header = found.select(
+        *source,
+        *[documents.value_text(F.col(f"m.{key}")).alias(key) for key in keys],
+        F.col(f"m.{ALARM_LIST_KEY}").alias("alarms"),
     )
+    alarms = header.select(*source, *keys, F.posexplode("alarms").alias("pos", "alarm"))
     level = GENERATIONS[generation].event_level
     return alarms.withColumns(
         {

@@ -29,32 +29,39 @@ def fixed_projection(
     NULL (bracketed vendor alerts) the document decides.
     """
 
+    stamps = [name for name in stamped if name in parsed.columns]
+    found = parsed.select(*stamps, documents.members(F.col("doc"), columns).alias("m"))
+
     def value(name):
-        own = documents.field_text(F.col("doc"), name)
-        parts = [F.col(name)] if name in stamped and name in parsed.columns else []
+        own = documents.value_text(F.col(f"m.`{name}`"))
+        parts = [F.col(name)] if name in stamps else []
         return F.coalesce(*parts, own, F.lit(DEFAULT)).alias(name)
 
-    return parsed.select(*[value(name) for name in columns])
+    return found.select(*[value(name) for name in columns])
 
 
 def _or_default(name: str, default: str = DEFAULT) -> Column:
     return F.coalesce(F.col(name), F.lit(default)).alias(name)
 
 
+def _with_body(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("body", documents.members(F.col("alarm"), BODY_KEYS))
+
+
 def _body(classified: bool) -> list[Column]:
     """Declared alarm keys; a key the alarm does not have stays NULL."""
+
+    def own(key):
+        return documents.value_text(F.col(f"body.{key}"))
+
     replaced = {}
     if classified:
-        own = documents.field_text(F.col("alarm"), DESCRIPTION_KEY)
         replaced = {
             MODULE_KEY: F.col("module_label"),
             TYPE_KEY: F.col("type_label"),
-            DESCRIPTION_KEY: F.coalesce(F.col(DESCRIPTION_KEY), own),
+            DESCRIPTION_KEY: F.coalesce(F.col(DESCRIPTION_KEY), own(DESCRIPTION_KEY)),
         }
-    return [
-        replaced.get(key, documents.field_text(F.col("alarm"), key)).alias(key)
-        for key in BODY_KEYS
-    ]
+    return [replaced.get(key, own(key)).alias(key) for key in BODY_KEYS]
 
 
 def _extras() -> Column:
@@ -67,7 +74,7 @@ def _extras() -> Column:
 def alarm_row(rows: DataFrame, ids: list[str], links: list[str], extras: bool = True) -> DataFrame:
     """Header, link columns (`pid`, `size`, ...), body, trailer and unknown keys of classified alarms."""
     defaults = {"event_level": "0", "disposetime": "1", "size": "1"}
-    return rows.select(
+    return _with_body(rows).select(
         *[_or_default(name) for name in ids],
         *[_or_default(name) for name in HEADER_KEYS],
         *[
@@ -105,7 +112,7 @@ def summary_rows(rows: DataFrame, generation: int = 2, extras: bool = True) -> D
 
 def report_rows(alarms: DataFrame, extras: bool = True) -> DataFrame:
     """Raw alarms, not classified: no ids, `reserved` always `-1`."""
-    return alarms.withColumn("reserved", F.lit(DEFAULT)).select(
+    return _with_body(alarms).withColumn("reserved", F.lit(DEFAULT)).select(
         *[_or_default(name) for name in HEADER_KEYS],
         *_body(classified=False),
         *[_or_default(name) for name in TRAILER_KEYS],

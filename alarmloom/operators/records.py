@@ -21,11 +21,17 @@ def with_event_time(messages: DataFrame, clock: str = "arrival") -> DataFrame:
     raise ValueError(f"unknown clock: {clock}")
 
 
+def _with_document(messages: DataFrame, text: Column, clock: str) -> DataFrame:
+    """Add `event_ts` and `doc`, NULL where the text is no JSON object."""
+    timed = with_event_time(messages, clock)
+    return timed.select(
+        *timed.columns, F.explode_outer(documents.object_or_none(text)).alias("doc")
+    )
+
+
 def parse_alarm_messages(messages: DataFrame, clock: str = "arrival") -> DataFrame:
     """Add `doc` (VARIANT object) and `reject_reason` (NULL for a usable message)."""
-    parsed = with_event_time(drop_empty(messages), clock).withColumn(
-        "doc", documents.parse_object(F.col("value"))
-    )
+    parsed = _with_document(drop_empty(messages), F.col("value"), clock)
     return parsed.withColumn(
         "reject_reason",
         F.when(F.col("doc").isNull(), F.lit("malformed")).when(
@@ -35,10 +41,7 @@ def parse_alarm_messages(messages: DataFrame, clock: str = "arrival") -> DataFra
 
 
 def _parse_lines(lines: DataFrame, repaired: Column, clock: str) -> DataFrame:
-    parsed = with_event_time(lines, clock).withColumn(
-        "doc", F.when(F.col("value") != "", documents.parse_object(repaired))
-    )
-    return parsed.withColumn(
+    return _with_document(lines, repaired, clock).withColumn(
         "reject_reason",
         F.when(F.col("value").isNull() | (F.col("value") == ""), F.lit("empty")).when(
             F.col("doc").isNull(), F.lit("malformed")

@@ -31,7 +31,7 @@ METADATA_KEYS = ["device_id", "sess_id", "uri", "content_length ", "sip", "file_
 def _alarms(spark, sf_dir, generation=2, **sample):
     messages = text_values(samples.alarm_messages(spark, sf_dir, **sample), null_as_empty=True)
     parsed = records.parse_alarm_messages(messages)
-    return al.usable_alarms(al.explode_alarms(records.usable(parsed), generation))
+    return al.usable_alarms(al.explode_alarms(parsed, generation))
 
 
 def explode_alarms(spark, sf_dir):

@@ -19,17 +19,17 @@ def classified_alarms(
     messages: DataFrame, generation: int = 2, clock: str = "arrival", strict: bool = False
 ) -> DataFrame:
     """Messages to classified, routed alarms. Bad records are left out, or fail the job if strict."""
-    keep_message = records.strict if strict else records.usable
-    keep_alarm = records.strict if strict else al.usable_alarms
     parsed = records.parse_alarm_messages(text_values(messages, null_as_empty=True), clock)
-    exploded = al.explode_alarms(keep_message(parsed), generation)
-    return classify.classify(keep_alarm(exploded), generation)
+    # Rejected messages have no alarm list, so exploding leaves them out without a filter.
+    exploded = al.explode_alarms(records.strict(parsed) if strict else parsed, generation)
+    keep = records.strict if strict else al.usable_alarms
+    return classify.classify(keep(exploded), generation)
 
 
 def alarm_rejects(messages: DataFrame) -> DataFrame:
     """Messages and nested alarms that `classified_alarms` leaves out, with the reason."""
     parsed = records.parse_alarm_messages(text_values(messages, null_as_empty=True))
-    exploded = al.explode_alarms(records.usable(parsed))
+    exploded = al.explode_alarms(parsed)
     return records.rejects(parsed).unionByName(al.rejected_alarms(exploded))
 
 

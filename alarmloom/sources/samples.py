@@ -1,22 +1,59 @@
-"""Reference-shaped inputs derived from the `events` table.
+"""Device-shaped inputs derived from the `events` table.
 
 Each function reads the whole table and encodes it the way the devices would send it, so that the
 operators really parse, explode and decode. The rules are simple functions of `event_id`, which
 lets SQL state the expected result directly from `events`.
+
+The encoded records are written to the shared folder once per application, like the dump of a
+topic, and the queries scan those files.
 """
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from alarmloom.schemas import ALARM_LIST_KEY, BACKFILL_COLUMNS
+from alarmloom.session import new_folder
+from alarmloom.sources.files import text_lines
 
 EVENTS_PER_MESSAGE = 4
 
+_dumps: dict[tuple, str] = {}
+
+
+def _dumped(format: str = "parquet"):
+    """Write what the function encodes on the first call, read it back on every call."""
+
+    def decorate(encode):
+        @functools.wraps(encode)
+        def read(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+            application = spark.sparkContext.applicationId
+            key = (application, sf_dir, encode.__name__, *sorted(options.items()))
+            if key not in _dumps:
+                path = new_folder(spark, encode.__name__)
+                encode(spark, sf_dir, **options).write.format(format).save(path)
+                _dumps[key] = path
+            if format == "text":
+                return text_lines(spark, _dumps[key])
+            return spark.read.parquet(_dumps[key])
+
+        return read
+
+    return decorate
+
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     return events.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table for encoding; stored in fewer splits than there are cores, it is spread out."""
+    events = read_events(spark, sf_dir)
+    cores = spark.sparkContext.defaultParallelism
+    return events if events.rdd.getNumPartitions() >= cores else events.repartition(cores)
+
+
 def _remainder(divisor: int, of: str = "event_id") -> Column:
     return F.col(of) % divisor
 
@@ -33,6 +70,7 @@ def _frame(df: DataFrame, topic: str, value: Column, row: Column, ts: Column) ->
     )
 
 
+@_dumped()
 def alarm_messages(
     spark: SparkSession, sf_dir: str, mixed_codes: bool = False, broken: bool = False
 ) -> DataFrame:
@@ -48,7 +86,7 @@ def alarm_messages(
     if mixed_codes:
         kind = _mixed(kind, _remainder(7))
         module = _mixed(module, _remainder(11))
-    events = read_events(spark, sf_dir).select(
+    events = _events(spark, sf_dir).select(
         "ts",
         "user_id",
         "event_id",
@@ -132,6 +170,7 @@ def _mixed(code: Column, remainder: Column) -> Column:
     )
 
 
+@_dumped()
 def vendor_lines(
     spark: SparkSession, sf_dir: str, plain_brackets: bool = False
 ) -> DataFrame:
@@ -156,6 +195,7 @@ def vendor_lines(
     )
 
 
+@_dumped()
 def metadata_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Traffic metadata, same rules; plain records carry double backslashes in `uri`."""
     return _flat_lines(
@@ -180,7 +220,7 @@ def metadata_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _flat_lines(
     spark, sf_dir, topic, bracketed_keys, keys, optional_key, optional_value, plain_brackets=False
 ):
-    events = read_events(spark, sf_dir)
+    events = _events(spark, sf_dir)
     bracketed = _remainder(3) == 0
 
     def member(key, value):
@@ -211,6 +251,7 @@ def _flat_lines(
     return _frame(events, topic, value, F.col("event_id"), F.col("ts"))
 
 
+@_dumped("text")
 def backfill_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV lines: column i is `event_id + i`; some are one field short, some end in an empty one."""
     width = len(BACKFILL_COLUMNS)
@@ -221,9 +262,10 @@ def backfill_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(_remainder(20) == 18, F.concat(short, F.lit(",")))
         .otherwise(F.array_join(fields, ","))
     )
-    return read_events(spark, sf_dir).select(line.alias("value"))
+    return _events(spark, sf_dir).select(line.alias("value"))
 
 
+@_dumped()
 def packet_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Binary frames: 28-byte header, Ethernet, IPv4 (UDP, TCP, ICMP or protocol 50), payload.
 
@@ -300,10 +342,11 @@ def packet_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame = F.concat(*header, *ethernet, *ip, transport, hexed(eid % 4294967296, 4))
     frame = F.when(eid % 40 == 8, F.substring(frame, 1, 40)).otherwise(frame)
     return _frame(
-        read_events(spark, sf_dir), "packdata", F.unhex(frame), F.col("event_id"), F.col("ts")
+        _events(spark, sf_dir), "packdata", F.unhex(frame), F.col("event_id"), F.col("ts")
     )
 
 
+@_dumped()
 def usage_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Small nested documents with numbers written as strings, two entries each."""
     value = F.concat(
@@ -319,9 +362,10 @@ def usage_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id") * 2,
         F.lit('"}]}'),
     )
-    return _frame(read_events(spark, sf_dir), "da_trace", value, F.col("event_id"), F.col("ts"))
+    return _frame(_events(spark, sf_dir), "da_trace", value, F.col("event_id"), F.col("ts"))
 
 
+@_dumped()
 def wifi_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     probe = F.struct(
         F.col("event_type").alias("eventType"),
@@ -344,7 +388,7 @@ def wifi_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         _remainder(3600).alias("duration"),
     )
     return _frame(
-        read_events(spark, sf_dir), "wifi", F.to_json(probe), F.col("event_id"), F.col("ts")
+        _events(spark, sf_dir), "wifi", F.to_json(probe), F.col("event_id"), F.col("ts")
     )
 
 
