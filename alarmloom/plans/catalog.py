@@ -1,6 +1,7 @@
 """One query per operator, over inputs derived from the test tables."""
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -138,23 +139,25 @@ def merge_by_window_size(spark, sf_dir):
 
 def warning_table_rows(spark, sf_dir):
     """The whole warning table of a batch run: immediate alarms and summaries."""
-    return _with_zone(_batch_tables(spark, sf_dir, "bus_warning"))
+    root = _alarm_batch(spark, sf_dir)
+    return _with_zone(read_table(spark, root, "bus_warning")).drop("batch_id")
 
 
 def detail_table_rows(spark, sf_dir):
     """Both detail tables of a batch run."""
+    root = _alarm_batch(spark, sf_dir)
     parts = [
-        _batch_tables(spark, sf_dir, table).withColumn("table", F.lit(table))
+        read_table(spark, root, table).withColumn("table", F.lit(table))
         for table in ("bus_twarning", "bus_cwarning")
     ]
     return _with_zone(parts[0].unionByName(parts[1])).drop("batch_id")
 
 
-def _batch_tables(spark, sf_dir, table):
+def _alarm_batch(spark, sf_dir):
     root = new_folder(spark, "alarm-batch")
     messages = samples.alarm_messages(spark, sf_dir)
     jobs.run_alarm_batch(messages, root, batch_id=1, generation=2, seconds=WINDOW)
-    return read_table(spark, root, table).drop("batch_id")
+    return root
 
 
 # --- Streams ------------------------------------------------------------------------------------
@@ -167,12 +170,27 @@ def _recorded(spark, messages, name):
     return files.message_stream(spark, path)
 
 
-def _finish(query):
-    query.awaitTermination()
+@contextmanager
+def _state_partitions(spark):
+    """A stream fixes its number of state partitions at its first start. On a local session that
+    is the number of cores; on a cluster the configured number stays."""
+    name = "spark.sql.shuffle.partitions"
+    configured = spark.conf.get(name)
+    if spark.sparkContext.master.startswith("local"):
+        cores = spark.sparkContext.defaultParallelism
+        spark.conf.set(name, str(min(int(configured), cores)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, configured)
+
+
+def _finish(spark, start, *arguments, **options):
+    with _state_partitions(spark):
+        start(*arguments, **options, seconds=None).awaitTermination()
 
 
 def _merge_stream(spark, sf_dir, select):
-    configure(spark)
     messages = samples.alarm_messages(spark, sf_dir)
     stream = _recorded(
         spark, messages.unionByName(samples.flush_message(messages, WINDOW)), "messages"
@@ -183,7 +201,7 @@ def _merge_stream(spark, sf_dir, select):
     root = new_folder(spark, "merged")
     merged = stream_merge.merge_stream(rows, WINDOW)
     writer = streams.table_writer(root, {"merged": select})
-    _finish(streams.start(merged, writer, new_folder(spark, "checkpoint"), seconds=None))
+    _finish(spark, streams.start, merged, writer, new_folder(spark, "checkpoint"))
     return read_table(spark, root, "merged").drop("batch_id")
 
 
@@ -209,9 +227,7 @@ def count_by_id_stream(spark, sf_dir):
     root = new_folder(spark, "counts")
     writer = streams.table_writer(root, {"counts": lambda batch: batch})
     counts = nested.count_by(stream, "user_id")
-    _finish(
-        streams.start(counts, writer, new_folder(spark, "checkpoint"), "update", seconds=None)
-    )
+    _finish(spark, streams.start, counts, writer, new_folder(spark, "checkpoint"), mode="update")
     return streams.latest_counts(spark, root, "counts", "user_id")
 
 
@@ -221,7 +237,7 @@ def packet_files(spark, sf_dir):
     path = new_folder(spark, "packet-files")
     flows = packets.decode_packets(stream).drop("key", "value")
     _finish(
-        streams.file_stream(flows, path, new_folder(spark, "checkpoint"), "parquet", seconds=None)
+        spark, streams.file_stream, flows, path, new_folder(spark, "checkpoint"), format="parquet"
     )
     return spark.read.parquet(path).select(
         "partition", "offset", "flow_index", "protocol", "srcIp", "destIp", "srcPort", "destPort"

@@ -59,15 +59,18 @@ def run_alarm_batch(
 ) -> None:
     """One bounded slice of messages into the alarm tables.
 
-    The messages are parsed once, into a staged table. The summaries are written next, and the
-    details join them from that table: Spark then knows its real size and broadcasts it only if it
-    is small, else joins by salted keys.
+    The messages are parsed once, into a staged table with a folder per route, and every later step
+    reads only its routes. The summaries are staged too, and the details join them from there:
+    Spark then knows their real size and broadcasts them only if they are small, else the join goes
+    by salted keys.
     """
     spark = messages.sparkSession
     job = al.GENERATIONS[generation]
     seconds = seconds or job.window_seconds
     rows = stage(
-        merge.with_window(classified_alarms(messages, generation), seconds), "classified"
+        merge.with_window(classified_alarms(messages, generation), seconds),
+        "classified",
+        by="route",
     )
     merged = is_merged(rows)
     summaries = stage(merge.merge_summaries(merged), "summaries")

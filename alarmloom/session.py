@@ -4,7 +4,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
@@ -37,13 +37,14 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_folder(spark), "alarmloom", f"{name}-{uuid.uuid4().hex}")
 
 
-def stage(rows, name: str):
+def stage(rows: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Write the rows once to the shared folder and read them back.
 
-    Used where two later steps need the same expensive rows: it cuts the lineage, survives lost
-    executors, and lets each step read only its own columns.
+    Used where several later steps need the same expensive rows: it cuts the lineage, survives lost
+    executors, and lets each step read only its own columns, and with `by` only its own folders.
     """
     spark = rows.sparkSession
     path = new_folder(spark, name)
-    rows.write.parquet(path)
+    writer = rows.write if by is None else rows.write.partitionBy(by)
+    writer.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
