@@ -34,22 +34,49 @@ GENERATIONS = {
 }
 
 
-def explode_alarms(parsed: DataFrame, generation: int = 2) -> DataFrame:
+def explode_alarms(
+    parsed: DataFrame, generation: int = 2, keep_rejects: bool = False
+) -> DataFrame:
     """Repeat the message header for each nested alarm; an empty or missing list gives no row.
 
     Header fields are read before the explode, so that no alarm carries its whole message along.
+    With `keep_rejects` a rejected message stays as one row with its reason and raw `value`, so that
+    a job can store alarms and rejects from a single pass over its input.
     """
     keys = HEADER_KEYS + TRAILER_KEYS
     source = ["topic", "partition", "offset", "event_ts"]
+    kept = ["value", "reject_reason"] if keep_rejects else []
     found = parsed.select(
-        *source, documents.members(F.col("doc"), keys, [ALARM_LIST_KEY]).alias("m")
+        *source, *kept, documents.members(F.col("doc"), keys, [ALARM_LIST_KEY]).alias("m")
     )
     header = found.select(
         *source,
+        *[F.col(name).alias(f"message_{name}") for name in kept],
         *[documents.value_text(F.col(f"m.{key}")).alias(key) for key in keys],
         F.col(f"m.{ALARM_LIST_KEY}").alias("alarms"),
     )
-    alarms = header.select(*source, *keys, F.posexplode("alarms").alias("pos", "alarm"))
+    carried = [*source, *[f"message_{name}" for name in kept], *keys]
+    explode = F.posexplode_outer if keep_rejects else F.posexplode
+    alarms = header.select(*carried, explode("alarms").alias("pos", "alarm"))
+    missing = F.when(
+        ~(
+            documents.has_value(F.col("alarm"), MODULE_KEY)
+            & documents.has_value(F.col("alarm"), TYPE_KEY)
+        ),
+        F.lit("missing_code"),
+    )
+    if keep_rejects:
+        bad_message = F.col("message_reject_reason").isNotNull()
+        alarms = alarms.filter(bad_message | F.col("pos").isNotNull()).withColumns(
+            {
+                "reject_reason": F.coalesce(F.col("message_reject_reason"), missing),
+                "value": F.when(bad_message, F.col("message_value")).when(
+                    missing.isNotNull(), F.to_json("alarm")
+                ),
+            }
+        ).drop("message_reject_reason", "message_value")
+    else:
+        alarms = alarms.withColumn("reject_reason", missing)
     level = GENERATIONS[generation].event_level
     return alarms.withColumns(
         {
@@ -57,13 +84,6 @@ def explode_alarms(parsed: DataFrame, generation: int = 2) -> DataFrame:
             "date": epoch_millis(F.col("event_ts")).cast("string"),
             "currenttime": time_text(F.col("event_ts")),
             "event_level": F.lit(level).cast("string"),
-            "reject_reason": F.when(
-                ~(
-                    documents.has_value(F.col("alarm"), MODULE_KEY)
-                    & documents.has_value(F.col("alarm"), TYPE_KEY)
-                ),
-                F.lit("missing_code"),
-            ),
         }
     )
 
@@ -72,17 +92,6 @@ def usable_alarms(alarms: DataFrame) -> DataFrame:
     return alarms.filter(F.col("reject_reason").isNull()).drop("reject_reason")
 
 
-def rejected_alarms(alarms: DataFrame) -> DataFrame:
-    return alarms.filter(F.col("reject_reason").isNotNull()).select(
-        "topic",
-        "partition",
-        "offset",
-        "event_ts",
-        F.to_json("alarm").alias("value"),
-        "reject_reason",
-    )
-
-
 def with_codes(alarms: DataFrame) -> DataFrame:
     """`module_code` and `type_code`: set only where the document holds a JSON integer."""
     return alarms.withColumns(

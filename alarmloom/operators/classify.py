@@ -14,6 +14,7 @@ from alarmloom.schemas import DESCRIPTION_KEY, MODULE_KEY
 TRANSFORMATION = "transformation"
 CAMOUFLAGE = "camouflage"
 LABEL = "label"
+REJECTED = "rejected"
 
 # --- Fixed values: labels and descriptions ------------------------------------------------------
 # In descriptions {src}, {dst} and {serial} stand for the alarm's source and destination address
@@ -195,6 +196,12 @@ def classify(alarms: DataFrame, generation: int = 2) -> DataFrame:
     )
 
 
+def route_rejects(classified: DataFrame) -> DataFrame:
+    """Give rows with a `reject_reason` a route of their own."""
+    bad = F.col("reject_reason").isNotNull()
+    return classified.withColumn("route", F.when(bad, F.lit(REJECTED)).otherwise(F.col("route")))
+
+
 def route_messages(alarms: DataFrame) -> DataFrame:
     """Two-way route of plain alarms: module 6 against everything else."""
     return with_codes(alarms).withColumn(

@@ -16,10 +16,21 @@ REJECTS = "rejects"
 
 
 def classified_alarms(
-    messages: DataFrame, generation: int = 2, clock: str = "arrival", strict: bool = False
+    messages: DataFrame,
+    generation: int = 2,
+    clock: str = "arrival",
+    strict: bool = False,
+    keep_rejects: bool = False,
 ) -> DataFrame:
-    """Messages to classified, routed alarms. Bad records are left out, or fail the job if strict."""
+    """Messages to classified, routed alarms.
+
+    Bad messages and alarms are left out, or fail the job if `strict`, or stay under the route
+    `rejected` if `keep_rejects`.
+    """
     parsed = records.parse_alarm_messages(text_values(messages, null_as_empty=True), clock)
+    if keep_rejects:
+        exploded = al.explode_alarms(parsed, generation, keep_rejects=True)
+        return classify.route_rejects(classify.classify(exploded, generation))
     # Rejected messages have no alarm list, so exploding leaves them out without a filter.
     exploded = al.explode_alarms(records.strict(parsed) if strict else parsed, generation)
     keep = records.strict if strict else al.usable_alarms
@@ -29,12 +40,14 @@ def classified_alarms(
 def alarm_rejects(messages: DataFrame) -> DataFrame:
     """Messages and nested alarms that `classified_alarms` leaves out, with the reason."""
     parsed = records.parse_alarm_messages(text_values(messages, null_as_empty=True))
-    exploded = al.explode_alarms(parsed)
-    return records.rejects(parsed).unionByName(al.rejected_alarms(exploded))
+    return records.rejects(al.explode_alarms(parsed, keep_rejects=True))
+
+
+MERGED_ROUTES = [classify.TRANSFORMATION, classify.CAMOUFLAGE]
 
 
 def is_merged(rows: DataFrame) -> DataFrame:
-    return rows.filter(F.col("route") != classify.LABEL)
+    return rows.filter(F.col("route").isin(MERGED_ROUTES))
 
 
 def is_immediate(rows: DataFrame) -> DataFrame:
@@ -59,19 +72,17 @@ def run_alarm_batch(
 ) -> None:
     """One bounded slice of messages into the alarm tables.
 
-    The messages are parsed once, into a staged table with a folder per route, and every later step
-    reads only its routes. The summaries are staged too, and the details join them from there:
-    Spark then knows their real size and broadcasts them only if they are small, else the join goes
-    by salted keys.
+    The messages are parsed once, into a staged table with a folder per route (rejects included),
+    and every later step reads only its routes. The summaries are staged too, and the details join
+    them from there: Spark then knows their real size and broadcasts them only if they are small,
+    else the join goes by salted keys.
     """
-    spark = messages.sparkSession
     job = al.GENERATIONS[generation]
-    seconds = seconds or job.window_seconds
-    rows = stage(
-        merge.with_window(classified_alarms(messages, generation), seconds),
-        "classified",
-        by="route",
-    )
+    rows = classified_alarms(messages, generation, keep_rejects=True)
+    rows = merge.with_window(rows, seconds or job.window_seconds)
+    rows = stage(rows, "classified", by="route")
+    rejected = rows.filter(F.col("route") == classify.REJECTED)
+    rows = rows.drop("value", "reject_reason")
     merged = is_merged(rows)
     summaries = stage(merge.merge_summaries(merged), "summaries")
     warnings = project.immediate_rows(is_immediate(rows), generation).unionByName(
@@ -82,7 +93,7 @@ def run_alarm_batch(
     for route, table in detail_tables(generation).items():
         of_route = details.filter(F.col("route") == route)
         write_batch(project.detail_rows(of_route, generation), root, table, batch_id)
-    write_batch(alarm_rejects(messages), root, REJECTS, batch_id)
+    write_batch(records.rejects(rejected), root, REJECTS, batch_id)
 
 
 def start_alarm_stream(
@@ -95,15 +106,19 @@ def start_alarm_stream(
     delay: str = "0 seconds",
     trigger_seconds: int | None = 8,
 ) -> list[StreamingQuery]:
-    """Two queries: alarms stored at once (no state), and merged alarms (state per open window)."""
+    """Two queries: alarms and rejects stored at once (no state), and merged alarms (state per
+    open window). With the processing clock a heartbeat closes windows while no message comes."""
     job = al.GENERATIONS[generation]
     seconds = seconds or job.window_seconds
-    rows = classified_alarms(messages, generation, clock)
+    everything = classified_alarms(messages, generation, clock, keep_rejects=True)
     immediate = start(
-        is_immediate(rows),
+        everything.filter(F.col("route").isin(classify.LABEL, classify.REJECTED)),
         table_writer(
             f"{root}/immediate",
-            {job.warning_table: lambda b: project.immediate_rows(b, generation)},
+            {
+                job.warning_table: lambda b: project.immediate_rows(is_immediate(b), generation),
+                REJECTS: records.rejects,
+            },
         ),
         f"{checkpoint}/immediate",
         seconds=trigger_seconds,
@@ -116,10 +131,13 @@ def start_alarm_stream(
 
     tables = {table: of_route(route) for route, table in detail_tables(generation).items()}
     tables[job.warning_table] = lambda batch: project.summary_rows(
-        stream_merge.summaries(batch), generation
+        stream_merge.summaries(is_merged(batch)), generation
     )
+    rows = is_merged(classified_alarms(messages, generation, clock))
+    if clock == "processing" and trigger_seconds is not None:
+        rows = stream_merge.with_heartbeat(rows)
     merged = start(
-        stream_merge.merge_stream(is_merged(rows), seconds, delay),
+        stream_merge.merge_stream(rows, seconds, delay),
         table_writer(f"{root}/merged", tables),
         f"{checkpoint}/merged",
         seconds=trigger_seconds,
@@ -135,14 +153,54 @@ def stream_warnings(spark: SparkSession, root: str, generation: int = 2) -> Data
     )
 
 
+# Table and columns of the two line formats.
+LINE_JOBS = {
+    "vendor": ("bus_ahwarning", VENDOR_COLUMNS, records.parse_vendor_lines),
+    "metadata": ("bus_ahmetadata", METADATA_COLUMNS, records.parse_metadata_lines),
+}
+
+
+def _parsed_lines(job: str, lines: DataFrame, mode: str, clock: str) -> DataFrame:
+    return LINE_JOBS[job][2](text_values(lines, null_as_empty=True), mode, clock)
+
+
+def _line_rows(job: str, parsed: DataFrame) -> DataFrame:
+    return project.fixed_projection(records.usable(parsed), LINE_JOBS[job][1])
+
+
 def vendor_rows(lines: DataFrame, mode: str = "reference", clock: str = "arrival") -> DataFrame:
-    parsed = records.parse_vendor_lines(text_values(lines, null_as_empty=True), mode, clock)
-    return project.fixed_projection(records.usable(parsed), VENDOR_COLUMNS)
+    return _line_rows("vendor", _parsed_lines("vendor", lines, mode, clock))
 
 
 def metadata_rows(lines: DataFrame, mode: str = "reference", clock: str = "arrival") -> DataFrame:
-    parsed = records.parse_metadata_lines(text_values(lines, null_as_empty=True), mode, clock)
-    return project.fixed_projection(records.usable(parsed), METADATA_COLUMNS)
+    return _line_rows("metadata", _parsed_lines("metadata", lines, mode, clock))
+
+
+def _line_writer(job: str, root: str):
+    return table_writer(
+        root, {LINE_JOBS[job][0]: lambda b: _line_rows(job, b), REJECTS: records.rejects}
+    )
+
+
+def run_line_batch(
+    job: str, lines: DataFrame, root: str, batch_id: int, mode: str = "reference"
+) -> None:
+    """Vendor alerts or metadata of one slice into their table, and what cannot be parsed."""
+    _line_writer(job, root)(_parsed_lines(job, lines, mode, "arrival"), batch_id)
+
+
+def start_line_stream(
+    job: str,
+    lines: DataFrame,
+    root: str,
+    checkpoint: str,
+    mode: str = "reference",
+    clock: str = "processing",
+    trigger_seconds: int | None = 8,
+) -> StreamingQuery:
+    """The same without end. There is no state and no shuffle."""
+    parsed = _parsed_lines(job, lines, mode, clock)
+    return start(parsed, _line_writer(job, root), checkpoint, seconds=trigger_seconds)
 
 
 def packet_rows(messages: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import json
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -89,6 +90,51 @@ def test_processing_clock_merges_what_arrives_together(spark, messages, tmp_path
     assert found.count() == 30
 
 
+def test_windows_close_by_the_clock_without_new_alarms(spark, messages, tmp_path):
+    folder, root = tmp_path / "in", tmp_path / "out"
+    add_file(minute(messages, 0).unionByName(messages([(0, 1, 1, '{"a":')])), folder)
+    started = jobs.start_alarm_stream(
+        message_stream(spark, str(folder)), str(root), str(tmp_path / "cp"), 2, 2,
+        clock="processing", trigger_seconds=1,
+    )
+    deadline = time.time() + 90
+    table = root / "merged" / "bus_warning"  # the last table a batch writes
+
+    def written():
+        found = [f for f in table.glob("batch_id=*/_SUCCESS")]
+        return bool(found) and read_table(spark, f"{root}/merged", "bus_warning").count() == 2
+
+    while time.time() < deadline and not written():
+        time.sleep(2)
+    for query in started:
+        query.stop()
+    details = [read_table(spark, f"{root}/merged", t) for t in ("bus_cwarning", "bus_twarning")]
+    assert [d.count() for d in details] == [20, 10]
+    summaries = read_table(spark, f"{root}/merged", "bus_warning")
+    assert sorted((r.verifyTypeId, r.size) for r in summaries.collect()) == [
+        ("IP扫描事件", "20"),
+        ("标签目的地址未在白名单告警", "10"),
+    ]
+    assert read_table(spark, f"{root}/immediate", "bus_warning").count() == 10
+    assert read_table(spark, f"{root}/immediate", "rejects").first().reject_reason == "malformed"
+
+
+@pytest.mark.parametrize("job, table", [("vendor", "bus_ahwarning"), ("metadata", "bus_ahmetadata")])
+def test_line_jobs_as_batch_and_stream(spark, messages, tmp_path, job, table):
+    frame = messages([(0, 0, 1, '{"name":"a","sip":"b"}'), (0, 1, 1, "{"), (0, 2, 1, '[{"name":"c"}]\n')])
+    jobs.run_line_batch(job, frame, str(tmp_path / "batch"), 0)
+    add_file(frame, tmp_path / "in")
+    jobs.start_line_stream(
+        job, message_stream(spark, str(tmp_path / "in")), str(tmp_path / "stream"),
+        str(tmp_path / "cp"), clock="arrival", trigger_seconds=None,
+    ).awaitTermination()
+    for name, count in ((table, 2), ("rejects", 1)):
+        batch = read_table(spark, str(tmp_path / "batch"), name)
+        stream = read_table(spark, str(tmp_path / "stream"), name)
+        assert batch.count() == stream.count() == count
+        assert batch.exceptAll(stream).isEmpty()
+
+
 def test_hot_key_is_spread_over_state_partitions(spark, messages, tmp_path):
     rows = jobs.is_merged(
         jobs.classified_alarms(message_stream(spark, str(tmp_path)), 2)
