@@ -11,7 +11,7 @@ from alarmloom.operators import alarms as al
 from alarmloom.operators import backfill, classify, merge, nested, packets, project, records
 from alarmloom.plans import jobs
 from alarmloom.schemas import MESSAGE_SCHEMA, MODULE_KEY, TYPE_KEY
-from alarmloom.session import configure, new_folder
+from alarmloom.session import configure, new_folder, stage
 from alarmloom.sinks.tables import read_table, write_batch, write_lines
 from alarmloom.sources import files, samples
 from alarmloom.sources.kafka import byte_values, text_values
@@ -104,10 +104,16 @@ def _max_heads(spark, sf_dir, generation):
     return classify.label_count(generation) * merge.window_count((first, last), WINDOW)
 
 
+def _staged_merge_rows(spark, sf_dir, generation):
+    """Both the summaries and the details need the rows; staged, the messages are parsed once."""
+    rows = _merge_rows(spark, sf_dir, generation)
+    return stage(rows.select(*merge.KEYS, *al.ARRIVAL, "date"), "merge-rows")
+
+
 def _merge_detail(generation):
     def query(spark, sf_dir):
         details = merge.merge_details(
-            _merge_rows(spark, sf_dir, generation), _max_heads(spark, sf_dir, generation)
+            _staged_merge_rows(spark, sf_dir, generation), _max_heads(spark, sf_dir, generation)
         )
         return details.select("uuid", "pid", "route", "type_label", "win", "date")
 
@@ -116,7 +122,7 @@ def _merge_detail(generation):
 
 def merge_detail_salted(spark, sf_dir):
     """The same details without a bound on the summaries: the join goes by salted keys."""
-    details = merge.merge_details(_merge_rows(spark, sf_dir, 2))
+    details = merge.merge_details(_staged_merge_rows(spark, sf_dir, 2))
     return details.select("uuid", "pid", "route", "type_label", "win", "date")
 
 
