@@ -56,8 +56,9 @@ def explode_alarms(
         F.col(f"m.{ALARM_LIST_KEY}").alias("alarms"),
     )
     carried = [*source, *[f"message_{name}" for name in kept], *keys]
-    explode = F.posexplode_outer if keep_rejects else F.posexplode
-    alarms = header.select(*carried, explode("alarms").alias("pos", "alarm"))
+    # The outer form with a filter after it: for the plain form Spark infers a filter on the list
+    # below the generator, and so walks every message twice.
+    alarms = header.select(*carried, F.posexplode_outer("alarms").alias("pos", "alarm"))
     missing = F.when(
         ~(
             documents.has_value(F.col("alarm"), MODULE_KEY)
@@ -76,7 +77,7 @@ def explode_alarms(
             }
         ).drop("message_reject_reason", "message_value")
     else:
-        alarms = alarms.withColumn("reject_reason", missing)
+        alarms = alarms.filter(F.col("pos").isNotNull()).withColumn("reject_reason", missing)
     level = GENERATIONS[generation].event_level
     return alarms.withColumns(
         {
