@@ -6,11 +6,12 @@ import pytest
 
 import __spark_entry__ as contract
 from alarmloom.operators import merge
+from alarmloom.plans import catalog, oracles
 from compare import connect, differences
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
+QUERIES = catalog.queries()
+ORACLES = oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -27,6 +28,11 @@ def test_query_equals_sql(spark, tables, name):
     assert differences(spark, tables, QUERIES[name], ORACLES[name], SF_DIR) == []
 
 
+def test_contract_registers_the_catalog():
+    assert QUERIES.items() <= contract.queries().items()
+    assert ORACLES.items() <= contract.oracle_sql().items()
+
+
 def test_comparison_notices_a_changed_row(spark, tables):
     wrong = ORACLES["route_messages"].replace("'transformation'", "'transformed'")
     assert differences(spark, tables, QUERIES["route_messages"], wrong, SF_DIR)
