@@ -54,7 +54,8 @@ def shared_targets(sizes: list[int], weights: list[float], share: float, cap: fl
 def solve_dual(cells: DataFrame, targets: np.ndarray, cap: float) -> np.ndarray:
     """Dual vector of the cells' rates. `cells`: levels (the targets a cell counts for), mass.
 
-    A cell's rate is exp(sum of its levels' duals), at most `cap`. Each step maps over the cells
+    A cell's rate is exp(sum of its levels' duals), at most `cap`. Where the cap holds, the curvature
+    just below it stands in for zero, so that a step leads back. Each step maps over the cells
     with the current duals and adds gradient and curvature by map-side partials; only sums per
     target, and per pair of targets that meet in a cell, come to the driver.
     """
@@ -67,13 +68,12 @@ def solve_dual(cells: DataFrame, targets: np.ndarray, cap: float) -> np.ndarray:
             for batch in batches:
                 out = {}
                 for levels, mass in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    raw = math.exp(min(50.0, float(shared.value[levels].sum())))
-                    rate = min(cap, raw)
+                    rate = min(cap, math.exp(min(50.0, float(shared.value[levels].sum()))))
                     for i in levels:
                         key = (i, -1)
                         out[key] = out.get(key, 0.0) + mass * rate
                         for j in levels:
-                            out[i, j] = out.get((i, j), 0.0) + mass * rate * (raw <= cap)
+                            out[i, j] = out.get((i, j), 0.0) + mass * rate
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([k[0] for k in out], pa.int32()),

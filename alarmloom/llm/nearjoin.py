@@ -28,8 +28,9 @@ from alarmloom.session import stage
 
 SLOTS = 1 << 22
 PARTS = 64
+MOST_IN_PART = 127
 SETS = (
-    "doc_id long, row_key long, n long, node binary, prefix array<long>, parts array<int>"
+    "doc_id long, row_key long, n long, node binary, prefix array<long>, parts array<tinyint>"
 )
 
 
@@ -74,7 +75,8 @@ class Shingles:
     def sets(self, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         """Per row: its set's size, its class (`node`), its prefix, and the set's parts.
 
-        `parts` counts the set's shingles by the top six bits of their hash.
+        `parts` counts the set's shingles by the top six bits of their hash, up to 127 a part;
+        counts cut off there differ by no more than the true ones, so bounds on them still hold.
         """
         words, percent = self.words, self.percent
         counts = self.slot_counts(docs.select(F.col(text_col).cast("binary")))
@@ -92,9 +94,8 @@ class Shingles:
                     out["n"].append(n)
                     out["node"].append(hashlib.blake2b(hashes.tobytes(), digest_size=16).digest())
                     out["prefix"].append(hashes[order[:length]].view(np.int64))
-                    out["parts"].append(
-                        np.bincount((hashes >> np.uint64(58)).astype(np.int64), minlength=PARTS)
-                    )
+                    part = np.bincount((hashes >> np.uint64(58)).astype(np.int64), minlength=PARTS)
+                    out["parts"].append(np.minimum(part, MOST_IN_PART))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id"),
@@ -102,7 +103,7 @@ class Shingles:
                         pa.array(out["n"], pa.int64()),
                         pa.array(out["node"], pa.binary()),
                         pa.array(out["prefix"], pa.list_(pa.int64())),
-                        pa.array([p.astype(np.int32) for p in out["parts"]], pa.list_(pa.int32())),
+                        pa.array([p.astype(np.int8) for p in out["parts"]], pa.list_(pa.int8())),
                     ],
                     ["doc_id", "row_key", "n", "node", "prefix", "parts"],
                 )
@@ -158,20 +159,24 @@ class Shingles:
         return stage(made, "near-sets").dropDuplicates(["node"])
 
     def may_link(self, x: str, y: str) -> Column:
-        """The three filters on two entries of one shingle's list, cheapest first."""
-        both = F.col(f"{x}.n") + F.col(f"{y}.n")
-        need = least_overlap(both, self.percent)
-        length = F.least(f"{x}.n", f"{y}.n") * 100 >= F.greatest(f"{x}.n", f"{y}.n") * self.percent
-        position = F.least(
-            F.col(f"{x}.n") - F.col(f"{x}.pos"), F.col(f"{y}.n") - F.col(f"{y}.pos")
-        ) + F.least(f"{x}.rank", f"{y}.rank")
+        """Length and positional filter on two entries of one shingle's list.
+
+        Before the shingle the two can share only shingles that are in other lists too.
+        """
+        n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
+        length = F.least(n, m) * 100 >= F.greatest(n, m) * self.percent
+        behind = F.least(n - F.col(f"{x}.pos"), m - F.col(f"{y}.pos"))
+        before = F.least(f"{x}.rank", f"{y}.rank")
+        return length & (behind + before >= least_overlap(n + m, self.percent))
+
+    def may_overlap(self, n: Column, m: Column, x: Column, y: Column) -> Column:
+        """Suffix filter: the sets differ at least by the sum of their parts' differences."""
         apart = F.aggregate(
-            F.zip_with(f"{x}.parts", f"{y}.parts", lambda a, b: F.abs(a - b)),
+            F.zip_with(x, y, lambda a, b: F.abs(a.cast("int") - b.cast("int"))),
             F.lit(0),
             lambda total, part: total + part,
         )
-        suffix = F.col(f"{x}.alone") + F.col(f"{y}.alone") + apart <= both - need * 2
-        return length & (position >= need) & suffix
+        return apart <= n + m - least_overlap(n + m, self.percent) * 2
 
     def links(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """The pairs (a, b) whose whole sets are similar enough."""
@@ -183,53 +188,24 @@ class Shingles:
         return joined.filter(enough).select("a", "b")
 
 
-def _entries(classes: DataFrame) -> DataFrame:
+def _entries(reps: DataFrame, prefixes: DataFrame) -> DataFrame:
     """The lists of shared prefix shingles: one entry per shingle and class that has it.
 
-    `pos`: place in the set's order; `rank`: place among its shared shingles; `alone`: shingles
-    before the first shared one, which no other set has; `parts` leaves those out.
+    `pos`: place in the set's order; `rank`: place among its shingles that are in some list.
     """
-    spread = classes.select("node", F.posexplode("prefix").alias("pos", "token"))
+    spread = prefixes.select("number", F.posexplode("prefix").alias("pos", "token"))
     shared = stage(
         spread.groupBy("token").count().filter("count > 1").select("token"), "near-shared"
     )
     held = (
         spread.join(shared, "token")
-        .groupBy("node")
+        .groupBy("number")
         .agg(F.array_sort(F.collect_list(F.struct("pos", "token"))).alias("held"))
     )
-
-    def describe(batches):
-        for batch in batches:
-            alone, parts = [], []
-            for row in batch.select(["prefix", "parts", "held"]).to_pylist():
-                first = row["held"][0]["pos"]
-                tokens = np.array(row["prefix"][:first], np.int64).view(np.uint64)
-                own = np.bincount((tokens >> np.uint64(58)).astype(np.int64), minlength=PARTS)
-                alone.append(first)
-                parts.append((np.array(row["parts"]) - own).astype(np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("node"),
-                    batch.column("n"),
-                    batch.column("held"),
-                    pa.array(alone, pa.int64()),
-                    pa.array(parts, pa.list_(pa.int32())),
-                ],
-                ["node", "n", "held", "alone", "parts"],
-            )
-
-    described = classes.join(held, "node").mapInArrow(
-        describe,
-        "node binary, n long, held array<struct<pos int, token long>>, alone long, parts array<int>",
-    )
-    return described.select(
-        "node", "n", "alone", "parts", F.posexplode("held").alias("rank", "one")
-    ).select(
-        F.col("one.token").alias("token"),
-        F.struct(
-            F.col("one.pos").alias("pos"), "rank", "n", "node", "alone", "parts"
-        ).alias("entry"),
+    return (
+        held.join(reps.select("number", "node", "n"), "number")
+        .select("node", "n", F.posexplode("held").alias("rank", "one"))
+        .select("one.token", F.struct(F.col("one.pos").alias("pos"), "n", "rank", "node").alias("entry"))
     )
 
 
@@ -242,40 +218,52 @@ def near_classes(
 ) -> DataFrame:
     """One row per document: `doc_id`, `row_key`, `n`, `node` and `component_id`."""
     join = Shingles(words, percent)
-    rows = stage(join.sets(docs, id_col, text_col), "near-rows")
-    classes = stage(
+    numbered = join.sets(docs, id_col, text_col).withColumn(
+        "number", F.monotonically_increasing_id()
+    )
+    rows = stage(numbered, "near-rows")
+    reps = stage(
         rows.filter("n > 0")
         .groupBy("node")
         .agg(
             F.min("doc_id").alias("rep"),
-            F.first("row_key").alias("row_key"),
-            F.first("n").alias("n"),
-            F.first("prefix").alias("prefix"),
-            F.first("parts").alias("parts"),
+            F.min("row_key").alias("row_key"),
+            F.min("n").alias("n"),
+            F.min("number").alias("number"),
         ),
-        "near-classes",
+        "near-reps",
     )
-    entries = stage(_entries(classes), "near-entries")
+    chosen = rows.select("number", "prefix", "parts").join(reps, "number")
+    chosen = stage(chosen.select("number", "node", "n", "prefix", "parts"), "near-chosen")
+    parts = chosen.select("node", "n", "parts")
+    entries = stage(_entries(reps, chosen), "near-entries")
     pivots = stage(entries.groupBy("token").agg(F.min("entry").alias("pivot")), "near-pivots")
 
     def verified(pairs):
+        """The links among the pairs."""
         nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        wanted = stage(classes.join(nodes, "node").select("row_key"), "near-wanted")
+        wanted = stage(reps.join(nodes, "node").select("row_key"), "near-wanted")
         return stage(join.links(pairs, join.whole_sets(docs, wanted, id_col, text_col)), "near-links")
 
+    def overlapping(pairs):
+        first = parts.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("parts").alias("of_a"))
+        second = parts.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("parts").alias("of_b"))
+        fits = join.may_overlap(F.col("n_a"), F.col("n_b"), F.col("of_a"), F.col("of_b"))
+        return pairs.join(first, "a").join(second, "b").filter(fits).select("a", "b")
+
     def ordered(x, y):
         return F.least(f"{x}.node", f"{y}.node").alias("a"), F.greatest(
             f"{x}.node", f"{y}.node"
         ).alias("b")
 
     differ = F.col("entry.node") != F.col("pivot.node")
-    pairs = stage(
+    met = (
         entries.join(pivots, "token")
         .filter(differ & join.may_link("entry", "pivot"))
         .select(*ordered("entry", "pivot"))
-        .distinct(),
-        "near-pairs",
+        .distinct()
     )
+    pairs = stage(overlapping(stage(met, "near-met")), "near-pairs")
     links = verified(pairs)
     labels = common.components(links, "near-first")
 
@@ -299,17 +287,24 @@ def near_classes(
         .select("token", F.coalesce("component", "node").alias("centre")),
         "near-open",
     )
-    left = stage(labelled.join(centre, "token"), "near-left")
-    outside = left.filter(F.col("component") != F.col("centre")).select(
-        "token", F.col("entry").alias("x"), F.col("component").alias("of_x")
+    open_ = stage(
+        labelled.join(centre, "token")
+        .withColumn("node", F.col("entry.node"))
+        .join(parts.select("node", "parts"), "node"),
+        "near-open-entries",
+    )
+    outside = open_.filter(F.col("component") != F.col("centre")).select(
+        "token", F.col("entry").alias("x"), F.col("component").alias("of_x"), F.col("parts").alias("px")
     )
-    inside = left.select(
-        "token", F.col("entry").alias("y"), F.col("component").alias("of_y"), "centre"
+    inside = open_.select(
+        "token", F.col("entry").alias("y"), F.col("component").alias("of_y"), "centre",
+        F.col("parts").alias("py"),
     )
     once = (F.col("of_y") == F.col("centre")) | (F.col("x.node") < F.col("y.node"))
+    fits = join.may_overlap(F.col("x.n"), F.col("y.n"), F.col("px"), F.col("py"))
     more = stage(
         outside.join(inside, "token")
-        .filter((F.col("of_x") != F.col("of_y")) & once & join.may_link("x", "y"))
+        .filter((F.col("of_x") != F.col("of_y")) & once & join.may_link("x", "y") & fits)
         .select(*ordered("x", "y"))
         .distinct()
         .join(pairs, ["a", "b"], "left_anti"),
@@ -321,7 +316,7 @@ def near_classes(
             labels = common.components(links.union(found), "near-last")
 
     of_class = stage(
-        classes.select("node", "rep")
+        reps.select("node", "rep")
         .join(labels, "node", "left")
         .select("node", "rep", F.coalesce("label", "node").alias("label")),
         "near-of-class",
