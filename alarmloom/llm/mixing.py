@@ -25,6 +25,7 @@ GROUP = 512
 MOST_TARGETS = 20_000
 STEPS = 60
 EXCHANGES = 4
+ROUGH = 0.005
 WEIGHTS = [3.0, 1.0, 2.0]
 
 
@@ -118,6 +119,28 @@ def _conjugate(times, right, rounds: int = 200) -> np.ndarray:
     return x
 
 
+def _chosen(order, size, able, goal: float) -> tuple[np.ndarray, float]:
+    """Documents that get one copy more, and what is left of `goal` tokens: in the given order
+    while they fit, then exchanges that come nearer."""
+    extra, left = np.zeros(len(size), bool), goal
+    for at in order:
+        if able[at] and size[at] <= left:
+            extra[at] = True
+            left -= size[at]
+    for _ in range(EXCHANGES):
+        change = np.where(~extra & able, size, 1 << 60)[:, None] - np.append(
+            np.where(extra, size, -(1 << 60)), 0
+        )
+        into, out = divmod(int(np.abs(left - change).argmin()), len(size) + 1)
+        if abs(left - change[into, out]) >= abs(left) - 1e-9:
+            break
+        extra[into] = True
+        if out < len(size):
+            extra[out] = False
+        left -= float(change[into, out])
+    return extra, left
+
+
 def mix(
     docs: DataFrame,
     weights: list[float] = WEIGHTS,
@@ -189,25 +212,13 @@ def mix(
         size = np.array(group.column("size"))
         rate = np.array(group.column("rate"))
         copies = np.floor(rate + 1e-9).astype(np.int64)
-        left = float(((rate - copies) * size).sum())
-        extra = np.zeros(len(size), bool)
-        for at in np.argsort(np.array(group.column("turn")), kind="stable"):
-            if size[at] <= left and copies[at] + 1 <= cap:
-                extra[at] = True
-                left -= size[at]
-        for _ in range(EXCHANGES):
-            # One document more, or one for another, if that comes nearer to what is left.
-            change = np.where(~extra & (copies + 1 <= cap), size, 1 << 60)[:, None] - np.append(
-                np.where(extra, size, -(1 << 60)), 0
-            )
-            gain, best = np.abs(left - change), np.abs(left - change).argmin()
-            into, out = divmod(int(best), len(size) + 1)
-            if gain[into, out] >= abs(left) - 1e-9:
-                break
-            extra[into] = True
-            if out < len(size):
-                extra[out] = False
-            left -= float(change[into, out])
+        goal = float(((rate - copies) * size).sum())
+        able = copies + 1 <= cap
+        extra, left = _chosen(np.argsort(np.array(group.column("turn")), kind="stable"), size, able, goal)
+        if abs(left) > ROUGH * float((rate * size).sum()):
+            # A few large documents: longest first comes nearer.
+            other, rest = _chosen(np.argsort(-size, kind="stable"), size, able, goal)
+            extra = other if abs(rest) < abs(left) else extra
         copies += extra
         kept = group.select(["doc_id", "row_key", "size", "source_size", "target"])
         return kept.append_column("copies", pa.array(copies, pa.int64()))

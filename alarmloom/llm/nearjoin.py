@@ -6,7 +6,8 @@
    with equal sets form one class, and only shingles met in two classes' prefixes are kept.
 3. In each shingle's list the entry that stands earliest in its set is the pivot. Round one compares
    every entry with its pivot; linked entries get one component. Round two compares what is left:
-   entries outside the pivot's component with all entries of other components. Pairs within a
+   entries outside the pivot's component with all entries of other components, in lists of three
+   entries or more (in a list of two the pivot has met the other). Pairs within a
    component need no look, so a group of near copies costs one pair each and loses no link between
    components. Conditions stand in the join, so only pairs that pass the filters leave it.
 4. Each surviving pair is verified once on the whole sets.
@@ -191,21 +192,30 @@ class Shingles:
 def _entries(reps: DataFrame, prefixes: DataFrame) -> DataFrame:
     """The lists of shared prefix shingles: one entry per shingle and class that has it.
 
-    `pos`: place in the set's order; `rank`: place among its shingles that are in some list.
+    `pos`: place in the set's order; `rank`: place among its shingles that are in some list;
+    `many`: the list has three entries or more, so its pivot does not meet all its pairs.
     """
     spread = prefixes.select("number", F.posexplode("prefix").alias("pos", "token"))
     shared = stage(
-        spread.groupBy("token").count().filter("count > 1").select("token"), "near-shared"
+        spread.groupBy("token")
+        .count()
+        .filter("count > 1")
+        .select("token", (F.col("count") > 2).alias("many")),
+        "near-shared",
     )
     held = (
         spread.join(shared, "token")
         .groupBy("number")
-        .agg(F.array_sort(F.collect_list(F.struct("pos", "token"))).alias("held"))
+        .agg(F.array_sort(F.collect_list(F.struct("pos", "token", "many"))).alias("held"))
     )
     return (
         held.join(reps.select("number", "node", "n"), "number")
         .select("node", "n", F.posexplode("held").alias("rank", "one"))
-        .select("one.token", F.struct(F.col("one.pos").alias("pos"), "n", "rank", "node").alias("entry"))
+        .select(
+            "one.token",
+            "one.many",
+            F.struct(F.col("one.pos").alias("pos"), "n", "rank", "node").alias("entry"),
+        )
     )
 
 
@@ -269,7 +279,8 @@ def near_classes(
 
     own = labels.withColumnRenamed("label", "component")
     labelled = stage(
-        entries.withColumn("node", F.col("entry.node"))
+        entries.filter("many")
+        .withColumn("node", F.col("entry.node"))
         .join(own, "node", "left")
         .select("token", "entry", F.coalesce("component", "node").alias("component")),
         "near-labelled",
