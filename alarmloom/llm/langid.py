@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame, functions as F
 from alarmloom.llm import common
 from alarmloom.llm.linear import bounded_sample, fit_svm, sigmoid
 
-SLOTS = 4096
-SAMPLE = 6000
+SLOTS = 2048
+SAMPLE = 4000
 UNKNOWN = "und"
 
 _LETTERS: list[np.ndarray] = []

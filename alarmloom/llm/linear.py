@@ -29,15 +29,16 @@ def fit_svm(x: np.ndarray, y: np.ndarray, rounds: int = 200, decay: float = 1e-4
     `x` has rows of length at most 1; `y` is 1 or -1; both classes weigh the same.
     """
     weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
-    w, b = np.zeros(x.shape[1]), 0.0
+    weight, y = weight.astype(np.float32), y.astype(np.float32)
+    w, b = np.zeros(x.shape[1], np.float32), np.float32(0)
     old_w, old_b = w, b
     for step in range(rounds):
-        pace = step / (step + 3)
+        pace = np.float32(step / (step + 3))
         at_w, at_b = w + pace * (w - old_w), b + pace * (b - old_b)
         short = np.maximum(0.0, 1 - y * (x @ at_w + at_b)) * y * weight
         old_w, old_b = w, b
-        w = at_w - 0.24 * (decay * at_w - 2 * (short @ x))
-        b = at_b + 0.48 * short.sum()
+        w = at_w - np.float32(0.24) * (np.float32(decay) * at_w - 2 * (short @ x))
+        b = at_b + np.float32(0.48) * short.sum()
     return w.astype(np.float32), float(b)
 
 
