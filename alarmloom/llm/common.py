@@ -69,7 +69,7 @@ def crc_of_id(id_col: str = "doc_id") -> Column:
 class Memo(dict):
     """A function's results by argument; emptied when it holds `most`, so memory stays bounded."""
 
-    def __init__(self, function: Callable, most: int = 1_000_000):
+    def __init__(self, function: Callable, most: int = 250_000):
         super().__init__()
         self.function, self.most = function, most
 

@@ -50,20 +50,26 @@ class Encoder:
     tokenizer would apply anyway; a word that may hold a special token is left as it is.
     """
 
-    def __init__(self, path: str, most: int = 1_500_000):
+    def __init__(self, path: str, most: int = 800_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.pieces, self.words, self.most = {}, {}, most
+        self.known, self.most = {}, most
+
+    @staticmethod
+    def _lowered(text: str | None) -> str:
+        if not text or "<|" in text:
+            return text or ""
+        if text.isascii():
+            return text.lower()
+        return text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
 
     @staticmethod
     def _split(word: str) -> list[str]:
         if "<|" in word:
             return [word]
         if word.isascii():
-            if word.isalpha():
-                return [word.lower()]
-            return ASCII_PIECE.findall(word.lower())
+            return [word] if word.isalpha() else ASCII_PIECE.findall(word.lower())
         tail = TAIL.search(word)
         if tail and word[tail.start() - 1].isalpha() and "'" not in tail[0]:
             return [word[: tail.start()], tail[0]]
@@ -77,19 +83,20 @@ class Encoder:
             gc.enable()
 
     def _encode(self, texts):
-        if len(self.words) > self.most:
-            self.words, self.pieces = {}, {}
-        split = [[w for w in BLANKS.split(text or "") if w] for text in texts]
-        met, words = self.pieces, self.words
-        new = {w: self._split(w) for own in split for w in own if w not in words}
-        unknown = list({p for own in new.values() for p in own if p not in met})
+        if len(self.known) > self.most:
+            self.known = {}
+        known = self.known
+        split = [[w for w in BLANKS.split(self._lowered(text)) if w] for text in texts]
+        new = {w: self._split(w) for own in split for w in own if w not in known}
+        unknown = list({p for own in new.values() for p in own if p not in known})
         for piece, coded in zip(
             unknown, self.tokenizer.encode_batch_fast(unknown, add_special_tokens=False)
         ):
-            met[piece] = np.array(coded.ids, np.uint32).tobytes()
+            known[piece] = np.array(coded.ids, np.uint32).tobytes()
         for word, own in new.items():
-            words[word] = b"".join([met[p] for p in own])
-        return [b"".join([words[w] for w in own]) for own in split]
+            if word not in known:
+                known[word] = b"".join([known[p] for p in own])
+        return [b"".join([known[w] for w in own]) for own in split]
 
 
 _ENCODERS: dict[str, Encoder] = {}
