@@ -29,6 +29,7 @@ SEPARATOR = 1
 GROUP = 4096
 ROUNDS = 400
 NEAR = 64
+SLICE = 50
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 BLANKS = re.compile("[ \t\n\r]+")
 # How the tokenizer splits text of ASCII characters, in lower case.
@@ -50,7 +51,7 @@ class Encoder:
     tokenizer would apply anyway; a word that may hold a special token is left as it is.
     """
 
-    def __init__(self, path: str, most: int = 800_000):
+    def __init__(self, path: str, most: int = 400_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -78,7 +79,8 @@ class Encoder:
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         gc.disable()  # nothing here is cyclic, and each collection would walk all known words
         try:
-            return self._encode(texts)
+            slices = range(0, len(texts), SLICE)
+            return [coded for at in slices for coded in self._encode(texts[at : at + SLICE])]
         finally:
             gc.enable()
 
