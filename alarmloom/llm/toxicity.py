@@ -184,15 +184,21 @@ class Model:
         return float(sigmoid(self.voters.votes(text)[1] @ self.weights + self.offset))
 
 
-def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model | None:
-    """A model from about `sample` rows (doc_id, text, toxic), both classes alike if they suffice."""
-    rows = labelled.filter(F.col("toxic").isin(0, 1)).withColumn("key", common.row_key())
-    chosen = bounded_sample(rows, "toxic", "key", sample).select(
-        "text", F.col("toxic").cast("int").alias("toxic")
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | None:
+    """A model from the texts (doc_id, text) of about `sample` labels (doc_id, toxic), both classes
+    alike if they suffice. The labels are sampled first, so only they meet the texts, by broadcast:
+    their number is bounded by `sample`."""
+    rows = labels.filter(F.col("toxic").isin(0, 1))
+    few = bounded_sample(rows, "toxic", "doc_id", sample)
+    chosen = stage(
+        docs.join(F.broadcast(few), "doc_id").select(
+            "text", F.col("toxic").cast("int").alias("toxic")
+        ),
+        "toxic-sample",
     )
     lexicon = learn_lexicon(chosen)
     totals = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
-    if len(totals) < 2:
+    if len(totals) < 2 or chosen.select("toxic").distinct().count() < 2:
         return None
     voters = Voters(lexicon)
 
@@ -257,7 +263,7 @@ def op10_toxicity(spark, sf_dir):
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = common.table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     held_out = common.crc_of_id() % 5 == 0
-    model = fit(docs.filter(~held_out).join(labels, "doc_id"))
+    model = fit(docs, stage(labels.filter(~held_out), "toxic-labels"))
     scored = score_texts(docs.withColumn("held_out", held_out), model)
     return scored.select(
         "doc_id",
