@@ -75,7 +75,8 @@ def deduplicated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     removed = stage(repeated_lines(docs, id_col, text_col), "line-removed")
     removed = removed.withColumnsRenamed({"row_key": "__key", "removed": "__lines"})
     rows = docs.withColumn("__key", common.row_key(id_col, text_col))
-    joined = rows.join(removed, "__key", "left")
+    # The list grows with the texts, so it is never broadcast: one plan at every size.
+    joined = rows.join(removed.hint("merge"), "__key", "left")
     kept = F.filter(_lines(text_col), lambda _, at: ~F.array_contains("__lines", at))
     text = F.when(F.col("__lines").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
     columns = [text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
