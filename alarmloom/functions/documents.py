@@ -16,13 +16,39 @@ def path(key: str) -> str:
 
 
 def object_or_none(text: Column) -> Column:
-    """Array with the parsed object, or an empty array if the text is not a JSON object.
+    """Array with the parsed object, or an empty array if the text is not one whole JSON object.
 
     Meant for `explode_outer`: the generator evaluates the parser once per row, while a plain
     parsed column would be parsed again in every filter on it.
+
+    The parser stops behind the first value it finds. So the text goes into a list of two, before a
+    hash of itself: whatever follows the object breaks the list or keeps the hash from its place.
+    """
+    ending = F.xxhash64(text)
+    pair = F.try_parse_json(F.concat(F.lit("["), text, F.lit(","), ending, F.lit("]")))
+    entries = F.array(F.try_variant_get(pair, "$", "array<variant>"))
+
+    def whole(found):
+        return (
+            _opens_object(text)
+            & (F.size(found) == 2)
+            & (F.try_variant_get(F.get(found, F.lit(1)), "$", "bigint") == ending)
+        )
+
+    return F.transform(F.filter(entries, whole), lambda found: F.get(found, F.lit(0)))
+
+
+def _opens_object(text: Column) -> Column:
+    return F.ltrim(text, F.lit(JSON_BLANKS)).startswith("{")
+
+
+def unreadable(is_read: Column, text: Column) -> Column:
+    """Why there is no object: `trailing_text` behind a good one, else `malformed`; NULL if read.
+
+    Only unread text is parsed a second time.
     """
-    is_object = F.ltrim(text, F.lit(JSON_BLANKS)).startswith("{")
-    return F.filter(F.array(F.try_parse_json(text)), lambda doc: doc.isNotNull() & is_object)
+    goes_on = _opens_object(text) & F.try_parse_json(text).isNotNull()
+    return F.when(~is_read & goes_on, F.lit("trailing_text")).when(~is_read, F.lit("malformed"))
 
 
 def field(doc: Column, key: str) -> Column:

@@ -6,7 +6,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from alarmloom.functions import documents
 from alarmloom.functions.identity import epoch_millis, stable_id, time_text
-from alarmloom.schemas import ALARM_LIST_KEY, HEADER_KEYS, MODULE_KEY, TRAILER_KEYS, TYPE_KEY
+from alarmloom.schemas import (
+    ALARM_LIST_KEY,
+    DISPOSE_KEY,
+    HEADER_KEYS,
+    MODULE_KEY,
+    TRAILER_KEYS,
+    TYPE_KEY,
+)
 
 # Arrival order of alarms. Messages of one batch may share a time stamp, so the position in the
 # source breaks the tie; the whole tuple is unique.
@@ -43,7 +50,7 @@ def explode_alarms(
     With `keep_rejects` a rejected message stays as one row with its reason and raw `value`, so that
     a job can store alarms and rejects from a single pass over its input.
     """
-    keys = HEADER_KEYS + TRAILER_KEYS
+    keys = HEADER_KEYS + TRAILER_KEYS + [DISPOSE_KEY]
     source = ["topic", "partition", "offset", "event_ts"]
     kept = ["value", "reject_reason"] if keep_rejects else []
     found = parsed.select(

@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, functions as F
 
+from alarmloom.functions import documents
 from alarmloom.schemas import APP_USAGE_TEXT_SCHEMA, NESTED_REPORT_SCHEMA
 
 
@@ -35,12 +36,10 @@ def typed_records(messages: DataFrame, schema) -> DataFrame:
 
     Parse errors do not stop the job; the caller splits the rejects off.
     """
-    text = F.col("value").cast("string")
+    text = F.coalesce(F.col("value").cast("string"), F.lit(""))
     parsed = messages.withColumn("record", F.from_json(text, schema, {"mode": "PERMISSIVE"}))
-    is_object = F.schema_of_variant(F.try_parse_json(text)).startswith("OBJECT<")
-    return parsed.withColumn(
-        "reject_reason", F.when(~F.coalesce(is_object, F.lit(False)), F.lit("malformed"))
-    )
+    is_object = F.size(documents.object_or_none(text)) == 1
+    return parsed.withColumn("reject_reason", documents.unreadable(is_object, text))
 
 
 def numbered_fields(rows: DataFrame) -> DataFrame:

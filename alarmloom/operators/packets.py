@@ -63,23 +63,40 @@ def decode_header(records: DataFrame) -> DataFrame:
     )
 
 
+FLOW_START = HEADER_BYTES + ETHERNET_BYTES
+
+
+def _framed(records: DataFrame) -> DataFrame:
+    """Adds what the drop rule and the decoder read from the front of a frame."""
+    # Up to the ports: the longest IPv4 header is 60 bytes, the TCP header adds at least 20.
+    longest = FLOW_START + 60 + 20
+    return (
+        records.withColumn("frame_bytes", F.coalesce(F.length("value"), F.lit(0)))
+        .withColumn("head", F.hex(F.substring("value", 1, longest)))
+        .withColumn("protocol_number", unsigned(F.col("head"), FLOW_START + 9, 1))
+        .withColumn("ip_bytes", bits(unsigned(F.col("head"), FLOW_START, 1), 0, 4) * 4)
+    )
+
+
+def _drop_reason() -> Column:
+    """Why a framed record is not decoded, NULL if it is; the only place that knows the rule."""
+    number = F.col("protocol_number")
+    ports = F.when(number != 1, F.lit(4)).otherwise(F.lit(0))
+    return (
+        F.when(F.col("frame_bytes") < FLOW_START + IP_BYTES, F.lit("short"))
+        .when(~number.isin(list(PROTOCOLS)), F.lit("protocol"))
+        .when(F.col("ip_bytes") < IP_BYTES, F.lit("ip_header"))
+        .when(F.col("frame_bytes") < F.lit(FLOW_START) + F.col("ip_bytes") + ports, F.lit("transport"))
+    )
+
+
 def decode_flow(records: DataFrame) -> DataFrame:
     """Addresses, ports, protocol and payload of the decodable frames; the others are dropped.
 
     Dropped are frames of another protocol and frames too short for what their headers announce.
     """
-    start = HEADER_BYTES + ETHERNET_BYTES
-    # Up to the ports: the longest IPv4 header is 60 bytes, the TCP header adds at least 20.
-    longest = start + 60 + 20
-    framed = (
-        records.withColumn("frame_bytes", F.length("value"))
-        .filter(F.col("frame_bytes") >= start + IP_BYTES)
-        .withColumn("head", F.hex(F.substring("value", 1, longest)))
-        .withColumn("protocol_number", unsigned(F.col("head"), start + 9, 1))
-        .filter(F.col("protocol_number").isin(list(PROTOCOLS)))
-        .withColumn("ip_bytes", bits(unsigned(F.col("head"), start, 1), 0, 4) * 4)
-        .filter(F.col("ip_bytes") >= IP_BYTES)
-    )
+    start = FLOW_START
+    decoded = _framed(records).filter(_drop_reason().isNull())
     head = F.col("head")
     transport = F.lit(start) + F.col("ip_bytes")
     number = F.col("protocol_number")
@@ -95,9 +112,6 @@ def decode_flow(records: DataFrame) -> DataFrame:
         .otherwise(ICMP_HEADER_BYTES)
     )
     name = F.when(number == 17, "UDP").when(number == 6, "TCP").otherwise("ICMP")
-    decoded = framed.filter(
-        F.col("frame_bytes") >= transport + F.when(has_ports, F.lit(4)).otherwise(F.lit(0))
-    )
     payload_at = (transport + transport_bytes).cast("int")
     return decoded.select(
         *records.columns,
@@ -122,14 +136,8 @@ def decode_packets(records: DataFrame) -> DataFrame:
 
 def dropped_packets(records: DataFrame) -> DataFrame:
     """Counts of the frames that `decode_flow` keeps and drops, by reason."""
-    start = HEADER_BYTES + ETHERNET_BYTES
-    protocol = unsigned(F.hex(F.substring("value", start + 10, 1)), 0, 1)
-    reason = (
-        F.when(F.length("value") < start + IP_BYTES, F.lit("short"))
-        .when(~protocol.isin(list(PROTOCOLS)), F.lit("protocol"))
-        .otherwise(F.lit("decoded"))
-    )
-    return records.groupBy(reason.alias("outcome")).count()
+    outcome = F.coalesce(_drop_reason(), F.lit("decoded"))
+    return _framed(records).groupBy(outcome.alias("outcome")).count()
 
 
 def packet_key(value: Column, key: str = "reference") -> Column:
@@ -147,9 +155,12 @@ def packet_key(value: Column, key: str = "reference") -> Column:
 
 
 def keyed_packets(
-    records: DataFrame, partitions: int, key: str = "reference", salts: int = 1
+    records: DataFrame, partitions: int, key: str = "reference", salts: int = 16
 ) -> DataFrame:
-    """Records hash-distributed by packet key. Decoding does not need this; a hot key can be salted."""
+    """Records hash-distributed by packet key, a key over up to `salts` partitions.
+
+    Decoding does not need this. With `salts=1` a key stays whole.
+    """
     keyed = records.withColumn("packet_key", packet_key(F.col("value"), key))
     by = ["packet_key"]
     if salts > 1:

@@ -8,6 +8,7 @@ from alarmloom.functions.text import quote_to_bar
 from alarmloom.schemas import (
     BODY_KEYS,
     DESCRIPTION_KEY,
+    DISPOSE_KEY,
     HEADER_KEYS,
     MODULE_KEY,
     TRAILER_KEYS,
@@ -73,7 +74,7 @@ def _extras() -> Column:
 
 def alarm_row(rows: DataFrame, ids: list[str], links: list[str], extras: bool = True) -> DataFrame:
     """Header, link columns (`pid`, `size`, ...), body, trailer and unknown keys of classified alarms."""
-    defaults = {"event_level": "0", "disposetime": "1", "size": "1"}
+    defaults = {"event_level": "0", DISPOSE_KEY: "1", "size": "1"}
     return _with_body(rows).select(
         *[_or_default(name) for name in ids],
         *[_or_default(name) for name in HEADER_KEYS],
@@ -92,12 +93,9 @@ def _ids(generation: int) -> list[str]:
 
 
 def immediate_rows(rows: DataFrame, generation: int = 2, extras: bool = True) -> DataFrame:
-    """Alarms that are not merged: `size` is 1."""
-    links = ["size"] + (["disposetime", "event_level"] if generation == 2 else [])
-    filled = rows.withColumn("size", F.lit("1")).withColumn(
-        "disposetime", documents.field_text(F.col("alarm"), "disposetime")
-    )
-    return alarm_row(filled, _ids(generation), links, extras)
+    """Alarms that are not merged: `size` is 1, and `disposetime` is the message's."""
+    links = ["size"] + ([DISPOSE_KEY, "event_level"] if generation == 2 else [])
+    return alarm_row(rows.withColumn("size", F.lit("1")), _ids(generation), links, extras)
 
 
 def detail_rows(rows: DataFrame, generation: int = 2, extras: bool = True) -> DataFrame:

@@ -34,8 +34,12 @@ def parse_alarm_messages(messages: DataFrame, clock: str = "arrival") -> DataFra
     parsed = _with_document(drop_empty(messages), F.col("value"), clock)
     return parsed.withColumn(
         "reject_reason",
-        F.when(F.col("doc").isNull(), F.lit("malformed")).when(
-            documents.object_list(F.col("doc"), ALARM_LIST_KEY).isNull(), F.lit("no_alarm_list")
+        F.coalesce(
+            documents.unreadable(F.col("doc").isNotNull(), F.col("value")),
+            F.when(
+                documents.object_list(F.col("doc"), ALARM_LIST_KEY).isNull(),
+                F.lit("no_alarm_list"),
+            ),
         ),
     )
 
@@ -43,8 +47,8 @@ def parse_alarm_messages(messages: DataFrame, clock: str = "arrival") -> DataFra
 def _parse_lines(lines: DataFrame, repaired: Column, clock: str) -> DataFrame:
     return _with_document(lines, repaired, clock).withColumn(
         "reject_reason",
-        F.when(F.col("value").isNull() | (F.col("value") == ""), F.lit("empty")).when(
-            F.col("doc").isNull(), F.lit("malformed")
+        F.when(F.col("value").isNull() | (F.col("value") == ""), F.lit("empty")).otherwise(
+            documents.unreadable(F.col("doc").isNotNull(), repaired)
         ),
     )
 

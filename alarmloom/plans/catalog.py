@@ -10,7 +10,7 @@ from alarmloom.functions.identity import dashed, stable_id
 from alarmloom.operators import alarms as al
 from alarmloom.operators import backfill, classify, merge, nested, packets, project, records
 from alarmloom.plans import jobs
-from alarmloom.schemas import MESSAGE_SCHEMA, MODULE_KEY, TYPE_KEY
+from alarmloom.schemas import MESSAGE_SCHEMA, MODULE_KEY, NESTED_REPORT_SCHEMA, TYPE_KEY
 from alarmloom.session import configure, new_folder, stage
 from alarmloom.sinks.tables import read_table, write_batch, write_lines
 from alarmloom.sources import files, samples
@@ -276,11 +276,63 @@ def schemaless_metadata_rows(spark, sf_dir):
     return rows.withColumnRenamed("content_length ", "content_length_key")
 
 
+def _line_table(job, encode, **options):
+    """What a line job has written to its table, read back."""
+
+    def query(spark, sf_dir):
+        root = new_folder(spark, f"lines-{job}")
+        jobs.run_line_batch(job, encode(spark, sf_dir, **options), root, batch_id=0)
+        return read_table(spark, root, jobs.LINE_JOBS[job][0]).drop("batch_id")
+
+    return query
+
+
+vendor_table_rows = _line_table("vendor", samples.vendor_lines)
+metadata_table_rows = _line_table("metadata", samples.metadata_lines)
+
+
+def schemaless_table_rows(spark, sf_dir):
+    written = _line_table("vendor_loose", samples.vendor_lines, plain_brackets=True)
+    rows = project.pivot_fields(written(spark, sf_dir), VENDOR_KEYS)
+    return rows.withColumn("extras", F.size("extras"))
+
+
+def schemaless_metadata_table_rows(spark, sf_dir):
+    written = _line_table("metadata_loose", samples.metadata_lines)
+    rows = project.pivot_fields(written(spark, sf_dir), METADATA_KEYS)
+    return rows.withColumn("extras", F.size("extras")).withColumnRenamed(
+        "content_length ", "content_length_key"
+    )
+
+
+def backfill_table_rows(spark, sf_dir):
+    root = new_folder(spark, "backfill")
+    jobs.run_backfill_batch(samples.backfill_lines(spark, sf_dir), root, batch_id=0)
+    return read_table(spark, root, jobs.BACKFILL_TABLE).drop("batch_id")
+
+
+def report_table_rows(spark, sf_dir):
+    root = new_folder(spark, "report")
+    jobs.run_report_batch(samples.alarm_messages(spark, sf_dir), root, batch_id=0)
+    return _with_zone(read_table(spark, root, jobs.REPORT_TABLE)).drop("batch_id")
+
+
+def typed_record_counts(spark, sf_dir):
+    """Records read with a declared schema, and those that are no whole object."""
+    typed = nested.typed_records(
+        samples.alarm_messages(spark, sf_dir, broken=True), NESTED_REPORT_SCHEMA
+    )
+    outcome = F.coalesce("reject_reason", F.lit("read")).alias("outcome")
+    return typed.groupBy(outcome).agg(F.count("*").alias("n"))
+
+
 def reject_counts(spark, sf_dir):
     """Everything left out, by source and reason."""
     alarms = jobs.alarm_rejects(samples.alarm_messages(spark, sf_dir, broken=True))
-    vendor = text_values(samples.vendor_lines(spark, sf_dir), null_as_empty=True)
-    metadata = text_values(samples.metadata_lines(spark, sf_dir), null_as_empty=True)
+    vendor = text_values(samples.vendor_lines(spark, sf_dir, trailing=True), null_as_empty=True)
+    metadata = text_values(
+        samples.metadata_lines(spark, sf_dir, trailing=True), null_as_empty=True
+    )
     lines = samples.backfill_lines(spark, sf_dir)
     parts = [
         alarms.select("topic", "reject_reason"),
@@ -422,6 +474,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "metadata_rows": metadata_rows,
     "schemaless_rows": schemaless_rows,
     "schemaless_metadata_rows": schemaless_metadata_rows,
+    "vendor_table_rows": vendor_table_rows,
+    "metadata_table_rows": metadata_table_rows,
+    "schemaless_table_rows": schemaless_table_rows,
+    "schemaless_metadata_table_rows": schemaless_metadata_table_rows,
+    "backfill_table_rows": backfill_table_rows,
+    "report_table_rows": report_table_rows,
+    "typed_record_counts": typed_record_counts,
     "reject_counts": reject_counts,
     "packet_header": packet_header,
     "packet_flow": packet_flow,

@@ -103,11 +103,17 @@ def start_alarm_stream(
     generation: int = 2,
     seconds: int | None = None,
     clock: str = "processing",
-    delay: str = "0 seconds",
+    delay: str | None = None,
     trigger_seconds: int | None = 8,
 ) -> list[StreamingQuery]:
     """Two queries: alarms and rejects stored at once (no state), and merged alarms (state per
-    open window). With the processing clock a heartbeat closes windows while no message comes."""
+    open window). With the processing clock a heartbeat closes windows while no message comes; a
+    run without a trigger would end before that, so it needs the arrival clock. There `delay` must
+    be given: Spark leaves out alarms that come later than that."""
+    if clock == "processing" and trigger_seconds is None:
+        raise ValueError("a bounded run would leave its last windows open: use clock='arrival'")
+    if clock == "arrival" and delay is None:
+        raise ValueError("clock='arrival' needs a delay that covers the disorder of the topic")
     job = al.GENERATIONS[generation]
     seconds = seconds or job.window_seconds
     everything = classified_alarms(messages, generation, clock, keep_rejects=True)
@@ -137,7 +143,7 @@ def start_alarm_stream(
     if clock == "processing" and trigger_seconds is not None:
         rows = stream_merge.with_heartbeat(rows)
     merged = start(
-        stream_merge.merge_stream(rows, seconds, delay),
+        stream_merge.merge_stream(rows, seconds, delay or "0 seconds"),
         table_writer(f"{root}/merged", tables),
         f"{checkpoint}/merged",
         seconds=trigger_seconds,
@@ -153,11 +159,15 @@ def stream_warnings(spark: SparkSession, root: str, generation: int = 2) -> Data
     )
 
 
-# Table and columns of the two line formats.
+# Tables of the line formats, with their columns where these are declared.
 LINE_JOBS = {
     "vendor": ("bus_ahwarning", VENDOR_COLUMNS, records.parse_vendor_lines),
     "metadata": ("bus_ahmetadata", METADATA_COLUMNS, records.parse_metadata_lines),
+    "vendor_loose": ("bus_ahwarning_local", None, records.parse_loose_lines),
+    "metadata_loose": ("Matedata", None, records.parse_loose_lines),
 }
+BACKFILL_TABLE = "bus_twarning_local"
+REPORT_TABLE = "report"
 
 
 def _parsed_lines(job: str, lines: DataFrame, mode: str, clock: str) -> DataFrame:
@@ -165,7 +175,9 @@ def _parsed_lines(job: str, lines: DataFrame, mode: str, clock: str) -> DataFram
 
 
 def _line_rows(job: str, parsed: DataFrame) -> DataFrame:
-    return project.fixed_projection(records.usable(parsed), LINE_JOBS[job][1])
+    columns = LINE_JOBS[job][1]
+    rows = records.usable(parsed)
+    return project.schemaless_rows(rows) if columns is None else project.fixed_projection(rows, columns)
 
 
 def vendor_rows(lines: DataFrame, mode: str = "reference", clock: str = "arrival") -> DataFrame:
@@ -185,7 +197,7 @@ def _line_writer(job: str, root: str):
 def run_line_batch(
     job: str, lines: DataFrame, root: str, batch_id: int, mode: str = "reference"
 ) -> None:
-    """Vendor alerts or metadata of one slice into their table, and what cannot be parsed."""
+    """One slice of a line format into its table, and what cannot be parsed."""
     _line_writer(job, root)(_parsed_lines(job, lines, mode, "arrival"), batch_id)
 
 
@@ -209,3 +221,17 @@ def packet_rows(messages: DataFrame) -> DataFrame:
 
 def backfill_rows(lines: DataFrame) -> DataFrame:
     return backfill.backfill_rows(lines)
+
+
+def run_backfill_batch(lines: DataFrame, root: str, batch_id: int) -> None:
+    """Historical CSV into its table; lines with too few fields are kept aside."""
+    write_batch(backfill.backfill_rows(lines), root, BACKFILL_TABLE, batch_id)
+    write_batch(backfill.backfill_rejects(lines), root, f"{BACKFILL_TABLE}_rejects", batch_id)
+
+
+def run_report_batch(messages: DataFrame, root: str, batch_id: int) -> None:
+    """Raw alarms, not classified, into the report table, with the rejects."""
+    parsed = records.parse_alarm_messages(text_values(messages, null_as_empty=True))
+    alarms = stage(al.explode_alarms(parsed, keep_rejects=True), "report")
+    write_batch(project.report_rows(al.usable_alarms(alarms)), root, REPORT_TABLE, batch_id)
+    write_batch(records.rejects(alarms), root, REJECTS, batch_id)

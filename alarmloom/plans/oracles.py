@@ -224,12 +224,13 @@ def _layout(ids, links, classified=True, header=None):
 
 IDS = {"uuid": "uuid", "date": "date", "currenttime": "currenttime"}
 SUMMARY_IDS = {"uuid": "uuid", "date": "last_date", "currenttime": "currenttime"}
-IMMEDIATE_LINKS = {"size": "'1'", "disposetime": "'1'", "event_level": "'0'"}
+DISPOSED = "CASE WHEN msg_id % 7 = 3 THEN '7' ELSE '1' END"
+IMMEDIATE_LINKS = {"size": "'1'", "disposetime": DISPOSED, "event_level": "'0'"}
 
 
 def _warning_table():
     none = "CAST(NULL AS VARCHAR)"
-    immediate = _layout(IDS, {"pid": none, "size": "'1'", "disposetime": "'1'", "event_level": "'0'"})
+    immediate = _layout(IDS, {"pid": none, **IMMEDIATE_LINKS})
     summary = _layout(
         SUMMARY_IDS,
         {"pid": "pid", "size": "CAST(size AS VARCHAR)", "disposetime": none, "event_level": "'0'"},
@@ -329,13 +330,25 @@ found AS (
   SELECT 'da_warning' AS topic, 'malformed' AS reject_reason FROM message WHERE msg_id % 50 = 49
   UNION ALL SELECT 'da_warning', 'no_alarm_list' FROM message WHERE msg_id % 50 = 48
   UNION ALL SELECT 'da_warning', 'missing_code' FROM alarm WHERE msg_id % 50 = 44 AND pos = 0
+  UNION ALL SELECT 'da_warning', 'trailing_text' FROM message WHERE msg_id % 50 IN (42, 43)
   UNION ALL SELECT 'ah_warning', 'malformed' FROM events WHERE event_id % 50 = 49
+  UNION ALL SELECT 'ah_warning', 'trailing_text' FROM events WHERE event_id % 50 = 48
+  UNION ALL SELECT 'ah_metadata', 'trailing_text' FROM events WHERE event_id % 50 = 48
   UNION ALL SELECT 'ah_metadata', 'malformed' FROM events WHERE event_id % 50 = 49
   UNION ALL SELECT 'backfill', 'too_few_fields' FROM events WHERE event_id % 20 = 19
 )
 SELECT topic, reject_reason, count(*) AS n FROM found GROUP BY topic, reject_reason
 """
 
+TYPED_RECORDS = f"""
+WITH {NUMBERED},
+message AS (SELECT DISTINCT msg_id FROM alarm)
+SELECT CASE WHEN msg_id % 50 IN (46, 47, 49) THEN 'malformed'
+            WHEN msg_id % 50 IN (42, 43) THEN 'trailing_text' ELSE 'read' END AS outcome,
+       count(*) AS n
+FROM message GROUP BY 1
+"""
+
 # --- Packets --------------------------------------------------------------------------------------
 
 PLACE = "CAST(event_id % 3 AS INTEGER) AS partition, event_id // 3 AS \"offset\""
@@ -366,7 +379,7 @@ flow AS (
          '10.0.0.' || (user_id % 256) AS src_ip, '10.1.0.' || (event_id % 256) AS dst_ip,
          CASE WHEN event_id % 4 < 2 THEN user_id % 65536 END AS src_port,
          CASE WHEN event_id % 4 < 2 THEN event_id * 5 % 65536 END AS dst_port
-  FROM {PACKET} AND event_id % 4 <> 3
+  FROM {PACKET} AND event_id % 4 <> 3 AND event_id % 40 NOT IN (12, 21)
 )
 """
 
@@ -390,6 +403,7 @@ FROM flow
 
 PACKET_DROPPED = """
 SELECT CASE WHEN event_id % 40 = 8 THEN 'short' WHEN event_id % 4 = 3 THEN 'protocol'
+            WHEN event_id % 40 = 21 THEN 'ip_header' WHEN event_id % 40 = 12 THEN 'transport'
             ELSE 'decoded' END AS outcome, count(*) AS n
 FROM events GROUP BY 1
 """
@@ -534,6 +548,14 @@ ORACLES: dict[str, str] = {
     "metadata_rows": _metadata(),
     "schemaless_rows": _schemaless_vendor(),
     "schemaless_metadata_rows": _schemaless_metadata(),
+    "vendor_table_rows": _vendor(),
+    "metadata_table_rows": _metadata(),
+    "schemaless_table_rows": _schemaless_vendor(),
+    "schemaless_metadata_table_rows": _schemaless_metadata(),
+    "backfill_table_rows": BACKFILL,
+    "report_table_rows": f"WITH {NUMBERED} SELECT "
+    + f"{_layout({}, {}, classified=False, header={'reserved': chr(39) + '-1' + chr(39)})} FROM alarm",
+    "typed_record_counts": TYPED_RECORDS,
     "reject_counts": REJECTS,
     "packet_header": PACKET_HEADER,
     "packet_flow": PACKET_FLOW,

@@ -16,6 +16,7 @@ ALARM_LIST_KEY = "basicMessageBasicList"
 MODULE_KEY = "verifyFunctionModuleCode"
 TYPE_KEY = "verifyTypeId"
 DESCRIPTION_KEY = "incidentdescription"
+DISPOSE_KEY = "disposetime"
 
 # Keys seen inside one nested alarm. A record carries some of them; any other key goes to `extras`.
 BODY_KEYS = """

@@ -78,7 +78,8 @@ def alarm_messages(
 
     `mixed_codes`: some codes are written as strings or decimals, which do not count as codes.
     `broken`: five of every fifty messages are truncated, lack the list, are empty, are null, or
-    have an empty list; one in fifty has an alarm without a type code.
+    have an empty list; one is a message behind a message, one has text behind it; one in fifty has
+    an alarm without a type code.
     """
     number = F.expr("element_at(array(4, 5, 6, 7, 10), cast(event_id % 5 as int) + 1)")
     module = number.cast("string")
@@ -108,6 +109,7 @@ def alarm_messages(
         (F.lit(0) - F.col("event_id")).alias("byteNumber"),
         F.lit(1).alias("verifyMessageBodyType"),
         F.when(_remainder(9) == 2, F.concat(F.lit("zone'"), _remainder(4))).alias("zoneTag"),
+        F.when(_remainder(17) == 4, F.lit("9")).alias("disposetime"),
     )
     no_kind = F.lit(broken) & (_remainder(50, "msg_id") == 44) & (F.col("pos") == 0)
     alarm = F.concat(
@@ -136,6 +138,7 @@ def alarm_messages(
         F.size("entries").alias("messageNumber"),
         F.lit(0).alias("messageSplitSerialId"),
         F.lit(0).alias("verifyCode"),
+        F.when(_remainder(7, "msg_id") == 3, F.lit("7")).alias("disposetime"),
     )
     opening = F.concat(
         F.regexp_replace(F.to_json(header), "}$", ""),
@@ -156,6 +159,8 @@ def alarm_messages(
             .when(case == 47, F.lit(""))
             .when(case == 46, F.lit(None).cast("string"))
             .when(case == 45, F.concat(opening, F.lit(f',"{ALARM_LIST_KEY}":[]'), trailer))
+            .when(case == 43, F.concat(value, value))
+            .when(case == 42, F.concat(value, F.lit(" end")))
             .otherwise(value)
         )
     return _frame(packed, "da_warning", value, F.col("msg_id"), F.col("ts"))
@@ -172,16 +177,18 @@ def _mixed(code: Column, remainder: Column) -> Column:
 
 @_dumped()
 def vendor_lines(
-    spark: SparkSession, sf_dir: str, plain_brackets: bool = False
+    spark: SparkSession, sf_dir: str, plain_brackets: bool = False, trailing: bool = False
 ) -> DataFrame:
     """Vendor alerts: one third bracketed, some with an absent or null key, one in fifty truncated.
 
-    With `plain_brackets` the unbracketed records write [10.2.0.7] for a text as well.
+    With `plain_brackets` the unbracketed records write [10.2.0.7] for a text as well. With
+    `trailing` one in fifty goes on behind its object, with a second object or with other text.
     """
     return _flat_lines(
         spark,
         sf_dir,
         plain_brackets=plain_brackets,
+        trailing=trailing,
         topic="ah_warning",
         bracketed_keys={"srcAddress": F.concat(F.lit("10.2.0."), F.col("user_id") % 256)},
         keys={
@@ -196,11 +203,12 @@ def vendor_lines(
 
 
 @_dumped()
-def metadata_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def metadata_lines(spark: SparkSession, sf_dir: str, trailing: bool = False) -> DataFrame:
     """Traffic metadata, same rules; plain records carry double backslashes in `uri`."""
     return _flat_lines(
         spark,
         sf_dir,
+        trailing=trailing,
         topic="ah_metadata",
         bracketed_keys={
             "sip": F.concat(F.lit("10.3.0."), F.col("user_id") % 256),
@@ -218,7 +226,8 @@ def metadata_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _flat_lines(
-    spark, sf_dir, topic, bracketed_keys, keys, optional_key, optional_value, plain_brackets=False
+    spark, sf_dir, topic, bracketed_keys, keys, optional_key, optional_value, trailing,
+    plain_brackets=False,
 ):
     events = _events(spark, sf_dir)
     bracketed = _remainder(3) == 0
@@ -247,6 +256,9 @@ def _flat_lines(
     document = F.when(
         _remainder(50) == 49, F.substring(document, F.lit(1), F.length(document) - 12)
     ).otherwise(document)
+    if trailing:
+        more = F.when(_remainder(100) == 48, F.lit(',{"k":1}')).otherwise(F.lit(" end"))
+        document = F.when(_remainder(50) == 48, F.concat(document, more)).otherwise(document)
     value = F.when(bracketed, F.concat(F.lit("["), document, F.lit("]\n"))).otherwise(document)
     return _frame(events, topic, value, F.col("event_id"), F.col("ts"))
 
@@ -269,7 +281,8 @@ def backfill_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def packet_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Binary frames: 28-byte header, Ethernet, IPv4 (UDP, TCP, ICMP or protocol 50), payload.
 
-    One IPv4 header in three carries 4 option bytes; one frame in forty is cut inside the header.
+    One IPv4 header in three carries option bytes, 4 or the full 40; of forty frames one is cut
+    inside the header, one inside the ports, and one states too short an IPv4 header.
     """
     eid = F.col("event_id")
 
@@ -316,8 +329,17 @@ def packet_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         hexed(F.col("user_id") % 256, 1),
         F.lit("0800"),
     ]
-    options = F.when(eid % 3 == 0, F.lit("01010101")).otherwise(F.lit(""))
-    version_and_length = F.when(eid % 3 == 0, F.lit("46")).otherwise(F.lit("45"))
+    options = (
+        F.when(eid % 60 == 36, F.lit("01" * 40))
+        .when(eid % 3 == 0, F.lit("01010101"))
+        .otherwise(F.lit(""))
+    )
+    version_and_length = (
+        F.when(eid % 40 == 21, F.lit("44"))
+        .when(eid % 60 == 36, F.lit("4F"))
+        .when(eid % 3 == 0, F.lit("46"))
+        .otherwise(F.lit("45"))
+    )
     protocol = F.expr("element_at(array(17, 6, 1, 50), cast(event_id % 4 as int) + 1)")
     ports = F.concat(hexed(F.col("user_id") % 65536, 2), hexed(eid * 5 % 65536, 2))
     transport = (
@@ -340,7 +362,13 @@ def packet_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         options,
     ]
     frame = F.concat(*header, *ethernet, *ip, transport, hexed(eid % 4294967296, 4))
-    frame = F.when(eid % 40 == 8, F.substring(frame, 1, 40)).otherwise(frame)
+    # Two hex digits a byte; the IPv4 header ends 62 bytes behind the start, without its options.
+    in_ports = F.concat(*header, *ethernet, *ip, F.substring(transport, 1, 4))
+    frame = (
+        F.when(eid % 40 == 8, F.substring(frame, 1, 40))
+        .when(eid % 40 == 12, in_ports)
+        .otherwise(frame)
+    )
     return _frame(
         _events(spark, sf_dir), "packdata", F.unhex(frame), F.col("event_id"), F.col("ts")
     )

@@ -47,10 +47,12 @@ def table_writer(
         shared = len(tables) > 1
         if shared:
             batch.persist()
-        for table, select in tables.items():
-            write_batch(select(batch), root, table, batch_id)
-        if shared:
-            batch.unpersist()
+        try:
+            for table, select in tables.items():
+                write_batch(select(batch), root, table, batch_id)
+        finally:
+            if shared:
+                batch.unpersist()
 
     return write
 

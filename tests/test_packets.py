@@ -108,6 +108,24 @@ def test_flows(messages):
     }
 
 
+def test_counts_agree_with_the_decoder(messages):
+    short_header = bytearray(header() + frame(17, udp(1, 2, b"x")))
+    short_header[28 + 14] = 0x44
+    records = [
+        header() + frame(17, udp(53, 1, b"dns")),
+        header() + frame(1, b""),
+        header() + frame(17, b"\x00\x01"),
+        bytes(short_header),
+        header() + frame(50, b"\x00" * 8),
+        header()[:20],
+        None,
+    ]
+    found = byte_values(messages([(0, i, 1, r) for i, r in enumerate(records)], "p"))
+    counts = {r.outcome: r["count"] for r in packets.dropped_packets(found).collect()}
+    assert counts == {"decoded": 2, "transport": 1, "ip_header": 1, "protocol": 1, "short": 2}
+    assert packets.decode_flow(found).count() == 2
+
+
 def test_large_payload_is_kept_whole(messages):
     payload = bytes(range(256)) * 5
     found = rows(messages, [header() + frame(17, udp(1, 2, payload))])
@@ -127,7 +145,7 @@ def test_decoding_does_not_shuffle_and_a_hot_key_can_be_salted(spark, messages):
     records = byte_values(messages([(0, i, 1, header(sequence_number=i)) for i in range(50)], "p"))
     plan = packets.decode_packets(records)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
-    plain = packets.keyed_packets(records, 8)
+    plain = packets.keyed_packets(records, 8, salts=1)
     salted = packets.keyed_packets(records, 8, salts=8)
     used = [
         f.select(F.spark_partition_id().alias("p")).distinct().count() for f in (plain, salted)

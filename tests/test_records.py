@@ -203,3 +203,24 @@ def test_ids(spark):
     assert found.a == found.b != found.c
     assert len(found.r) == 32 and "-" not in found.r
     assert found.d == "01234567-89ab-cdef-0123-456789abcdef"
+
+
+@pytest.mark.parametrize(
+    "text, reason",
+    [
+        ('{"name":"a"}', None),
+        (' {"name":"a"}\n', None),
+        ('{"name":"a"}{"name":"b"}', "trailing_text"),
+        ('{"name":"a"} trailing', "trailing_text"),
+        ('{"name":"a"},{"name":"b"}', "trailing_text"),
+        ('{"name":"a"},"k":1', "trailing_text"),
+        ('{"name":"a"},1] rest', "trailing_text"),
+        ('[{"name":"x"},{"name":"y"}]\n', "trailing_text"),
+        ("[1]", "malformed"),
+        ("7", "malformed"),
+    ],
+)
+def test_text_behind_the_object_is_rejected(messages, text, reason):
+    for parse in (records.parse_vendor_lines, records.parse_metadata_lines):
+        row = parse(text_values(messages([(0, 0, 1, text)]))).first()
+        assert row.reject_reason == reason

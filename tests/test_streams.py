@@ -39,7 +39,7 @@ def add_file(frame, folder):
 def run(spark, folder, root, checkpoint, generation=2, seconds=20, clock="arrival"):
     stream = message_stream(spark, str(folder), max_files_per_trigger=1)
     started = jobs.start_alarm_stream(
-        stream, str(root), str(checkpoint), generation, seconds, clock, trigger_seconds=None
+        stream, str(root), str(checkpoint), generation, seconds, clock, "0 seconds", trigger_seconds=None
     )
     for query in started:
         query.awaitTermination()
@@ -73,6 +73,14 @@ def test_stream_over_several_batches_and_a_restart_equals_batch(spark, messages,
     assert immediate.count() == jobs.is_immediate(jobs.classified_alarms(whole, 2)).count()
 
 
+@pytest.mark.parametrize("options", [{"clock": "processing", "trigger_seconds": None}, {"clock": "arrival"}])
+def test_runs_that_would_lose_alarms_are_refused(spark, tmp_path, options):
+    with pytest.raises(ValueError):
+        jobs.start_alarm_stream(
+            message_stream(spark, str(tmp_path)), str(tmp_path), str(tmp_path), **options
+        )
+
+
 def test_processing_clock_merges_what_arrives_together(spark, messages, tmp_path):
     folder = tmp_path / "in"
     add_file(minute(messages, 0), folder)
