@@ -38,7 +38,7 @@ alarm AS (
 )
 """
 
-# (module, type) -> labels; `%S`, `%D`, `%N` stand for source, destination and serial number.
+# Fixed values: (module, type) -> labels; `%S`, `%D`, `%N` stand for source, destination and serial number.
 SHARED = """
  (6, 0, '标签校验错误告警'), (6, 1, '标签目的地址未在白名单告警'), (6, 2, '非法访问跳变地址告警'),
  (6, 5, '变形会话异常结束告警'), (6, 7, '变形会话异常结束告警'), (6, 8, '变形会话'),
@@ -166,15 +166,15 @@ def _merge_summary(generation):
 
 
 HEADER_VALUES = {
-    "messageProtocolVersion": "'V0.0.0.1'",
-    "messageDeviceTypeId": "'50'",
-    "messageProductId": "'49'",
+    "messageProtocolVersion": "'V3.2.1'",
+    "messageDeviceTypeId": "'61'",
+    "messageProductId": "'62'",
     "messageDeviceDescribe": "CASE WHEN msg_id % 13 = 6 THEN 'core ''A''' ELSE 'C' || (msg_id % 50) END",
-    "messageEmbeddedSoftwareVersion": "'V-731.-114'",
+    "messageEmbeddedSoftwareVersion": "'V-12.-7'",
     "messageChipVersion": "'-1'",
     "messageDeviceSerialId": "serial",
     "messagePackageId": "CAST(msg_id % 256 AS VARCHAR)",
-    "messageLoadLength": "'2696'",
+    "messageLoadLength": "'3120'",
     "messageNumber": "CAST(in_message AS VARCHAR)",
     "messageSplitSerialId": "'0'",
     "verifyCode": "'0'",

@@ -125,16 +125,16 @@ def alarm_messages(
         .agg(F.max("ts").alias("ts"), F.array_sort(F.collect_list("entry")).alias("entries"))
     )
     header = F.struct(
-        F.lit("V0.0.0.1").alias("messageProtocolVersion"),
-        F.lit(50).alias("messageDeviceTypeId"),
-        F.lit(49).alias("messageProductId"),
+        F.lit("V3.2.1").alias("messageProtocolVersion"),
+        F.lit(61).alias("messageDeviceTypeId"),
+        F.lit(62).alias("messageProductId"),
         F.when(_remainder(13, "msg_id") == 6, F.lit("core 'A'"))
         .otherwise(F.concat(F.lit("C"), F.col("msg_id") % 50))
         .alias("messageDeviceDescribe"),
-        F.lit("V-731.-114").alias("messageEmbeddedSoftwareVersion"),
+        F.lit("V-12.-7").alias("messageEmbeddedSoftwareVersion"),
         F.concat(F.lit("DEV"), F.col("msg_id") % 50).alias("messageDeviceSerialId"),
         (F.col("msg_id") % 256).alias("messagePackageId"),
-        F.lit(2696).alias("messageLoadLength"),
+        F.lit(3120).alias("messageLoadLength"),
         F.size("entries").alias("messageNumber"),
         F.lit(0).alias("messageSplitSerialId"),
         F.lit(0).alias("verifyCode"),
