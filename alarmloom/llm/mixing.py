@@ -198,23 +198,31 @@ def mix(
         ],
         "by string, source_size long, target double, rate double, groups long",
     )
+    # Equal rows are counted and dealt out again as numbered items, so that neither the group nor the
+    # turn of a row depends on files or partitions, and reruns agree on any cluster.
+    items = (
+        base.groupBy("doc_id", "row_key", "by", "size")
+        .count()
+        .withColumn("item", F.explode(F.sequence(F.lit(1).cast("long"), "count")))
+        .drop("count")
+    )
     # At most MOST_TARGETS rows: safe to broadcast.
     rated = (
-        base.alias("c")
-        .withColumn("number", F.monotonically_increasing_id())
+        items.alias("c")
         .join(F.broadcast(plan.alias("l")), same)
         .select("doc_id", "row_key", "l.by", "size", "source_size", "target", "rate", "groups",
-                F.xxhash64("row_key", "number").alias("turn"))
+                F.xxhash64("row_key", "item").alias("turn"))
         .withColumn("own", F.pmod(F.xxhash64("turn"), F.col("groups")))
     )
 
     def round_(group):
+        group = group.sort_by([("turn", "ascending"), ("row_key", "ascending")])
         size = np.array(group.column("size"))
         rate = np.array(group.column("rate"))
         copies = np.floor(rate + 1e-9).astype(np.int64)
         goal = float(((rate - copies) * size).sum())
         able = copies + 1 <= cap
-        extra, left = _chosen(np.argsort(np.array(group.column("turn")), kind="stable"), size, able, goal)
+        extra, left = _chosen(np.arange(len(size)), size, able, goal)
         if abs(left) > ROUGH * float((rate * size).sum()):
             # A few large documents: longest first comes nearer.
             other, rest = _chosen(np.argsort(-size, kind="stable"), size, able, goal)

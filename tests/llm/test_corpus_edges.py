@@ -128,3 +128,15 @@ def test_stages_keep_what_they_should(spark, folder):
     assert {5, 6, 7, 13}.isdisjoint(r.doc_id for r in named.collect())
     assert named.count() == len(TEXTS) - 4
     assert len(corpus_pipeline.STAGES) == 5
+
+
+def test_mixing_does_not_depend_on_partitions(spark):
+    rows = [(i % 700, f"w{i % 700} " * (1 + i % 9), "ab"[i % 2]) for i in range(2100)]
+    rows += [(None, None, None)] * 3 + [(5, "same words", None)] * 40
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    columns = ["doc_id", "row_key", "size", "target", "copies"]
+    runs = [
+        sorted(map(repr, mixing.mix(docs.repartition(n)).select(*columns).collect()))
+        for n in (1, 7)
+    ]
+    assert runs[0] == runs[1] and len(runs[0]) == len(rows)
