@@ -6,7 +6,7 @@ from pyspark.sql.streaming import StreamingQuery
 from alarmloom.operators import alarms as al
 from alarmloom.operators import backfill, classify, merge, packets, project, records
 from alarmloom.schemas import METADATA_COLUMNS, VENDOR_COLUMNS
-from alarmloom.session import stage
+from alarmloom.session import staging
 from alarmloom.sinks.tables import read_table, write_batch
 from alarmloom.sources.kafka import text_values
 from alarmloom.streaming import merge as stream_merge
@@ -75,25 +75,26 @@ def run_alarm_batch(
     The messages are parsed once, into a staged table with a folder per route (rejects included),
     and every later step reads only its routes. The summaries are staged too, and the details join
     them from there: Spark then knows their real size and broadcasts them only if they are small,
-    else the join goes by salted keys.
+    else the join goes by salted keys. The staged tables are deleted when the job ends.
     """
     job = al.GENERATIONS[generation]
     rows = classified_alarms(messages, generation, keep_rejects=True)
     rows = merge.with_window(rows, seconds or job.window_seconds)
-    rows = stage(rows, "classified", by="route")
-    rejected = rows.filter(F.col("route") == classify.REJECTED)
-    rows = rows.drop("value", "reject_reason")
-    merged = is_merged(rows)
-    summaries = stage(merge.merge_summaries(merged), "summaries")
-    warnings = project.immediate_rows(is_immediate(rows), generation).unionByName(
-        project.summary_rows(summaries, generation), allowMissingColumns=True
-    )
-    write_batch(warnings, root, job.warning_table, batch_id)
-    details = merge.attach_pid(merged, summaries)
-    for route, table in detail_tables(generation).items():
-        of_route = details.filter(F.col("route") == route)
-        write_batch(project.detail_rows(of_route, generation), root, table, batch_id)
-    write_batch(records.rejects(rejected), root, REJECTS, batch_id)
+    with staging(messages.sparkSession) as stage:
+        rows = stage(rows, "classified", by="route")
+        rejected = rows.filter(F.col("route") == classify.REJECTED)
+        rows = rows.drop("value", "reject_reason")
+        merged = is_merged(rows)
+        summaries = stage(merge.merge_summaries(merged), "summaries")
+        warnings = project.immediate_rows(is_immediate(rows), generation).unionByName(
+            project.summary_rows(summaries, generation), allowMissingColumns=True
+        )
+        write_batch(warnings, root, job.warning_table, batch_id)
+        details = merge.attach_pid(merged, summaries)
+        for route, table in detail_tables(generation).items():
+            of_route = details.filter(F.col("route") == route)
+            write_batch(project.detail_rows(of_route, generation), root, table, batch_id)
+        write_batch(records.rejects(rejected), root, REJECTS, batch_id)
 
 
 def start_alarm_stream(
@@ -232,6 +233,7 @@ def run_backfill_batch(lines: DataFrame, root: str, batch_id: int) -> None:
 def run_report_batch(messages: DataFrame, root: str, batch_id: int) -> None:
     """Raw alarms, not classified, into the report table, with the rejects."""
     parsed = records.parse_alarm_messages(text_values(messages, null_as_empty=True))
-    alarms = stage(al.explode_alarms(parsed, keep_rejects=True), "report")
-    write_batch(project.report_rows(al.usable_alarms(alarms)), root, REPORT_TABLE, batch_id)
-    write_batch(records.rejects(alarms), root, REJECTS, batch_id)
+    with staging(messages.sparkSession) as stage:
+        alarms = stage(al.explode_alarms(parsed, keep_rejects=True), "report")
+        write_batch(project.report_rows(al.usable_alarms(alarms)), root, REPORT_TABLE, batch_id)
+        write_batch(records.rejects(alarms), root, REJECTS, batch_id)

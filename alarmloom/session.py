@@ -3,6 +3,8 @@
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,8 +45,31 @@ def stage(rows: DataFrame, name: str, by: str | None = None) -> DataFrame:
     Used where several later steps need the same expensive rows: it cuts the lineage, survives lost
     executors, and lets each step read only its own columns, and with `by` only its own folders.
     """
+    return _written(rows, new_folder(rows.sparkSession, name), by)
+
+
+def _written(rows: DataFrame, path: str, by: str | None) -> DataFrame:
     spark = rows.sparkSession
-    path = new_folder(spark, name)
     writer = rows.write if by is None else rows.write.partitionBy(by)
     writer.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[Callable[..., DataFrame]]:
+    """`stage` for one job: the tables it writes are deleted when the job ends, failed or not.
+
+    Nothing that reads them may leave the block unwritten.
+    """
+    paths = []
+
+    def stage_here(rows: DataFrame, name: str, by: str | None = None) -> DataFrame:
+        paths.append(new_folder(spark, name))
+        return _written(rows, paths[-1], by)
+
+    try:
+        yield stage_here
+    finally:
+        for path in paths:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

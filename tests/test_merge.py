@@ -3,11 +3,14 @@
 import json
 import random
 from collections import defaultdict
+from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from alarmloom.operators import merge, project
 from alarmloom.plans import jobs
+from alarmloom.session import shared_folder, staging
 from alarmloom.sinks.tables import read_table
 
 
@@ -115,6 +118,18 @@ def test_batch_job_writes_all_tables_and_can_be_repeated(spark, messages, tmp_pa
     assert orphans.isEmpty()
 
 
+def test_batch_jobs_leave_no_staged_tables(spark, messages, tmp_path):
+    folder = Path(shared_folder(spark).removeprefix("file://")) / "alarmloom"
+    before = set(folder.glob("*"))
+    jobs.run_alarm_batch(skewed(messages), str(tmp_path / "a"), batch_id=1)
+    jobs.run_report_batch(skewed(messages), str(tmp_path / "b"), batch_id=1)
+    assert set(folder.glob("*")) == before
+    with pytest.raises(ValueError), staging(spark) as stage:
+        stage(spark.range(3), "dropped")
+        raise ValueError
+    assert set(folder.glob("*")) == before
+
+
 def test_first_job_has_one_detail_table_and_no_time_text(spark, messages, tmp_path):
     jobs.run_alarm_batch(skewed(messages), str(tmp_path), batch_id=1, generation=0)
     details = read_table(spark, str(tmp_path), "bus_twarning_local")
