@@ -134,16 +134,13 @@ class Shingles:
         bits = common.bloom_bits(wanted, slots_of, width, least=1)
         shared = docs.sparkSession.sparkContext.broadcast(bits)
 
-        @F.pandas_udf("boolean")
-        def asked(keys):
-            import pandas as pd
-
-            return pd.Series(common.passes(shared.value, slots(keys.to_numpy(np.int64))))
-
         def make(batches):
             memo = common.Memo(common.hash64)
             for batch in batches:
-                found = [shingle_hashes(t, words, memo) for t in batch.column(0).to_pylist()]
+                keys = batch.column("row_key").to_numpy(zero_copy_only=False)
+                asked = np.flatnonzero(common.passes(shared.value, slots(keys)))
+                texts = batch.column("text").take(pa.array(asked)).to_pylist()
+                found = [shingle_hashes(t, words, memo) for t in texts]
                 nodes = [hashlib.blake2b(h.tobytes(), digest_size=16).digest() for h in found]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -153,10 +150,12 @@ class Shingles:
                     ["node", "shingles"],
                 )
 
-        rows = docs.filter(asked(common.row_key(id_col, text_col)))
-        made = rows.select(F.col(text_col).cast("binary")).mapInArrow(
-            make, "node binary, shingles array<long>"
+        # Filter and sets in one pass: a task has one Python worker, not two.
+        rows = docs.select(
+            common.row_key(id_col, text_col).alias("row_key"),
+            F.col(text_col).cast("binary").alias("text"),
         )
+        made = rows.mapInArrow(make, "node binary, shingles array<long>")
         return stage(made, "near-sets").dropDuplicates(["node"])
 
     def may_link(self, x: str, y: str) -> Column:
