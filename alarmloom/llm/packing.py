@@ -3,8 +3,8 @@
 Texts become ids by a public tokenizer, one separator id follows each, and only documents longer
 than a bin are cut. Pieces are dealt at random into groups of about `GROUP` pieces; each group is
 packed by itself (best fit, longest first), then improved: moving a piece, exchanging one for one
-or two for one between underfull bins raises the sum of squared fills until a bin is empty. A group
-wastes less than a bin more than the whole would, about one in some thousand bins.
+or two for one between any underfull bins raises the sum of squared fills until no bin can be
+spared or no such step is left; no number of bins, pieces or steps is set.
 
 Defined results: null and empty texts are the separator alone; repeated rows are packed as often
 as they occur; an empty table gives an empty table; extra columns are ignored.
@@ -16,6 +16,7 @@ import os
 import re
 import zlib
 from bisect import bisect_left, insort
+from collections import deque
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +28,7 @@ from alarmloom.session import stage
 BIN = 4096
 SEPARATOR = 1
 GROUP = 4096
-ROUNDS = 400
-NEAR = 64
+CELLS = 1 << 20
 SLICE = 50
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 BLANKS = re.compile("[ \t\n\r]+")
@@ -149,56 +149,132 @@ def best_fit(lengths: list[int], size: int) -> list[list[int]]:
     return bins
 
 
-def _exchange(item, bin_, room, lengths):
-    """What leaves the other bin so that `item` fits and the bin gets fuller: nothing, one or two
-    pieces; None if there is no such exchange. The fullest outcome is taken."""
-    size = lengths[item]
-    if size <= room:
-        return ()
-    small = sorted(bin_, key=lambda i: lengths[i])[:24]
-    gains = [(size - lengths[i], (i,)) for i in small if 0 < size - lengths[i] <= room]
-    gains += [
-        (size - lengths[i] - lengths[j], (i, j))
-        for k, i in enumerate(small)
-        for j in small[:k]
-        if 0 < size - lengths[i] - lengths[j] <= room
-    ]
-    return max(gains)[1] if gains else None
-
-
-def local_search(bins, lengths, size, rounds=ROUNDS):
-    """Empties underfull bins: pieces leave a less filled bin for a fuller one.
-
-    A piece moves where it fits, or changes places with one smaller piece, or with two that are
-    smaller together: the fuller bin gets fuller, so each step raises the sum of squared fills. The
-    search ends when the pieces need all bins that are left, or when no step helps.
+def _parts(bin_, lengths):
+    """Distinct sums of at most two pieces of a bin: single lengths, then 0 and the pairs' sums.
+
+    Distinct lengths of a bin add up to at most its size, so there are few of them.
+    """
+    single, counts = np.unique([lengths[i] for i in bin_], return_counts=True)
+    first, second = np.triu_indices(len(single), 1)
+    pairs = np.concatenate([single[first] + single[second], 2 * single[counts > 1]])
+    return single, np.concatenate([[0], np.unique(pairs)]).astype(np.int64)
+
+
+def _taken(bin_, lengths, total, pair):
+    """Pieces of a bin, none, one or (`pair`) two, whose lengths add up to `total`."""
+    if not total:
+        return []
+    at = {}
+    for i in bin_:
+        if not pair and lengths[i] == total:
+            return [i]
+        if pair and total - lengths[i] in at:
+            return [at[total - lengths[i]], i]
+        at[lengths[i]] = i
+    raise AssertionError("no such pieces")
+
+
+class _Table:
+    """Values of all bins in one array; a changed bin's values move to the end."""
+
+    def __init__(self, own: list[np.ndarray]):
+        self.start, self.count = [0] * len(own), [0] * len(own)
+        self._fill(dict(enumerate(own)))
+
+    def _fill(self, own):
+        self.used = sum(map(len, own.values()))
+        self.value = np.zeros(2 * self.used + 8192, np.int64)
+        self.bin = np.full(len(self.value), -1, np.int64)
+        at = 0
+        for b, values in own.items():
+            self.value[at : at + len(values)] = values
+            self.bin[at : at + len(values)] = b
+            self.start[b], self.count[b] = at, len(values)
+            at += len(values)
+
+    def of(self, b):
+        return self.value[self.start[b] : self.start[b] + self.count[b]]
+
+    def put(self, b, values):
+        self.bin[self.start[b] : self.start[b] + self.count[b]] = -1
+        self.count[b] = 0
+        if self.used + len(values) > len(self.value):
+            live = {i: self.of(i).copy() for i in range(len(self.count)) if self.count[i]}
+            self._fill(live | {b: values})
+            return
+        at = self.used
+        self.value[at : at + len(values)], self.bin[at : at + len(values)] = values, b
+        self.start[b], self.count[b] = at, len(values)
+        self.used += len(values)
+
+
+def local_search(bins, lengths, size):
+    """Empties underfull bins: pieces change bins as long as that raises the sum of squared fills.
+
+    Between any two underfull bins a piece moves, or one piece changes places with one or with two.
+    Full bins can take no part in a raise. A bin is looked at against all others at once; it
+    comes back whenever it has changed, so the search ends when the pieces need all bins that are
+    left, or when no such step between any two bins is left.
     """
-    bins = [list(b) for b in bins]
-    fill = [sum(lengths[i] for i in b) for b in bins]
-
-    def step(under):
-        for low in under[:NEAR]:
-            for item in sorted(bins[low], key=lambda i: -lengths[i]):
-                for b in reversed(under):
-                    if b == low or fill[b] < fill[low]:
-                        continue
-                    out = _exchange(item, bins[b], size - fill[b], lengths)
-                    if out is None:
-                        continue
-                    gain = lengths[item] - sum(lengths[i] for i in out)
-                    bins[low] = [i for i in bins[low] if i != item] + list(out)
-                    bins[b] = [i for i in bins[b] if i not in out] + [item]
-                    fill[b] += gain
-                    fill[low] -= gain
-                    return True
-        return False
-
-    for _ in range(rounds):
-        under = sorted((b for b in range(len(bins)) if 0 < fill[b] < size), key=lambda b: fill[b])
-        if not under or sum(fill[b] for b in under) > (len(under) - 1) * size:
-            break
-        if not step(under[: NEAR] + under[NEAR:][-NEAR:]):
-            break
+    bins = [list(b) for b in bins if b]
+    least = -(-sum(lengths) // size)
+    number = len(bins)
+    if number <= least:
+        return bins
+    fill = np.array([sum(lengths[i] for i in b) for b in bins] + [0], np.int64)
+    # The last entry stands for values that have left: it takes and gives nothing.
+    room = np.append(size - fill[:-1], -(1 << 40))
+    parts = [_parts(b, lengths) for b in bins]
+    ones, others = _Table([p[0] for p in parts]), _Table([p[1] for p in parts])
+    for b in np.flatnonzero(room[:-1] == 0):
+        ones.put(b, ones.value[:0])
+        others.put(b, others.value[:0])
+
+    def best(given, table, x):
+        """The largest raise: (raise, given, bin, taken)."""
+        of, taken = table.bin[: table.used], table.value[: table.used]
+        found = (0,)
+        slices = max(1, CELLS // max(1, len(taken)))  # bounds the memory of a look, not the look
+        for start in range(0, len(given) if len(taken) else 0, slices):
+            gain = given[start : start + slices, None] - taken
+            raised = gain * (fill[of] - fill[x] + gain)
+            raised[(gain > room[of]) | (gain < -room[x]) | (of == x)] = 0
+            i, j = divmod(int(raised.argmax()), len(taken))
+            if raised[i, j] > found[0]:
+                found = int(raised[i, j]), int(given[start + i]), int(of[j]), int(taken[j])
+        return found
+
+    waiting = deque(sorted(np.flatnonzero(room[:-1] > 0).tolist(), key=lambda b: fill[b]))
+    queued = set(waiting)
+    while waiting and number > least:
+        x = waiting.popleft()
+        queued.discard(x)
+        if not 0 < fill[x] < size:
+            continue
+        one, other = ones.of(x), others.of(x)
+        steps = [
+            (best(one, others, x), False, True),
+            (best(one, ones, x), False, False),
+            (best(other, ones, x), True, False),
+        ]
+        (raised, *step), pair_x, pair_y = max(steps, key=lambda s: s[0][0])
+        if not raised:
+            continue
+        given, y, taken = step
+        out = _taken(bins[x], lengths, given, pair_x)
+        back = _taken(bins[y], lengths, taken, pair_y)
+        bins[x] = [i for i in bins[x] if i not in out] + back
+        bins[y] = [i for i in bins[y] if i not in back] + out
+        for b, more in ((x, taken - given), (y, given - taken)):
+            fill[b] += more
+            room[b] -= more
+            own = _parts(bins[b], lengths) if 0 < fill[b] < size else (ones.value[:0],) * 2
+            ones.put(b, own[0])
+            others.put(b, own[1])
+            number -= not fill[b]
+            if 0 < fill[b] < size and b not in queued:
+                waiting.append(b)
+                queued.add(b)
     return [b for b in bins if b]
 
 
