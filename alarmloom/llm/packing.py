@@ -6,6 +6,8 @@ packed by itself (best fit, longest first), then improved: moving a piece, excha
 or two for one between any underfull bins raises the sum of squared fills until no bin can be
 spared or no such step is left; no number of bins, pieces or steps is set.
 
+The result has the ids of each piece with its place; `sequences` puts them together.
+
 Defined results: null and empty texts are the separator alone; repeated rows are packed as often
 as they occur; an empty table gives an empty table; extra columns are ignored.
 """
@@ -14,7 +16,6 @@ import gc
 import math
 import os
 import re
-import zlib
 from bisect import bisect_left, insort
 from collections import deque
 
@@ -30,7 +31,7 @@ SEPARATOR = 1
 GROUP = 4096
 CELLS = 1 << 20
 SLICE = 50
-PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
+PIECES = "doc_id long, piece int, start long, length long, ids binary"
 BLANKS = re.compile("[ \t\n\r]+")
 # How the tokenizer splits text of ASCII characters, in lower case.
 ASCII_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t-\r0-9a-z]+")
@@ -113,7 +114,7 @@ def encoder(path: str) -> Encoder:
 
 
 def pieces(docs: DataFrame, path: str, size: int = BIN, separator: int = SEPARATOR) -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids_crc32."""
+    """One row per piece: doc_id, piece, start, length, ids (little-endian unsigned 32-bit)."""
 
     def cut(batches):
         encode = encoder(path)
@@ -125,11 +126,11 @@ def pieces(docs: DataFrame, path: str, size: int = BIN, separator: int = SEPARAT
                 tokens += end
                 for piece, at in enumerate(range(0, len(tokens), size * 4)):
                     part = tokens[at : at + size * 4]
-                    rows.append((doc, piece, at // 4, len(part) // 4, zlib.crc32(part)))
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+                    rows.append((doc, piece, at // 4, len(part) // 4, part))
+            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 5, kinds)],
-                ["doc_id", "piece", "start", "length", "ids_crc32"],
+                ["doc_id", "piece", "start", "length", "ids"],
             )
 
     return docs.mapInArrow(cut, PIECES)
@@ -308,10 +309,23 @@ def packed(parts: DataFrame, size: int = BIN) -> DataFrame:
 def pack_documents(
     docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """Pieces of all documents with their place in the packed sequences."""
+    """Pieces of all documents, each with its ids and its place in the packed sequences."""
     rows = docs.select(F.col(id_col).cast("long"), text_col)
     return packed(stage(pieces(rows, path or vocabulary()), "pieces"))
 
 
+def sequences(placed: DataFrame) -> DataFrame:
+    """The packed sequences: sequence_id, length and ids, its pieces' ids in order of offset."""
+    own = F.array_sort(F.collect_list(F.struct("offset", "ids")))
+    joined = F.aggregate(own, F.lit(b""), lambda ids, one: F.concat(ids, one["ids"]))
+    return placed.groupBy("sequence_id").agg(F.sum("length").alias("length"), joined.alias("ids"))
+
+
+def digests(placed: DataFrame) -> DataFrame:
+    """The placed pieces with the crc32 of their ids instead of the ids."""
+    crc = F.crc32("ids").alias("ids_crc32")
+    return placed.select("doc_id", "piece", "start", "length", crc, "sequence_id", "offset")
+
+
 def op6_best_fit_packing(spark, sf_dir):
-    return pack_documents(common.table(spark, sf_dir, "documents"))
+    return digests(pack_documents(common.table(spark, sf_dir, "documents")))

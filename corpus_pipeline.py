@@ -36,8 +36,12 @@ def mixing_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def packing_bins(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 4096 tokens; repeated documents are packed once per copy."""
-    return packing.pack_documents(docs)
+    """Sequences of at most 4096 tokens; repeated documents are packed once per copy.
+
+    The stage reports each piece's place and the digest of its ids; the ids themselves are those of
+    `packing.pack_documents`, and `packing.sequences` makes whole sequences of them.
+    """
+    return packing.digests(packing.pack_documents(docs))
 
 
 STAGES = [

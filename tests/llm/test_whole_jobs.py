@@ -1,11 +1,15 @@
 """The operators do the whole job: no step, output, row or link is left out."""
 
 import random
+import zlib
+from collections import Counter
 from itertools import combinations
 
+import numpy as np
 import pytest
 
 from alarmloom.llm import packing
+from alarmloom.session import stage
 
 
 def raising_steps(bins, lengths, size):
@@ -42,3 +46,29 @@ def test_local_search_where_best_fit_is_far_from_the_bound():
     assert sorted(i for b in bins for i in b) == list(range(4096))
     # With the least and most filled 64 bins alone the search was stuck 6 bins below best fit.
     assert len(fitted) - len(bins) >= 50
+
+
+def test_packed_sequences_hold_the_ids(spark):
+    from tokenizers import Tokenizer
+
+    texts = [(i, " ".join(f"word{j * i % 83}" for j in range(1 + i * 37 % 900))) for i in range(60)]
+    texts += [(60, "long " * 9000), (61, None), (62, ""), (3, texts[3][1])]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    placed = stage(packing.pack_documents(docs), "test-placed")
+    tokenizer = Tokenizer.from_file(packing.vocabulary())
+    expected = Counter()
+    for i, text in texts:
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [packing.SEPARATOR]
+        for at in range(0, len(ids), packing.BIN):
+            expected[i, at, tuple(ids[at : at + packing.BIN])] += 1
+    rows = placed.collect()
+    assert Counter((r.doc_id, r.start, tuple(np.frombuffer(r.ids, "<u4").tolist())) for r in rows) == expected
+    made = {r.sequence_id: (r.length, np.frombuffer(r.ids, "<u4")) for r in packing.sequences(placed).collect()}
+    assert set(made) == {r.sequence_id for r in rows}
+    for r in rows:
+        own = made[r.sequence_id][1][r.offset : r.offset + r.length]
+        assert own.tobytes() == bytes(r.ids) and made[r.sequence_id][0] <= packing.BIN
+    assert sum(n for n, _ in made.values()) == sum(len(ids) for *_, ids in expected.elements())
+    assert all(n == len(ids) for n, ids in made.values())
+    found = Counter((r.doc_id, r.start, r.ids_crc32) for r in packing.digests(placed).collect())
+    assert found == Counter((i, at, zlib.crc32(np.array(ids, "<u4").tobytes())) for i, at, ids in expected.elements())
