@@ -5,13 +5,14 @@ hash (equal values meet; their order carries nothing). The cell's place on the c
 bit-by-bit state machine over small tables, all in built-in functions. Rows are range-partitioned
 by (curve index, id), and a row's global place is its place in the partition plus the rows of the
 partitions before it, so no task sees more than its range. Law `rows`: shard counts differ by one
-at most.
+at most. `write_shards` writes the whole rows with the bounds of every dimension in each shard, and
+`read_shards` reads only the shards that given ranges can touch.
 
 Defined results: null text has no bytes (size 16, crc32 of nothing); null metadata take step 0;
 repeated rows get places of their own; an empty table gives an empty table; extra columns pass.
 """
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from alarmloom.llm import common
 from alarmloom.session import stage
@@ -154,21 +155,65 @@ def hilbert_shards(
     )
 
 
+def write_shards(sharded: DataFrame, dims: list[str], folder: str) -> DataFrame:
+    """Writes the rows of `hilbert_shards` to `folder` and returns the shards' bounds.
+
+    `folder`/rows has one folder per shard with all columns; every file holds its rows in slot order.
+    The rows are not moved: they lie in curve order already, and a shard that spans several tasks
+    gets a file from each. `folder`/bounds has a row per shard: rows, and min, max and nulls of
+    dimension i as min_i, max_i and nulls_i. NaN is above all numbers, as Spark orders it.
+    `folder`/layout is an empty table with the columns of the rows.
+    """
+    spark = sharded.sparkSession
+    rows = sharded.sortWithinPartitions("shard", "slot")
+    rows.write.partitionBy("shard").parquet(f"{folder}/rows")
+    spark.createDataFrame([], sharded.schema).write.parquet(f"{folder}/layout")
+    written = spark.read.schema(sharded.schema).parquet(f"{folder}/rows")
+    found = [F.count("*").alias("rows")]
+    for i, d in enumerate(dims):
+        value = F.col(f"`{d}`")
+        found += [
+            F.min(value).alias(f"min_{i}"),
+            F.max(value).alias(f"max_{i}"),
+            F.count_if(value.isNull()).alias(f"nulls_{i}"),
+        ]
+    bounds = written.groupBy("shard").agg(*found)
+    bounds.write.parquet(f"{folder}/bounds")
+    return spark.read.schema(bounds.schema).parquet(f"{folder}/bounds")
+
+
+def read_shards(
+    spark: SparkSession, folder: str, dims: list[str], ranges: dict[str, tuple]
+) -> DataFrame:
+    """The written rows with every dimension of `ranges` between its two values, both included.
+
+    Shards whose bounds lie outside a range are not read. None as a value leaves that side open.
+    """
+    met = spark.read.parquet(f"{folder}/bounds")
+    layout = spark.read.parquet(f"{folder}/layout").schema
+    rows = spark.read.schema(layout).parquet(f"{folder}/rows")
+    for d, (low, high) in ranges.items():
+        i, value = dims.index(d), F.col(f"`{d}`")
+        kept = value.isNotNull()
+        met = met.filter(F.col(f"min_{i}").isNotNull())
+        if low is not None:
+            kept, met = kept & (value >= F.lit(low)), met.filter(F.col(f"max_{i}") >= F.lit(low))
+        if high is not None:
+            kept, met = kept & (value <= F.lit(high)), met.filter(F.col(f"min_{i}") <= F.lit(high))
+        rows = rows.filter(kept)
+    # One number per shard, at most as many as were asked for.
+    return rows.filter(F.col("shard").isin([r.shard for r in met.select("shard").collect()]))
+
+
 def op9_hilbert_sharding(spark, sf_dir):
+    """Whole rows go through the operator; the digests are taken of what comes out."""
     docs = common.table(spark, sf_dir, "documents")
-    bytes_ = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
-    rows = docs.select(
-        "doc_id",
-        (bytes_ + 16).alias("size"),
-        F.crc32(common.text_or_empty().cast("binary")).alias("text_crc32"),
-        "source",
-        "lang",
-    )
-    sharded = hilbert_shards(rows, ["source", "lang", "size", "doc_id"], 40)
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 16
+    sharded = hilbert_shards(docs.withColumn("size", size), ["source", "lang", "size", "doc_id"], 40)
     return sharded.select(
         "doc_id",
         "size",
-        "text_crc32",
+        F.crc32(common.text_or_empty().cast("binary")).alias("text_crc32"),
         F.lit("rows").alias("law"),
         "shard",
         "slot",

@@ -2,13 +2,14 @@
 
 import random
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from alarmloom.llm import packing
+from alarmloom.llm import packing, sharding
 from alarmloom.session import stage
 
 
@@ -72,3 +73,57 @@ def test_packed_sequences_hold_the_ids(spark):
     assert all(n == len(ids) for n, ids in made.values())
     found = Counter((r.doc_id, r.start, r.ids_crc32) for r in packing.digests(placed).collect())
     assert found == Counter((i, at, zlib.crc32(np.array(ids, "<u4").tobytes())) for i, at, ids in expected.elements())
+
+
+def test_shards_are_written_whole_and_can_be_pruned(spark, tmp_path):
+    folder, dims = str(tmp_path / "shards"), ["source", "size", "doc_id"]
+    data = [
+        (None if i % 41 == 0 else i % 200, f"text {i} " * (i % 17), None if i % 29 == 0 else "abc"[i % 3], float(i * 7 % 101))
+        for i in range(600)
+    ]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string, size double").repartition(5)
+    sharded = sharding.hilbert_shards(docs, dims, 16)
+    assert sharded.columns == [*docs.columns, "shard", "slot"]
+    bounds = {r.shard: r for r in sharding.write_shards(sharded, dims, folder).collect()}
+    rows = spark.read.parquet(f"{folder}/rows")
+    read = rows.select("*", F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("at")).collect()
+    assert Counter((r.doc_id, r.text, r.source, r["size"]) for r in read) == Counter(data)
+    by_shard, by_file = defaultdict(list), defaultdict(list)
+    for r in read:
+        assert f"shard={r.shard}/" in r.file
+        by_shard[r.shard].append(r)
+        by_file[r.file].append((r["at"], r.slot))
+    assert all([s for _, s in sorted(own)] == sorted(s for _, s in own) for own in by_file.values())
+    assert set(by_shard) == set(bounds) == set(range(16))
+    for shard, own in by_shard.items():
+        assert sorted(r.slot for r in own) == list(range(bounds[shard]["rows"]))
+        for i, d in enumerate(dims):
+            met = [r[d] for r in own if r[d] is not None]
+            found = tuple(bounds[shard][f"{k}_{i}"] for k in ("min", "max", "nulls"))
+            assert found == (min(met, default=None), max(met, default=None), len(own) - len(met))
+    for ranges in ({"size": (10.0, 20.0)}, {"doc_id": (None, 30), "source": ("b", "b")}, {"size": (500.0, None)}):
+        kept = sharding.read_shards(spark, folder, dims, ranges)
+        wanted = [
+            (i, t, s, n) for i, t, s, n in data
+            if all(
+                v is not None and (low is None or v >= low) and (high is None or v <= high)
+                for d, (low, high) in ranges.items()
+                for v in [{"doc_id": i, "source": s, "size": n}[d]]
+            )
+        ]
+        assert Counter((r.doc_id, r.text, r.source, r["size"]) for r in kept.collect()) == Counter(wanted)
+    pruned = sharding.read_shards(spark, folder, dims, {"size": (10.0, 20.0)})
+    files = {r.f for r in pruned.select(F.input_file_name().alias("f")).distinct().collect()}
+    assert 0 < len(files) < len(by_file)
+    possible = {s for s, b in bounds.items() if b.min_1 is not None and b.max_1 >= 10 and b.min_1 <= 20}
+    empty = sharding.hilbert_shards(docs.limit(0), dims, 16)
+    assert sharding.write_shards(empty, dims, f"{folder}-0").collect() == []
+    assert sharding.read_shards(spark, f"{folder}-0", dims, {"size": (1.0, None)}).collect() == []
+    assert len(possible) < 16 and {int(f.split("shard=")[1].split("/")[0]) for f in files} <= possible
+
+
+def test_texts_go_through_the_sharding_operator(spark, monkeypatch):
+    seen, real = [], sharding.hilbert_shards
+    monkeypatch.setattr(sharding, "hilbert_shards", lambda rows, *a, **b: seen.append(rows.columns) or real(rows, *a, **b))
+    sharding.op9_hilbert_sharding(spark, "/root/testdata/sf0.001")
+    assert set(spark.read.parquet("/root/testdata/sf0.001/documents.parquet").columns) <= set(seen[0])
