@@ -12,6 +12,9 @@
    components. Conditions stand in the join, so only pairs that pass the filters leave it.
 4. Each surviving pair is verified once on the whole sets.
 
+`near_classes` is this form: it names the components, but does not list the links inside them.
+`near_links` compares all entries of each list with each other and gives every link.
+
 Defined results: null and empty texts have no shingles and link with nothing; a text with fewer
 words than a shingle is one shingle; rows with equal sets always share a component; a null id never
 names a component unless all its rows have null ids; repeated rows count as equal texts; an empty
@@ -30,6 +33,7 @@ from alarmloom.session import stage
 SLOTS = 1 << 22
 PARTS = 64
 MOST_IN_PART = 127
+SALTS = 8
 SETS = (
     "doc_id long, row_key long, n long, node binary, prefix array<long>, parts array<tinyint>"
 )
@@ -218,15 +222,8 @@ def _entries(reps: DataFrame, prefixes: DataFrame) -> DataFrame:
     )
 
 
-def near_classes(
-    docs: DataFrame,
-    words: int = 5,
-    percent: int = 80,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-) -> DataFrame:
-    """One row per document: `doc_id`, `row_key`, `n`, `node` and `component_id`."""
-    join = Shingles(words, percent)
+def _prepared(join: Shingles, docs: DataFrame, id_col: str, text_col: str):
+    """The staged rows, the representatives of their classes, the classes' parts, and the lists."""
     numbered = join.sets(docs, id_col, text_col).withColumn(
         "number", F.monotonically_increasing_id()
     )
@@ -246,34 +243,71 @@ def near_classes(
     chosen = stage(chosen.select("number", "node", "n", "prefix", "parts"), "near-chosen")
     parts = chosen.select("node", "n", "parts")
     entries = stage(_entries(reps, chosen), "near-entries")
-    pivots = stage(entries.groupBy("token").agg(F.min("entry").alias("pivot")), "near-pivots")
+    return rows, reps, parts, entries
+
+
+def _verified(join, docs, reps, pairs, id_col, text_col) -> DataFrame:
+    """The links among the pairs."""
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = stage(reps.join(nodes, "node").select("row_key"), "near-wanted")
+    return stage(join.links(pairs, join.whole_sets(docs, wanted, id_col, text_col)), "near-links")
+
 
-    def verified(pairs):
-        """The links among the pairs."""
-        nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        wanted = stage(reps.join(nodes, "node").select("row_key"), "near-wanted")
-        return stage(join.links(pairs, join.whole_sets(docs, wanted, id_col, text_col)), "near-links")
+def _ordered(x, y):
+    return F.least(f"{x}.node", f"{y}.node").alias("a"), F.greatest(
+        f"{x}.node", f"{y}.node"
+    ).alias("b")
 
-    def overlapping(pairs):
-        first = parts.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("parts").alias("of_a"))
-        second = parts.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("parts").alias("of_b"))
-        fits = join.may_overlap(F.col("n_a"), F.col("n_b"), F.col("of_a"), F.col("of_b"))
-        return pairs.join(first, "a").join(second, "b").filter(fits).select("a", "b")
 
-    def ordered(x, y):
-        return F.least(f"{x}.node", f"{y}.node").alias("a"), F.greatest(
-            f"{x}.node", f"{y}.node"
-        ).alias("b")
+def _overlapping(join: Shingles, parts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs that pass the suffix filter."""
+    first = parts.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("parts").alias("of_a"))
+    second = parts.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("parts").alias("of_b"))
+    fits = join.may_overlap(F.col("n_a"), F.col("n_b"), F.col("of_a"), F.col("of_b"))
+    return pairs.join(first, "a").join(second, "b").filter(fits).select("a", "b")
+
+
+def _named(rows: DataFrame, reps: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows with the smallest id of their component."""
+    of_class = stage(
+        reps.select("node", "rep")
+        .join(labels, "node", "left")
+        .select("node", "rep", F.coalesce("label", "node").alias("label")),
+        "near-of-class",
+    )
+    smallest = stage(of_class.groupBy("label").agg(F.min("rep").alias("component_id")), "near-ids")
+    named = stage(of_class.join(smallest, "label").select("node", "component_id"), "near-named")
+    empty = rows.filter("n = 0").select(
+        "doc_id", "row_key", "n", "node", F.col("doc_id").alias("component_id")
+    )
+    full = rows.filter("n > 0").select("doc_id", "row_key", "n", "node").join(named, "node")
+    return full.select(empty.columns).union(empty)
+
+
+def near_classes(
+    docs: DataFrame,
+    words: int = 5,
+    percent: int = 80,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """One row per document: `doc_id`, `row_key`, `n`, `node` and `component_id`.
+
+    The shortcut to components: most pairs within one are not verified. `near_links` has all links.
+    """
+    join = Shingles(words, percent)
+    rows, reps, parts, entries = _prepared(join, docs, id_col, text_col)
+    pivots = stage(entries.groupBy("token").agg(F.min("entry").alias("pivot")), "near-pivots")
 
     differ = F.col("entry.node") != F.col("pivot.node")
     met = (
         entries.join(pivots, "token")
         .filter(differ & join.may_link("entry", "pivot"))
-        .select(*ordered("entry", "pivot"))
+        .select(*_ordered("entry", "pivot"))
         .distinct()
     )
-    pairs = stage(overlapping(stage(met, "near-met")), "near-pairs")
-    links = verified(pairs)
+    pairs = stage(_overlapping(join, parts, stage(met, "near-met")), "near-pairs")
+    links = _verified(join, docs, reps, pairs, id_col, text_col)
     labels = common.components(links, "near-first")
 
     own = labels.withColumnRenamed("label", "component")
@@ -315,29 +349,71 @@ def near_classes(
     more = stage(
         outside.join(inside, "token")
         .filter((F.col("of_x") != F.col("of_y")) & once & join.may_link("x", "y") & fits)
-        .select(*ordered("x", "y"))
+        .select(*_ordered("x", "y"))
         .distinct()
         .join(pairs, ["a", "b"], "left_anti"),
         "near-more",
     )
     if not more.isEmpty():
-        found = verified(more)
+        found = _verified(join, docs, reps, more, id_col, text_col)
         if not found.isEmpty():
             labels = common.components(links.union(found), "near-last")
 
-    of_class = stage(
-        reps.select("node", "rep")
-        .join(labels, "node", "left")
-        .select("node", "rep", F.coalesce("label", "node").alias("label")),
-        "near-of-class",
+    return _named(rows, reps, labels)
+
+
+def near_links(
+    docs: DataFrame,
+    words: int = 5,
+    percent: int = 80,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    salts: int = SALTS,
+) -> tuple[DataFrame, DataFrame]:
+    """All links: `(members, links)`.
+
+    `links` has one row (a, b), a < b, per pair of classes whose sets are similar enough; `members`
+    the rows of `near_classes` and `links`, the number of other classes that the row's class links
+    with. Every pair of classes that meets in a list and passes the filters is verified once on
+    the whole sets. The pairs, like the links, grow with the square of a group of near copies.
+
+    Each entry lies in one of `salts` blocks of its list and meets the entries of one pair of blocks
+    per task, so a long list is spread over about salts^2 / 2 keys.
+    """
+    join = Shingles(words, percent)
+    rows, reps, parts, entries = _prepared(join, docs, id_col, text_col)
+    # A list of two has one block; a longer one is dealt by node.
+    block = F.when(F.col("many"), F.pmod(F.xxhash64("entry.node"), F.lit(salts))).otherwise(0)
+    dealt = entries.withColumn("block", block.cast("int"))
+    dealt = dealt.withColumn("blocks", F.when(F.col("many"), F.lit(salts)).otherwise(1))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    dealt = dealt.withColumn("other", other).select(
+        "token",
+        F.least("block", "other").alias("low"),
+        F.greatest("block", "other").alias("high"),
+        "block",
+        "entry",
     )
-    smallest = stage(of_class.groupBy("label").agg(F.min("rep").alias("component_id")), "near-ids")
-    named = stage(of_class.join(smallest, "label").select("node", "component_id"), "near-named")
-    empty = rows.filter("n = 0").select(
-        "doc_id", "row_key", "n", "node", F.col("doc_id").alias("component_id")
+    first = dealt.select("token", "low", "high", F.col("block").alias("bx"), F.col("entry").alias("x"))
+    second = dealt.select("token", "low", "high", F.col("block").alias("by"), F.col("entry").alias("y"))
+    # In a pair of two blocks the entries of one meet those of the other; in a pair of a block with
+    # itself each pair is met once.
+    once = ((F.col("bx") == F.col("low")) & (F.col("by") == F.col("high"))) & (
+        (F.col("low") < F.col("high")) | (F.col("x.node") < F.col("y.node"))
     )
-    full = rows.filter("n > 0").select("doc_id", "row_key", "n", "node").join(named, "node")
-    return full.select(empty.columns).union(empty)
+    met = (
+        first.join(second, ["token", "low", "high"])
+        .filter(once & join.may_link("x", "y"))
+        .select(*_ordered("x", "y"))
+        .distinct()
+    )
+    pairs = stage(_overlapping(join, parts, stage(met, "near-met")), "near-pairs")
+    links = _verified(join, docs, reps, pairs, id_col, text_col)
+    labels = common.components(links, "near-all")
+    ends = links.select(F.explode(F.array("a", "b")).alias("node"))
+    degrees = stage(ends.groupBy("node").agg(F.count("*").alias("links")), "near-degrees")
+    members = _named(rows, reps, labels).join(degrees, "node", "left")
+    return members.withColumn("links", F.coalesce("links", F.lit(0).cast("long"))), links
 
 
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:

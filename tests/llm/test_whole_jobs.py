@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from alarmloom.llm import packing, sharding
+from alarmloom.llm import nearjoin, packing, sharding
 from alarmloom.session import stage
 
 
@@ -127,3 +127,41 @@ def test_texts_go_through_the_sharding_operator(spark, monkeypatch):
     monkeypatch.setattr(sharding, "hilbert_shards", lambda rows, *a, **b: seen.append(rows.columns) or real(rows, *a, **b))
     sharding.op9_hilbert_sharding(spark, "/root/testdata/sf0.001")
     assert set(spark.read.parquet("/root/testdata/sf0.001/documents.parquet").columns) <= set(seen[0])
+
+
+def brute_links(texts, size, percent):
+    """Pairs of texts with different sets that are similar enough, as sets of shingles."""
+    sets = set()
+    for text in texts:
+        w = (text or "").lower().split()
+        sets.add(frozenset(tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))) if w else frozenset())
+    sets.discard(frozenset())
+    return {
+        frozenset((a, b)) for a, b in combinations(sets, 2) if 100 * len(a & b) >= percent * len(a | b)
+    }, sets
+
+
+@pytest.mark.parametrize("salts", [1, 3])
+def test_near_links_are_all_links(spark, salts):
+    draw, texts = random.Random(5), []
+    for group in range(4):
+        base = [f"g{group}w{i}" for i in range(60)]
+        for copy in range(14):
+            own = list(base)
+            for _ in range(copy % 4):
+                own[draw.randrange(60)] = f"x{draw.randrange(10**6)}"
+            texts.append(" ".join(own[: 60 - copy % 3]))
+    texts += [texts[0].upper(), None, "", "two words", "two words", "alone " * 9]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    members, links = nearjoin.near_links(docs, 4, 70, salts=salts)
+    members, links = members.collect(), links.collect()
+    expected, _ = brute_links(texts, 4, 70)
+    shingles = lambda text: next(iter(brute_links([text], 4, 70)[1]), frozenset())
+    of_node = {r.node: shingles(texts[r.doc_id]) for r in members}
+    assert len(links) == len({(r.a, r.b) for r in links}) and all(r.a < r.b for r in links)
+    assert {frozenset((of_node[r.a], of_node[r.b])) for r in links} == expected and len(expected) > 100
+    assert {r.doc_id: r.links for r in members} == {
+        i: sum(shingles(t) in pair for pair in expected) for i, t in enumerate(texts)
+    }
+    shortcut = {r.doc_id: (r.n, r.component_id) for r in nearjoin.near_classes(docs, 4, 70).collect()}
+    assert {r.doc_id: (r.n, r.component_id) for r in members} == shortcut
