@@ -11,7 +11,8 @@ task sends its k best per query, and a window over those few gives the final ran
 
 Defined results: vectors that are null or hold null or non-finite components take no part, nor do
 rows without an id; a row never meets rows of its own id; rows that repeat an id and vector are one
-candidate each; vectors of another length than the query's have no inner product with it and are
+candidate each; query rows that repeat an id are all searched, and the id's k best are the best of
+their results together, as in the SQL; vectors of another length than the query's have no inner product with it and are
 passed over; empty vectors score 0; an empty table gives an empty table; extra columns are ignored.
 """
 
@@ -119,11 +120,11 @@ def top_k(
         .filter("vec_id is not null and v is not null"),
         "vectors",
     )
-    asked = vectors.filter(is_query).groupBy("vec_id").agg(F.min("v").alias("v"))
+    asked = vectors.filter(is_query)
     blocks = max(1, math.ceil(asked.count() / block))
-    asked = stage(
-        asked.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks))), "queries"
-    )
+    # Numbered by row, so that an id that many rows repeat does not fill one block.
+    number = F.xxhash64(F.monotonically_increasing_id())
+    asked = stage(asked.withColumn("block", F.pmod(number, F.lit(blocks))), "queries")
     found = None
     for number in range(blocks):
         own = asked.filter(F.col("block") == number).collect()  # about `block` rows

@@ -9,8 +9,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from alarmloom.llm import nearjoin, packing, sharding
+from alarmloom.llm import nearjoin, packing, sharding, topk
 from alarmloom.session import stage
+from compare import connect, differences
 
 
 def raising_steps(bins, lengths, size):
@@ -165,3 +166,16 @@ def test_near_links_are_all_links(spark, salts):
     }
     shortcut = {r.doc_id: (r.n, r.component_id) for r in nearjoin.near_classes(docs, 4, 70).collect()}
     assert {r.doc_id: (r.n, r.component_id) for r in members} == shortcut
+
+
+@pytest.mark.parametrize("block", [3, topk.BLOCK])
+def test_every_row_of_a_repeated_query_id_is_searched(spark, tmp_path, block):
+    draw = random.Random(9)
+    rows = [(i % 120, [draw.uniform(-1, 1) for _ in range(6)]) for i in range(300)]
+    rows += [(50, rows[50][1]), (50, [9.0] * 6), (100, [-9.0] * 6), (100, [1.0, 2.0])]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+
+    def query(spark, folder):
+        return topk.top_k(spark.read.parquet(f"{folder}/embeddings.parquet"), F.col("vec_id") % 50 == 0, block=block)
+
+    assert differences(spark, connect(str(tmp_path)), query, topk.OP5_SQL, str(tmp_path)) == []
