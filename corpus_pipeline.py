@@ -52,7 +52,8 @@ STAGES = [
     ("packing", packing_bins),
 ]
 
-# Tokenizer, classifier and similarity join are beyond SQL; the stages are tested by brute force.
+# Tokenizer, classifier and similarity join are beyond SQL; test_whole_jobs.py compares each stage and run()
+# with plain Python on sf0.001.
 ORACLE_SQL = None
 
 

@@ -9,9 +9,11 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from alarmloom.llm import nearjoin, packing, sharding, topk
 from alarmloom.session import stage
 from compare import connect, differences
+from test_corpus_queries import brute_components, words
 
 
 def raising_steps(bins, lengths, size):
@@ -179,3 +181,77 @@ def test_every_row_of_a_repeated_query_id_is_searched(spark, tmp_path, block):
         return topk.top_k(spark.read.parquet(f"{folder}/embeddings.parquet"), F.col("vec_id") % 50 == 0, block=block)
 
     assert differences(spark, connect(str(tmp_path)), query, topk.OP5_SQL, str(tmp_path)) == []
+
+
+def test_pipeline_stages_equal_plain_python(spark):
+    """Every stage on the rows the former left, and run() on the whole table."""
+    from tokenizers import Tokenizer
+
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    kept = {}
+    for name, function in corpus_pipeline.STAGES:
+        before = docs.collect()
+        docs = stage(function(spark, docs, folder), f"test-{name}")
+        kept[name] = before, docs.collect()
+
+    before, after = kept["language_id"]
+    assert {r.doc_id for r in after} == {r.doc_id for r in before if any(c.isalpha() for c in r.text or "")}
+
+    before, after = kept["exact_dedup"]
+    largest = {}
+    for r in before:
+        key = (r.text or "").translate({c: c + 32 for c in range(65, 91)})
+        largest[key] = max(r.doc_id, largest.get(key, r.doc_id))
+    assert sorted(r.doc_id for r in after) == sorted(largest.values())
+
+    before, after = kept["near_dedup"]
+    assert {r.doc_id for r in after} == {c for _, c in brute_components(before, 5, 80).values()}
+    assert len(after) == len({r.doc_id for r in after})
+
+    before, after = kept["mixing"]
+    size = {r.doc_id: len(words(r.text)) for r in before}
+    total, taken = Counter(), Counter()
+    for r in before:
+        total[r.source] += size[r.doc_id]
+    for r in after:
+        taken[r.source] += size[r.doc_id]
+    names = sorted(total, key=lambda n: (n is None, (n or "").encode()))
+    open_, target, left = set(names), {}, 1.5 * sum(total.values())
+    weight = {n: [3, 1, 2][i % 3] for i, n in enumerate(names)}
+    while open_:
+        unit = left / sum(weight[n] for n in open_)
+        over = {n for n in open_ if unit * weight[n] > 2 * total[n]}
+        for n in over or open_:
+            target[n] = 2.0 * total[n] if over else unit * weight[n]
+            left -= target[n]
+        open_ -= over or open_
+    for n in names:
+        assert abs(taken[n] - target[n]) <= max(20, 0.02 * target[n])
+    assert set(Counter(r.doc_id for r in after).values()) <= {1, 2}
+    assert {r.doc_id: r for r in after}.items() <= {r.doc_id: r for r in before}.items()
+
+    before, after = kept["packing"]
+    tokenizer, pieces = Tokenizer.from_file(packing.vocabulary()), Counter()
+    for r in before:
+        ids = tokenizer.encode(r.text or "", add_special_tokens=False).ids + [packing.SEPARATOR]
+        for at in range(0, len(ids), packing.BIN):
+            part = ids[at : at + packing.BIN]
+            pieces[r.doc_id, at, len(part), zlib.crc32(np.array(part, "<u4").tobytes())] += 1
+
+    def packed_pieces(rows):
+        return Counter((r.doc_id, r.start, r.length, r.ids_crc32) for r in rows)
+
+    assert packed_pieces(after) == pieces
+    whole = corpus_pipeline.run(spark, folder).collect()
+    assert packed_pieces(whole) == pieces
+    for rows in (after, whole):
+        bins = defaultdict(list)
+        for r in rows:
+            bins[r.sequence_id].append((r.offset, r.length))
+        for own in bins.values():
+            ends = [0]
+            for offset, length in sorted(own):
+                assert offset == ends[-1]
+                ends.append(offset + length)
+            assert ends[-1] <= packing.BIN
