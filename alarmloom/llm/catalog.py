@@ -2,12 +2,15 @@
 
 import corpus_pipeline
 from alarmloom.llm import (
+    divergence,
     exactdedup,
+    importance,
     langid,
     linededup,
     mixing,
     nearjoin,
     packing,
+    qualityrules,
     secretscan,
     sharding,
     topk,
@@ -27,6 +30,9 @@ def queries():
         langid.op8_language_id,
         sharding.op9_hilbert_sharding,
         toxicity.op10_toxicity,
+        qualityrules.op11_quality_compression_bands,
+        divergence.op12_source_divergence_audit,
+        importance.op13_importance_resampling,
     ]
     return {query.__name__: query for query in listed} | {"pipeline": corpus_pipeline.run}
 
@@ -36,4 +42,6 @@ def oracle_sql():
         "op4_line_dedup": linededup.OP4_SQL,
         "op5_exact_top_k": topk.OP5_SQL,
         "op7_exact_dedup": exactdedup.OP7_SQL,
+        "op12_source_divergence_audit": divergence.OP12_SQL,
+        "op13_importance_resampling": importance.OP13_SQL,
     }

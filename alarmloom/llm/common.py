@@ -47,6 +47,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def free_name(rows: DataFrame, name: str) -> str:
+    """`name`, or the first of `name`_1, `name`_2 ... that no column of `rows` has in any case."""
+    taken, free, number = {c.lower() for c in rows.columns}, name, 0
+    while free.lower() in taken:
+        number += 1
+        free = f"{name}_{number}"
+    return free
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
