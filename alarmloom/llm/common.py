@@ -1,5 +1,7 @@
 """Helpers shared by the corpus operators: reading, row keys, word hashes, and counters by slot."""
 
+import ctypes
+import gc
 import hashlib
 import os
 import tempfile
@@ -56,6 +58,27 @@ def free_name(rows: DataFrame, name: str) -> str:
     return free
 
 
+def ranked(rows: DataFrame, order: list[Column], name: str, rank: str) -> DataFrame:
+    """The rows staged with their rank, from 0, in the given order.
+
+    Rows are range-partitioned and sorted; a row's rank is its place in its partition plus the rows of
+    the partitions before it. One number per partition comes to the driver.
+    """
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    # The number holds the partition in its upper bits and the place in it in the lower 33.
+    written = stage(ordered.withColumn(rank, F.monotonically_increasing_id()), name)
+    part = F.shiftright(F.col(rank), 33)
+    sizes = written.groupBy(part.alias("part")).agg(F.count("*").alias("rows")).collect()
+    before, total = {}, 0
+    for r in sorted(sizes, key=lambda r: r["part"]):
+        before[r["part"]], total = total, total + r["rows"]
+    if not before:
+        return written
+    offsets = F.create_map(*[F.lit(x).cast("long") for pair in before.items() for x in pair])
+    place = F.col(rank).bitwiseAND(F.lit((1 << 33) - 1))
+    return written.withColumn(rank, F.element_at(offsets, part) + place)
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
@@ -66,8 +89,17 @@ def ascii_lower(text: Column) -> Column:
 
 
 def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
-    """A 64-bit key of a row's id and text, defined for nulls and repeated ids too."""
-    return F.xxhash64(F.col(id_col).isNull(), id_col, F.col(text_col).isNull(), text_col)
+    """A 64-bit hash of a row's id and text, defined for nulls and repeated ids too. It spreads rows
+    and draws samples; it does not tell rows apart, which `numbered` does."""
+    own, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    return F.xxhash64(own.isNull(), own, text.isNull(), text)
+
+
+def numbered(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The rows staged with a number of their own each, and the name of that column, which no column of
+    `docs` has. The number is written down, so retries and other partitionings keep it."""
+    number = free_name(docs, "number")
+    return stage(docs.withColumn(number, F.monotonically_increasing_id()), name), number
 
 
 def crc_of_id(id_col: str = "doc_id") -> Column:
@@ -89,6 +121,17 @@ class Memo(dict):
         return value
 
 
+def release() -> None:
+    """Gives memory that a task no longer uses back to the system: Spark's Python workers live on, and
+    what they keep is missing to the next stage."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # no such call outside glibc
+
+
 def hash64(data: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little")
 
@@ -149,6 +192,8 @@ def slot_counts(
                     held = 0
         if waiting:
             settle()
+        waiting.clear()
+        release()
         for segment, counts in totals.items():
             yield pa.RecordBatch.from_arrays(
                 [pa.array([segment], pa.int32()), pa.array([part], pa.int32()),

@@ -4,9 +4,11 @@ The first pass counts, in four slots per text hash, whether a slot was met twice
 probes: a text with a slot met only once has no copy and goes straight through. The others, true
 copies and a few false alarms, are grouped by their full digest with map-side partials.
 
+Rows are numbered once, in a staged table; of equal texts exactly one row stays.
+
 Defined results: null text counts as empty, so null and empty texts are copies of each other; of
-equal texts the largest id stays (any non-null id before a null one); repeated rows, equal in id
-and text, are copies of one another; an empty table gives an empty table; extra columns pass.
+equal texts the largest id stays (any non-null id before a null one), of rows that also share the id
+the first of the table; an empty table gives an empty table; extra columns pass, whatever their names.
 """
 
 import numpy as np
@@ -16,9 +18,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from alarmloom.llm import common
 from alarmloom.session import stage
 
-DIGEST, MAYBE = "__digest", "__maybe"
-
-
 def digest(text: str = "text") -> Column:
     """SHA-256 of the text in UTF-8 after lower-casing A-Z."""
     return F.unhex(F.sha2(common.ascii_lower(common.text_or_empty(text)).cast("binary"), 256))
@@ -52,45 +51,56 @@ def _prober(spark, bits: np.ndarray):
     return maybe
 
 
-def with_maybe(rows: DataFrame, digests: DataFrame) -> DataFrame:
-    """Adds whether the row's digest may be repeated; false means it is not."""
-    maybe = _prober(rows.sparkSession, repeat_filter(digests))
-    return rows.withColumn(MAYBE, maybe(F.col(DIGEST)))
+def _first(number: str = "number") -> Column:
+    """Orders the rows of equal texts: the one that stays has the largest value."""
+    return F.struct(F.col("doc_id").isNotNull(), F.col("doc_id"), -F.col(number))
 
 
 def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, digest, `keep_id`, `group_size`, `kept`."""
-    keys = stage(docs.select(F.col(id_col).alias("doc_id"), digest(text_col).alias(DIGEST)), "dedup")
-    probed = with_maybe(keys, keys.select(DIGEST))
-    single = probed.filter(~F.col(MAYBE)).select(
-        "doc_id", DIGEST, F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size")
+    """One row per document: doc_id, digest, `keep_id`, `group_size`, `kept`."""
+    keys = docs.select(F.col(f"`{id_col}`").alias("doc_id"), digest(f"`{text_col}`").alias("digest"))
+    keys = stage(keys.withColumn("number", F.monotonically_increasing_id()), "dedup")
+    maybe = _prober(keys.sparkSession, repeat_filter(keys.select("digest")))
+    probed = keys.withColumn("maybe", maybe(F.col("digest")))
+    single = probed.filter(~F.col("maybe")).select(
+        "doc_id", "digest", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
+        F.lit(True).alias("kept"),
     )
-    again = probed.filter(MAYBE).select("doc_id", DIGEST)
+    again = stage(probed.filter("maybe").select("doc_id", "digest", "number"), "dedup-again")
     groups = stage(
-        again.groupBy(DIGEST).agg(
-            F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")
+        again.groupBy("digest").agg(
+            F.max_by("number", _first()).alias("keep"),
+            F.max("doc_id").alias("keep_id"),
+            F.count("*").alias("group_size"),
         ),
         "dedup-groups",
     )
-    return single.unionByName(again.join(groups, DIGEST)).withColumn(
-        "kept", F.col("doc_id").eqNullSafe(F.col("keep_id"))
+    found = again.join(groups, "digest").select(
+        "doc_id", "digest", "keep_id", "group_size", (F.col("number") == F.col("keep")).alias("kept")
     )
+    return single.unionByName(found)
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay, with all their columns; rows without a copy are never shuffled."""
-    rows = docs.withColumn(DIGEST, digest(text_col))
-    digests = stage(rows.select(DIGEST), "dedup")
-    probed = with_maybe(rows, digests)
-    order = F.struct(F.col(id_col).isNotNull(), F.col(id_col))
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    best = (
-        probed.filter(MAYBE)
-        .groupBy(DIGEST)
-        .agg(F.max_by(whole, order).alias("row"))
-        .select("row.*")
+    number, key = common.free_name(docs, "number"), common.free_name(docs, "digest")
+    rows = docs.withColumn(key, digest(f"`{text_col}`"))
+    rows = stage(rows.withColumn(number, F.monotonically_increasing_id()), "dedup-rows")
+    maybe = _prober(rows.sparkSession, repeat_filter(rows.select(key)))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    narrow = rows.select(
+        F.col(f"`{id_col}`").alias("doc_id"), F.col(key).alias("digest"), F.col(number).alias("number")
+    )
+    keep = (
+        narrow.filter(maybe(F.col("digest")))
+        .groupBy("digest")
+        .agg(F.max_by("number", _first()).alias(number))
+        .select(number)
     )
-    return probed.filter(~F.col(MAYBE)).select(best.columns).unionByName(best)
+    keep = stage(keep, "dedup-keep")
+    passing = rows.filter(~maybe(F.col(key)))
+    best = rows.filter(maybe(F.col(key))).join(keep, number, "left_semi")
+    return passing.select(*columns).unionByName(best.select(*columns))
 
 
 def op7_exact_dedup(spark, sf_dir):
@@ -99,7 +109,7 @@ def op7_exact_dedup(spark, sf_dir):
         "keep_id",
         "group_size",
         "kept",
-        F.lower(F.hex(DIGEST)).alias("text_sha256"),
+        F.lower(F.hex("digest")).alias("text_sha256"),
     )
 
 
@@ -107,9 +117,9 @@ OP7_SQL = """
 WITH normal AS (
   SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                                   'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
-  FROM documents),
-sized AS (
-  SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM normal GROUP BY 1)
-SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, text_sha256
-FROM normal JOIN sized USING (text_sha256)
+  FROM documents)
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
+       text_sha256
+FROM normal WINDOW same AS (PARTITION BY text_sha256)
 """

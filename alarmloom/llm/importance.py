@@ -92,7 +92,7 @@ class Head:
 def learn_head(
     texts: DataFrame, words: int = HEAD_WORDS, pairs: int = HEAD_PAIRS, buckets: int = BUCKETS
 ) -> Head:
-    """The most frequent words and pairs of all texts (one binary column).
+    """The most frequent words and pairs of all texts (one binary column), at most as many as given.
 
     A task sends what it met `OFTEN` times or more among the features it held at once: what is left
     out is rare there, and would only have been a little faster in the head.
@@ -126,7 +126,15 @@ def learn_head(
     met = stage(met.groupBy("word", "next").agg(F.sum("n").alias("n")), "head")
 
     def most(rows, number):
-        return rows.orderBy(F.desc("n"), "word", "next").limit(number).collect()
+        """As many of the most frequent as `number` allows, found by the histogram of the counts."""
+        steps = sorted(((r["n"], r["count"]) for r in rows.groupBy("n").count().collect()), reverse=True)
+        cut = None
+        for n, count in steps:
+            number -= count
+            if number < 0:
+                break
+            cut = n
+        return [] if cut is None else rows.filter(F.col("n") >= cut).orderBy("word", "next").collect()
 
     return Head(
         [bytes(r["word"]) for r in most(met.filter("next is null"), words)],

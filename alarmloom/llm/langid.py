@@ -31,9 +31,7 @@ _LETTERS: list[np.ndarray] = []
 def letters() -> np.ndarray:
     """For every code point: is it a letter? Built once per Python worker."""
     if not _LETTERS:
-        table = np.zeros(0x110000, bool)
-        table[: 0x32000] = [chr(i).isalpha() for i in range(0x32000)]
-        _LETTERS.append(table)
+        _LETTERS.append(np.array([chr(i).isalpha() for i in range(0x110000)]))
     return _LETTERS[0]
 
 
@@ -134,15 +132,13 @@ def fit(labelled: DataFrame, lang_col="lang", text_col="text", id_col="doc_id",
                 ["lang", "profile"],
             )
 
-    chosen = bounded_sample(
-        labelled.filter(F.col(lang_col).isNotNull()).withColumn(
-            "__key", common.row_key(id_col, text_col)
-        ),
-        lang_col,
-        "__key",
-        sample,
+    rows = labelled.select(
+        F.col(f"`{lang_col}`").alias("lang"),
+        F.col(f"`{text_col}`").alias("text"),
+        common.row_key(id_col, text_col).alias("row_key"),
     )
-    found = chosen.select(lang_col, text_col).mapInArrow(profiles, "lang string, profile binary").collect()
+    chosen = bounded_sample(rows, "lang", "row_key", sample).select("lang", "text")
+    found = chosen.mapInArrow(profiles, "lang string, profile binary").collect()
     if not found:
         return None
     found.sort(key=lambda r: (r.lang, r.profile))
@@ -153,7 +149,8 @@ def fit(labelled: DataFrame, lang_col="lang", text_col="text", id_col="doc_id",
 
 
 def identify(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
-    """All rows and columns with `lang_pred` and `lang_score`."""
+    """All rows and columns with `lang_pred` and `lang_score`; where a column has such a name already,
+    the new one is called by the first free one of name_1, name_2 ..."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang string, score double")
@@ -173,11 +170,12 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text") -> Da
             scores += own_scores
         return pd.DataFrame({"lang": names, "score": scores})
 
-    predicted = docs.withColumn("__lang", predict(F.col(text_col)))
+    own = common.free_name(docs, "lang_found")
+    predicted = docs.withColumn(own, predict(F.col(f"`{text_col}`")))
     return predicted.select(
         *[F.col(f"`{c}`") for c in docs.columns],
-        F.col("__lang.lang").alias("lang_pred"),
-        F.col("__lang.score").alias("lang_score"),
+        F.col(f"{own}.lang").alias(common.free_name(docs, "lang_pred")),
+        F.col(f"{own}.score").alias(common.free_name(docs, "lang_score")),
     )
 
 

@@ -3,6 +3,9 @@
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
+from alarmloom.llm import common
+from alarmloom.session import stage
+
 
 def hash_share(key: Column) -> Column:
     """A number in [0, 1) from the key's hash: the same rows fall below a bound in every run."""
@@ -12,15 +15,20 @@ def hash_share(key: Column) -> Column:
 def bounded_sample(rows: DataFrame, label: str, key: str, most: int) -> DataFrame:
     """About `most` rows in all, the same number per label value where there are enough.
 
-    Label values are counted first, so each value's share is known and no row is moved.
+    Label values are counted first and each row meets its value's count in a join, so any number of
+    values takes part. Rows without a label are left out.
     """
-    counts = {r[label]: r["count"] for r in rows.groupBy(label).count().limit(10_000).collect()}
-    each = most / max(1, len(counts))
-    kept = F.lit(False)
-    for value, count in counts.items():
-        share = min(1.0, each / count)
-        kept = kept | ((F.col(label) == F.lit(value)) & (hash_share(F.col(key)) < share))
-    return rows.filter(kept)
+    counts = stage(
+        rows.filter(F.col(f"`{label}`").isNotNull())
+        .groupBy(F.col(f"`{label}`").alias("value")).agg(F.count("*").alias("rows")),
+        "label-counts",
+    )
+    each = most / max(1, counts.count())
+    met = common.free_name(rows, "met")
+    found = counts.select(F.struct("value", "rows").alias(met))
+    joined = rows.join(found, F.col(f"`{label}`") == F.col(f"{met}.value"))
+    kept = joined.filter(hash_share(F.col(f"`{key}`")) * F.col(f"{met}.rows") < each)
+    return kept.select(*[F.col(f"`{c}`") for c in rows.columns])
 
 
 def fit_svm(x: np.ndarray, y: np.ndarray, rounds: int = 200, decay: float = 1e-4):

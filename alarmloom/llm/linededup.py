@@ -1,13 +1,14 @@
 """Line deduplication over overlapping windows of three consecutive lines.
 
 Blank lines are passed over. A window's two 64-bit hashes find it in the whole corpus; the first
-occurrence, by document id, row key and place, stays, and all lines that a later occurrence covers
+occurrence, by document id, row and place, stays, and all lines that a later occurrence covers
 go. Only windows met more than once are joined back, by the hashes, and only line numbers are
 gathered per document.
 
 Defined results: null text stays null and has no lines; texts of fewer than three non-blank lines
-stay as they are; rows equal in id and text are one document, and both keep its first occurrences;
-a null id comes after all others; an empty table gives an empty table; extra columns pass.
+stay as they are; of repeated rows the first in the table keeps its lines, and the others lose what it
+has; a null id comes after all others; an empty table gives an empty table; extra columns pass, and the
+count of removed lines takes a name that no column has.
 """
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -22,14 +23,17 @@ def _lines(text_col: str) -> Column:
     return F.split(common.text_or_empty(text_col), "\n", -1)
 
 
-def windows(docs: DataFrame, id_col: str, text_col: str, size: int = WINDOW) -> DataFrame:
-    """Rows (h1, h2, place, covered): `place` orders all windows, `covered` are line numbers."""
+def windows(
+    docs: DataFrame, number: str, id_col: str, text_col: str, size: int = WINDOW
+) -> DataFrame:
+    """Rows (h1, h2, place, covered): `place` orders all windows, `covered` are line numbers.
+    `number` is the column that tells rows apart."""
     numbered = F.transform(
-        _lines(text_col), lambda line, at: F.struct(at.alias("at"), line.alias("line"))
+        _lines(f"`{text_col}`"), lambda line, at: F.struct(at.alias("at"), line.alias("line"))
     )
     rows = docs.select(
-        common.row_key(id_col, text_col).alias("row_key"),
-        F.col(id_col).alias("doc_id"),
+        F.col(number).alias("row_key"),
+        F.col(f"`{id_col}`").alias("doc_id"),
         F.filter(numbered, lambda x: F.trim(x["line"]) != "").alias("lines"),
     ).filter(F.size("lines") >= size)
 
@@ -55,9 +59,11 @@ def windows(docs: DataFrame, id_col: str, text_col: str, size: int = WINDOW) ->
     )
 
 
-def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(row_key, removed): the line numbers that later occurrences cover."""
-    found = stage(windows(docs, id_col, text_col), "line-windows")
+def repeated_lines(
+    docs: DataFrame, number: str, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """(row_key, removed): number of a row and the line numbers that later occurrences cover."""
+    found = stage(windows(docs, number, id_col, text_col), "line-windows")
     firsts = stage(
         found.groupBy("h1", "h2")
         .agg(F.count("*").alias("n"), F.min("place").alias("first"))
@@ -70,24 +76,33 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return covered.groupBy("row_key").agg(F.collect_set("at").alias("removed"))
 
 
-def deduplicated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All rows and columns, the text without the removed lines, plus `__removed` (their count)."""
-    removed = stage(repeated_lines(docs, id_col, text_col), "line-removed")
-    removed = removed.withColumnsRenamed({"row_key": "__key", "removed": "__lines"})
-    rows = docs.withColumn("__key", common.row_key(id_col, text_col))
+def deduplicated_lines(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", count: str = "removed"
+) -> DataFrame:
+    """All rows and columns, the text without the removed lines, plus their count: `count`, or if a
+    column has that name, the first free one of `count`_1, `count`_2 ..."""
+    rows, number = common.numbered(docs, "line-rows")
+    lines = common.free_name(rows, "lines")
+    removed = stage(repeated_lines(rows, number, id_col, text_col), "line-removed")
+    removed = removed.withColumnsRenamed({"row_key": number, "removed": lines})
     # The list grows with the texts, so it is never broadcast: one plan at every size.
-    joined = rows.join(removed.hint("merge"), "__key", "left")
-    kept = F.filter(_lines(text_col), lambda _, at: ~F.array_contains("__lines", at))
-    text = F.when(F.col("__lines").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
+    joined = rows.join(removed.hint("merge"), number, "left")
+    split = _lines(f"`{text_col}`")
+    # The difference of two lists of numbers is taken by hash, in the order of the first.
+    stay = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col(lines))
+    kept = F.transform(stay, lambda at: F.get(split, at))
+    own = F.col(f"`{text_col}`")
+    text = F.when(F.col(lines).isNull(), own).otherwise(F.array_join(kept, "\n"))
     columns = [text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
-    return joined.select(*columns, F.coalesce(F.size("__lines"), F.lit(0)).alias("__removed"))
+    counted = F.coalesce(F.size(lines), F.lit(0)).alias(common.free_name(docs, count))
+    return joined.select(*columns, counted)
 
 
 def op4_line_dedup(spark, sf_dir):
     docs = common.table(spark, sf_dir, "documents")
     counted = docs.select("doc_id", "text", F.size(_lines("text")).alias("n_lines"))
-    return deduplicated_lines(counted).select(
-        "doc_id", "n_lines", F.col("__removed").alias("n_removed"), "text"
+    return deduplicated_lines(counted, count="n_removed").select(
+        "doc_id", "n_lines", "n_removed", "text"
     )
 
 

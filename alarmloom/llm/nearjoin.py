@@ -34,9 +34,7 @@ SLOTS = 1 << 22
 PARTS = 64
 MOST_IN_PART = 127
 SALTS = 8
-SETS = (
-    "doc_id long, row_key long, n long, node binary, prefix array<long>, parts array<tinyint>"
-)
+SETS = "doc_id long, number long, n long, node binary, prefix array<long>, parts array<tinyint>"
 
 
 def shingle_hashes(text: bytes | None, words: int, memo: common.Memo) -> np.ndarray:
@@ -77,14 +75,15 @@ class Shingles:
 
         return common.slot_table(common.slot_counts(texts, slots_of, SLOTS), SLOTS)
 
-    def sets(self, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-        """Per row: its set's size, its class (`node`), its prefix, and the set's parts.
+    def sets(self, docs: DataFrame) -> DataFrame:
+        """Per row of (doc_id, number, text): its set's size, its class (`node`), its prefix, and the
+        set's parts.
 
         `parts` counts the set's shingles by the top six bits of their hash, up to 127 a part;
         counts cut off there differ by no more than the true ones, so bounds on them still hold.
         """
         words, percent = self.words, self.percent
-        counts = self.slot_counts(docs.select(F.col(text_col).cast("binary")))
+        counts = self.slot_counts(docs.select("text"))
         shared = docs.sparkSession.sparkContext.broadcast(counts)
 
         def describe(batches):
@@ -104,24 +103,21 @@ class Shingles:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id"),
-                        batch.column("row_key"),
+                        batch.column("number"),
                         pa.array(out["n"], pa.int64()),
                         pa.array(out["node"], pa.binary()),
                         pa.array(out["prefix"], pa.list_(pa.int64())),
                         pa.array([p.astype(np.int8) for p in out["parts"]], pa.list_(pa.int8())),
                     ],
-                    ["doc_id", "row_key", "n", "node", "prefix", "parts"],
+                    ["doc_id", "number", "n", "node", "prefix", "parts"],
                 )
+            memo.clear()
+            common.release()
 
-        rows = docs.select(
-            F.col(id_col).cast("long").alias("doc_id"),
-            common.row_key(id_col, text_col).alias("row_key"),
-            F.col(text_col).cast("binary").alias("text"),
-        )
-        return rows.mapInArrow(describe, SETS)
+        return docs.mapInArrow(describe, SETS)
 
-    def whole_sets(self, docs: DataFrame, wanted: DataFrame, id_col, text_col) -> DataFrame:
-        """(node, shingles) of the wanted rows, found by a Bloom filter on their keys.
+    def whole_sets(self, docs: DataFrame, wanted: DataFrame) -> DataFrame:
+        """(node, shingles) of the wanted rows, found by a Bloom filter on their numbers.
 
         A false alarm of the filter is one more set, which no pair asks for.
         """
@@ -129,7 +125,7 @@ class Shingles:
         width = common.bloom_width(wanted.count())
 
         def slots(keys):
-            keys = np.asarray(keys).view(np.uint64)
+            keys = common.mixed(np.asarray(keys).view(np.uint64) + np.uint64(1))
             return common.bloom_slots(keys, common.mixed(keys), width)
 
         def slots_of(batch):
@@ -141,7 +137,7 @@ class Shingles:
         def make(batches):
             memo = common.Memo(common.hash64)
             for batch in batches:
-                keys = batch.column("row_key").to_numpy(zero_copy_only=False)
+                keys = batch.column("number").to_numpy(zero_copy_only=False)
                 asked = np.flatnonzero(common.passes(shared.value, slots(keys)))
                 texts = batch.column("text").take(pa.array(asked)).to_pylist()
                 found = [shingle_hashes(t, words, memo) for t in texts]
@@ -153,13 +149,11 @@ class Shingles:
                     ],
                     ["node", "shingles"],
                 )
+            memo.clear()
+            common.release()
 
         # Filter and sets in one pass: a task has one Python worker, not two.
-        rows = docs.select(
-            common.row_key(id_col, text_col).alias("row_key"),
-            F.col(text_col).cast("binary").alias("text"),
-        )
-        made = rows.mapInArrow(make, "node binary, shingles array<long>")
+        made = docs.select("number", "text").mapInArrow(make, "node binary, shingles array<long>")
         return stage(made, "near-sets").dropDuplicates(["node"])
 
     def may_link(self, x: str, y: str) -> Column:
@@ -222,21 +216,25 @@ def _entries(reps: DataFrame, prefixes: DataFrame) -> DataFrame:
     )
 
 
-def _prepared(join: Shingles, docs: DataFrame, id_col: str, text_col: str):
-    """The staged rows, the representatives of their classes, the classes' parts, and the lists."""
-    numbered = join.sets(docs, id_col, text_col).withColumn(
-        "number", F.monotonically_increasing_id()
+def _texts(docs: DataFrame, id_col: str, text_col: str, number: str | None) -> DataFrame:
+    """(doc_id, number, text) of the rows; numbered here, in a staged table, if they are not yet."""
+    rows = docs.select(
+        F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+        (F.lit(None) if number is None else F.col(number)).cast("long").alias("number"),
+        F.col(f"`{text_col}`").cast("binary").alias("text"),
     )
-    rows = stage(numbered, "near-rows")
+    if number is None:
+        rows = stage(rows.withColumn("number", F.monotonically_increasing_id()), "near-texts")
+    return rows
+
+
+def _prepared(join: Shingles, docs: DataFrame):
+    """The staged rows, the representatives of their classes, the classes' parts, and the lists."""
+    rows = stage(join.sets(docs), "near-rows")
     reps = stage(
         rows.filter("n > 0")
         .groupBy("node")
-        .agg(
-            F.min("doc_id").alias("rep"),
-            F.min("row_key").alias("row_key"),
-            F.min("n").alias("n"),
-            F.min("number").alias("number"),
-        ),
+        .agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("number").alias("number")),
         "near-reps",
     )
     chosen = rows.select("number", "prefix", "parts").join(reps, "number")
@@ -246,11 +244,11 @@ def _prepared(join: Shingles, docs: DataFrame, id_col: str, text_col: str):
     return rows, reps, parts, entries
 
 
-def _verified(join, docs, reps, pairs, id_col, text_col) -> DataFrame:
+def _verified(join, docs, reps, pairs) -> DataFrame:
     """The links among the pairs."""
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = stage(reps.join(nodes, "node").select("row_key"), "near-wanted")
-    return stage(join.links(pairs, join.whole_sets(docs, wanted, id_col, text_col)), "near-links")
+    wanted = stage(reps.join(nodes, "node").select("number"), "near-wanted")
+    return stage(join.links(pairs, join.whole_sets(docs, wanted)), "near-links")
 
 
 def _ordered(x, y):
@@ -276,11 +274,12 @@ def _named(rows: DataFrame, reps: DataFrame, labels: DataFrame) -> DataFrame:
         "near-of-class",
     )
     smallest = stage(of_class.groupBy("label").agg(F.min("rep").alias("component_id")), "near-ids")
-    named = stage(of_class.join(smallest, "label").select("node", "component_id"), "near-named")
+    named = stage(of_class.join(smallest, "label").select("node", "label", "component_id"), "near-named")
     empty = rows.filter("n = 0").select(
-        "doc_id", "row_key", "n", "node", F.col("doc_id").alias("component_id")
+        "doc_id", "number", "n", "node", F.lit(None).cast("binary").alias("label"),
+        F.col("doc_id").alias("component_id"),
     )
-    full = rows.filter("n > 0").select("doc_id", "row_key", "n", "node").join(named, "node")
+    full = rows.filter("n > 0").select("doc_id", "number", "n", "node").join(named, "node")
     return full.select(empty.columns).union(empty)
 
 
@@ -290,13 +289,16 @@ def near_classes(
     percent: int = 80,
     id_col: str = "doc_id",
     text_col: str = "text",
+    number: str | None = None,
 ) -> DataFrame:
-    """One row per document: `doc_id`, `row_key`, `n`, `node` and `component_id`.
+    """One row per document: `doc_id`, `number`, `n`, `node`, `label` (of its component; null without
+    shingles) and `component_id`.
 
     The shortcut to components: most pairs within one are not verified. `near_links` has all links.
+    `number`: a column that numbers the rows, as `common.numbered` gives it; else they are numbered here.
     """
-    join = Shingles(words, percent)
-    rows, reps, parts, entries = _prepared(join, docs, id_col, text_col)
+    join, docs = Shingles(words, percent), _texts(docs, id_col, text_col, number)
+    rows, reps, parts, entries = _prepared(join, docs)
     pivots = stage(entries.groupBy("token").agg(F.min("entry").alias("pivot")), "near-pivots")
 
     differ = F.col("entry.node") != F.col("pivot.node")
@@ -307,7 +309,7 @@ def near_classes(
         .distinct()
     )
     pairs = stage(_overlapping(join, parts, stage(met, "near-met")), "near-pairs")
-    links = _verified(join, docs, reps, pairs, id_col, text_col)
+    links = _verified(join, docs, reps, pairs)
     labels = common.components(links, "near-first")
 
     own = labels.withColumnRenamed("label", "component")
@@ -355,7 +357,7 @@ def near_classes(
         "near-more",
     )
     if not more.isEmpty():
-        found = _verified(join, docs, reps, more, id_col, text_col)
+        found = _verified(join, docs, reps, more)
         if not found.isEmpty():
             labels = common.components(links.union(found), "near-last")
 
@@ -380,8 +382,8 @@ def near_links(
     Each entry lies in one of `salts` blocks of its list and meets the entries of one pair of blocks
     per task, so a long list is spread over about salts^2 / 2 keys.
     """
-    join = Shingles(words, percent)
-    rows, reps, parts, entries = _prepared(join, docs, id_col, text_col)
+    join, docs = Shingles(words, percent), _texts(docs, id_col, text_col, None)
+    rows, reps, parts, entries = _prepared(join, docs)
     # A list of two has one block; a longer one is dealt by node.
     block = F.when(F.col("many"), F.pmod(F.xxhash64("entry.node"), F.lit(salts))).otherwise(0)
     dealt = entries.withColumn("block", block.cast("int"))
@@ -408,7 +410,7 @@ def near_links(
         .distinct()
     )
     pairs = stage(_overlapping(join, parts, stage(met, "near-met")), "near-pairs")
-    links = _verified(join, docs, reps, pairs, id_col, text_col)
+    links = _verified(join, docs, reps, pairs)
     labels = common.components(links, "near-all")
     ends = links.select(F.explode(F.array("a", "b")).alias("node"))
     degrees = stage(ends.groupBy("node").agg(F.count("*").alias("links")), "near-degrees")
@@ -417,14 +419,15 @@ def near_links(
 
 
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """The document with the smallest id of each component, with all columns; of rows equal in id
-    and text one stays. Documents without shingles link with nothing and stay."""
-    found = near_classes(docs, words, percent)
-    firsts = found.filter((F.col("doc_id").eqNullSafe(F.col("component_id")))).select("row_key")
-    keep = stage(firsts.distinct(), "near-keep").withColumnRenamed("row_key", "__key")
-    rows = docs.withColumn("__key", common.row_key())
-    kept = rows.join(keep, "__key", "left_semi")
-    return kept.dropDuplicates(["__key"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """One document of each component, with all columns: that with the smallest id, of several rows with
+    that id the first. Documents without shingles link with nothing and stay."""
+    rows, number = common.numbered(docs, "near-docs")
+    found = near_classes(rows, words, percent, number=number)
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "number")
+    firsts = found.filter("n > 0").groupBy("label").agg(F.min_by("number", order).alias(number))
+    empty = found.filter("n = 0").select(F.col("number").alias(number))
+    keep = stage(firsts.select(number).union(empty), "near-keep")
+    return rows.join(keep.hint("merge"), number, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op3_ngram_jaccard_join(spark, sf_dir):

@@ -15,7 +15,6 @@ repeated rows get places of their own; an empty table gives an empty table; extr
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from alarmloom.llm import common
-from alarmloom.session import stage
 
 BITS = 4
 NUMERIC = {"byte", "short", "integer", "int", "long", "bigint", "float", "double"}
@@ -120,39 +119,26 @@ def quantised(rows: DataFrame, dims: list[str], bits: int = BITS) -> list[Column
 def hilbert_shards(
     rows: DataFrame, dims: list[str], shards: int, id_col: str = "doc_id", bits: int = BITS
 ) -> DataFrame:
-    """Adds `shard` (0 to shards - 1), `slot` (place in the shard) to all rows.
+    """Adds `shard` (0 to shards - 1) and `slot` (place in the shard) to all rows; where a column has such
+    a name, the new one is called by the first free one of name_1, name_2 ...
 
     Give it the columns that the shards shall hold: they are moved once, in the range shuffle.
     """
-    steps = quantised(rows, dims, bits)
-    names = [f"__step{i}" for i in range(len(dims))]
-    placed = rows.select("*", *[s.alias(n) for s, n in zip(steps, names)])
-    placed = placed.withColumn("__curve", hilbert_index([F.col(n) for n in names], bits))
-    order = ["__curve", id_col]
-    ordered = placed.drop(*names).repartitionByRange(*order).sortWithinPartitions(*order)
-    # The number holds the partition in its upper bits and the place in it in the lower 33.
-    written = stage(ordered.withColumn("__place", F.monotonically_increasing_id()), "curve")
-    part = F.shiftright("__place", 33)
-    counts = written.groupBy(part.alias("__part")).agg(F.count("*").alias("__rows"))
-    sizes = sorted((r["__part"], r["__rows"]) for r in counts.collect())
-    before, total = [], 0
-    for number, count in sizes:
-        before.append((number, total))
-        total += count
-    spark = rows.sparkSession
-    offsets = spark.createDataFrame(before, "__part long, __before long")
-    place = F.col("__before") + F.col("__place").bitwiseAND(F.lit((1 << 33) - 1))
-    # One row per partition of the shuffle, whatever the data: safe to broadcast.
-    numbered = written.withColumn("__part", part).join(F.broadcast(offsets), "__part")
-    numbered = numbered.withColumn("__at", place)
-    shard = F.floor(F.col("__at") * shards / F.lit(max(total, 1))).cast("int")
-    if total:
-        shard = F.expr(f"cast(__at * {shards} div {total} as int)")
-    numbered = numbered.withColumn("shard", shard)
-    first = F.expr(f"(shard * {total}L + {shards - 1}) div {shards}")
-    return numbered.withColumn("slot", F.col("__at") - first).drop(
-        "__part", "__before", "__at", "__place", "__curve"
-    )
+    steps, names = quantised(rows, dims, bits), []
+    placed = rows
+    for step in steps:
+        names.append(common.free_name(placed, "step"))
+        placed = placed.withColumn(names[-1], step)
+    curve = common.free_name(placed, "curve")
+    placed = placed.withColumn(curve, hilbert_index([F.col(n) for n in names], bits)).drop(*names)
+    at = common.free_name(placed, "place")
+    numbered = common.ranked(placed, [F.col(curve), F.col(f"`{id_col}`")], "curve", at)
+    total = numbered.count()
+    shard, slot = common.free_name(rows, "shard"), common.free_name(rows, "slot")
+    # Exact integers: cast of a quotient of longs, and the first place of a shard.
+    numbered = numbered.withColumn(shard, F.expr(f"cast(`{at}` * {shards} div {max(total, 1)} as int)"))
+    first = F.expr(f"(`{shard}` * {total}L + {shards - 1}) div {shards}")
+    return numbered.withColumn(slot, F.col(at) - first).drop(curve, at)
 
 
 def write_shards(sharded: DataFrame, dims: list[str], folder: str) -> DataFrame:

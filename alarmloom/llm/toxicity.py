@@ -1,7 +1,7 @@
 """Toxicity by weak supervision: many voters, a label model over them, a linear classifier.
 
-Words that mark one class of a bounded labelled sample become voters, one each; patterns of the
-text are voters too. A voter says toxic or clean, or abstains. The label model estimates, by
+Words that mark the toxic class of a bounded labelled sample become voters, one each, however many
+there are; patterns of the text are voters too. No word is known beforehand. A voter says toxic or clean, or abstains. The label model estimates, by
 expectation and maximisation without labels, how often each voter speaks in either class, and from
 what is left between two voters within a class how far they say the same thing: correlated voters
 share their weight. A logistic regression is fitted to the posterior labels, and its offset and
@@ -24,14 +24,10 @@ from alarmloom.llm.linear import bounded_sample, fit_logistic, sigmoid
 from alarmloom.session import stage
 
 SAMPLE = 24_000
-MOST_WORDS = 512
 LEAST_DOCS = 4
 EVEN = 4.0
 SURE = 30.0
 WORD = re.compile(r"[^\W\d_]+")
-# Insults known beforehand.
-INSULTS = """idiot moron stupid scum pathetic worthless clown trash loser disgusting dumb fool
-garbage vermin imbecile jerk freak filth creep coward liar ugly""".split()
 
 
 def words_of(text: str | None) -> list[str]:
@@ -41,11 +37,10 @@ def words_of(text: str | None) -> list[str]:
 class Voters:
     """The voters over one text: words of the lexicon, then patterns."""
 
-    PATTERNS = ("two", "four", "dense", "repeated", "known", "early", "none")
+    PATTERNS = ("two", "four", "dense", "repeated", "early", "none")
 
     def __init__(self, lexicon: list[str]):
         self.index = {w: i for i, w in enumerate(lexicon)}
-        self.known = {i for w, i in self.index.items() if w in set(INSULTS)}
         self.size = len(lexicon) + len(self.PATTERNS)
 
     def votes(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -69,7 +64,6 @@ class Voters:
                 distinct >= 4,
                 len(hits) * 100 >= len(words),
                 counts.max() >= 2,
-                not self.known.isdisjoint(hits),
                 first < 50,
                 False,
             )
@@ -78,7 +72,6 @@ class Voters:
                 distinct >= 4,
                 min(1.0, 20 * len(hits) / len(words)),
                 counts.max() >= 2,
-                votes[base + 4],
                 first < 50,
                 0.0,
             )
@@ -87,9 +80,8 @@ class Voters:
         return votes, features
 
 
-def learn_lexicon(sample: DataFrame, most: int = MOST_WORDS, least: int = LEAST_DOCS) -> list[str]:
-    """The words whose presence marks toxic rows of the sample, at most `most`, and the insults
-    known beforehand that the sample does not speak against.
+def learn_lexicon(sample: DataFrame, least: int = LEAST_DOCS) -> list[str]:
+    """All words whose presence marks toxic rows of the sample; their number is bounded by it.
 
     Counted by Spark over the distinct words of each different text. A word is taken if its rows,
     `least` or more of them toxic, are toxic by EVEN to one or more, and if its likelihood ratio
@@ -110,14 +102,14 @@ def learn_lexicon(sample: DataFrame, most: int = MOST_WORDS, least: int = LEAST_
     totals = {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()}
     bad, good = totals.get(1, 0), totals.get(0, 0)
     if not bad or not good:
-        return sorted(INSULTS)
+        return []
     counted = (
         sample.select("text", "toxic")
         .dropDuplicates(["text"])
         .mapInArrow(spread, "word string, toxic int")
         .groupBy("word")
         .agg(F.sum("toxic").alias("bad"), F.count("*").alias("n"))
-        .filter((F.col("bad") >= least) | F.col("word").isin(INSULTS))
+        .filter(F.col("bad") >= least)
     )
     counted = stage(counted, "toxic-words")
     with_word = (F.col("bad") + 0.5) / (F.col("n") - F.col("bad") + 0.5)
@@ -130,12 +122,8 @@ def learn_lexicon(sample: DataFrame, most: int = MOST_WORDS, least: int = LEAST_
     ratio = 2 * (
         part(F.col("bad"), F.col("n") * share) + part(clean, F.col("n") * (1 - share))
     )
-    marked = counted.filter(
-        (F.col("bad") >= least) & (with_word > EVEN) & (ratio > SURE)
-    )
-    chosen = marked.orderBy(F.desc("bad"), "word").limit(most).collect()
-    against = counted.filter(F.col("word").isin(INSULTS) & (with_word <= 1)).collect()
-    return sorted({r.word for r in chosen} | set(INSULTS) - {r.word for r in against})
+    marked = counted.filter((with_word > EVEN) & (ratio > SURE))
+    return sorted(r.word for r in marked.select("word").collect())
 
 
 class LabelModel:
@@ -246,7 +234,8 @@ def _shift(raw: np.ndarray, labels: np.ndarray, share: float) -> float:
 
 
 def score_texts(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
-    """All rows and columns with `toxic_score`."""
+    """All rows and columns with `toxic_score`, or if a column has that name, the first free one of
+    toxic_score_1, toxic_score_2 ..."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
@@ -256,7 +245,7 @@ def score_texts(docs: DataFrame, model: Model | None, text_col: str = "text") ->
         model = shared.value
         return pd.Series([0.0 if model is None else model.score(t) for t in texts], dtype="float64")
 
-    return docs.withColumn("toxic_score", score(F.col(text_col)))
+    return docs.withColumn(common.free_name(docs, "toxic_score"), score(F.col(f"`{text_col}`")))
 
 
 def op10_toxicity(spark, sf_dir):

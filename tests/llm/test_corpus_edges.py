@@ -4,7 +4,20 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from alarmloom.llm import catalog, exactdedup, linededup, mixing, nearjoin, packing, secretscan
+from alarmloom.llm import (
+    catalog,
+    common,
+    exactdedup,
+    langid,
+    linededup,
+    mixing,
+    nearjoin,
+    packing,
+    secretscan,
+    sharding,
+    toxicity,
+)
+from compare import connect, differences
 from test_corpus_queries import brute_components, check_secrets
 
 COLUMNS = (
@@ -94,6 +107,15 @@ def test_near_join(spark, docs):
     assert {2, 3, None}.isdisjoint(r.doc_id for r in kept.collect())
 
 
+def test_one_of_each_without_ids(spark):
+    """Components whose rows all have null ids stay apart; of equal rows one stays."""
+    other = COPY.replace("e", "ee")
+    rows = [(None, COPY), (None, COPY + " more"), (None, other), (None, other), (None, ""), (4, None)]
+    kept = nearjoin.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.text or "")[:3] for r in kept) == ["", "", "one", "onee"[:3]]
+    assert sorted(r.text == other for r in kept).count(True) == 1
+
+
 def test_exact_dedup_keeps_columns_and_one_of_each(docs):
     kept = exactdedup.deduplicated(docs)
     assert sorted(kept.columns) == sorted(docs.columns)
@@ -102,20 +124,36 @@ def test_exact_dedup_keeps_columns_and_one_of_each(docs):
 
 
 def test_lines(docs):
-    found = {r.doc_id: (r["__removed"], r.text) for r in linededup.deduplicated_lines(docs).collect()}
+    found = {r.doc_id: (r.removed, r.text) for r in linededup.deduplicated_lines(docs).collect()}
     assert found[11] == (0, TEXTS[11][1]) and found[12] == (3, "first\n")
     assert found[5] == (0, None)
 
 
+def test_lines_of_a_long_text_and_repeated_rows(spark):
+    """Every line of a long text removed or kept in one go; of equal rows the first keeps its lines."""
+    long = "\n".join(f"line {i % 5000}" for i in range(20_000))
+    table = spark.createDataFrame([(1, long), (2, "a\nb\nc"), (2, "a\nb\nc"), (None, "a\nb\nc")], "doc_id long, text string")
+    found = sorted((r.doc_id or 9, r.removed, len(r.text)) for r in linededup.deduplicated_lines(table).collect())
+    assert [f[:2] for f in found] == [(1, 15_000), (2, 0), (2, 3), (9, 3)]
+
+
 def test_mixed_rows_keep_their_columns(docs):
     found = mixing.mixed(docs)
     assert found.columns == docs.columns
     assert found.groupBy("doc_id").count().filter(F.col("count") > 4).isEmpty()
 
 
-def test_shared_targets():
-    assert mixing.shared_targets([100, 100, 100], [3, 1, 2], 1.5, 2.0) == [200.0, 250 / 3, 500 / 3]
-    assert mixing.shared_targets([], [], 1.5, 2.0) == []
+def targets_of(spark, sizes, weights, share, cap):
+    base = spark.createDataFrame([(f"s{i:02d}", n) for i, n in enumerate(sizes)], "dim0 string, size long")
+    found = mixing.levels_of(base, "dim0", weights, share, cap).orderBy("level").collect()
+    return [r.target for r in found]
+
+
+def test_targets(spark):
+    assert targets_of(spark, [100, 100, 100], [3, 1, 2], 1.5, 2.0) == [200.0, 250 / 3, 500 / 3]
+    assert targets_of(spark, [10, 10, 10], [3, 1, 2], 9.0, 2.0) == [20.0, 20.0, 20.0]
+    assert targets_of(spark, [0, 6], [1, 1], 1.0, 2.0) == [0.0, 6.0]
+    assert targets_of(spark, [], [1, 1], 1.0, 2.0) == []
 
 
 def test_long_text_is_cut_without_loss(spark, folder):
@@ -138,9 +176,148 @@ def test_mixing_does_not_depend_on_partitions(spark):
     rows = [(i % 700, f"w{i % 700} " * (1 + i % 9), "ab"[i % 2]) for i in range(2100)]
     rows += [(None, None, None)] * 3 + [(5, "same words", None)] * 40
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    columns = ["doc_id", "row_key", "size", "target", "copies"]
+    columns = ["doc_id", "size", "target", "copies"]
     runs = [
         sorted(map(repr, mixing.mix(docs.repartition(n)).select(*columns).collect()))
         for n in (1, 7)
     ]
     assert runs[0] == runs[1] and len(runs[0]) == len(rows)
+
+
+def test_a_level_for_each_of_many_sources(spark):
+    """No number of sources is too many; the weights go round by code point."""
+    rows = [(i, "w " * (1 + i % 3), f"{i:05d}") for i in range(30_000)]
+    found = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert len(found) == len(rows)
+    size = {i: 1 + i % 3 for i in range(30_000)}
+    weight = {i: (3, 1, 2)[i % 3] for i in size}
+    fixed, left = {}, 1.5 * sum(size.values())
+    while True:
+        unit = left / sum(w for i, w in weight.items() if i not in fixed)
+        over = [i for i in size if i not in fixed and unit * weight[i] > 2 * size[i]]
+        if not over:
+            break
+        for i in over:
+            fixed[i] = 2.0 * size[i]
+            left -= fixed[i]
+    for r in found:
+        assert abs(r.target - fixed.get(r.doc_id, unit * weight[r.doc_id])) < 1e-9
+
+
+def test_two_dimensions_meet_their_targets_together(spark):
+    """Rates of cells are products of one factor per level, as a plain solver finds them."""
+    import numpy as np
+
+    sizes = np.array([[40, 10, 25], [5, 60, 20]])
+    rows = []
+    for s in range(2):
+        for g in range(3):
+            rows += [(f"w " * 10, f"s{s}", f"g{g}")] * (20 * sizes[s, g])
+    docs = spark.createDataFrame(
+        [(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, source string, lang string"
+    )
+    base = docs.select(F.col("source").alias("dim0"), F.col("lang").alias("dim1"), mixing.word_count().alias("size"))
+    cells, _ = mixing._rated_cells(base, ["dim0", "dim1"], [[3.0, 2.0], [1.0, 1.0, 2.0]], 1.0, 4.0)
+    found = {(r.dim0, r.dim1): r.rate for r in cells.collect()}
+    mass = sizes * 200.0
+    wanted = [mass.sum() * np.array([3, 2]) / 5, mass.sum() * np.array([1, 1, 2]) / 4]
+    rate = np.ones_like(mass)
+    for _ in range(500):
+        rate *= (wanted[0] / (rate * mass).sum(axis=1))[:, None]
+        rate *= wanted[1] / (rate * mass).sum(axis=0)
+    for s in range(2):
+        for g in range(3):
+            assert abs(found[f"s{s}", f"g{g}"] - rate[s, g]) < 1e-6
+    dealt = mixing.mix(docs, [[3.0, 2.0], [1.0, 1.0, 2.0]], 1.0, 4.0, ["source", "lang"])
+    taken = dealt.join(docs, "doc_id").groupBy("source").agg(F.sum("taken").alias("t")).collect()
+    for r in taken:
+        assert abs(r.t - wanted[0][int(r.source[1])]) <= 60
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_equal_documents_of_two_sources_are_mixed_by_source(spark, parts):
+    """Rows equal in id and text but not in source keep their source's share, and all their columns."""
+    rows = [(i, "same words here now " * 25, s, i) for i in range(40) for s in "ab"]
+    rows += [(100, "other " * 50, "c", n) for n in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, `number` int").repartition(parts)
+    kept = mixing.mixed(docs)
+    assert kept.columns == docs.columns
+    got = {r.source: r.t for r in kept.groupBy("source").agg(F.sum(mixing.word_count()).alias("t")).collect()}
+    by_target = mixing.levels_of(
+        docs.select(F.col("source").alias("dim0"), mixing.word_count().alias("size")), "dim0", mixing.WEIGHTS, 1.5, 2.0
+    ).collect()
+    for r in by_target:
+        assert abs(got.get(r.value, 0) - r.target) <= 100, (r, got)
+    most = kept.groupBy("doc_id", "source", "number").count().agg(F.max("count")).first()[0]
+    assert most <= 2
+
+
+def test_names_that_clash_keep_their_values(spark):
+    """Columns called as the operators' own keep their values in every operator that passes columns."""
+    names = ["number", "digest", "copies", "maybe", "lang_pred", "lang_score", "toxic_score", "shard", "slot",
+             "removed", "row_key", "curve", "place"]
+    texts = [COPY, COPY, "one two", "a b c d e f g"]
+    rows = [(i, t, "en", "s", *[f"{n}{i}" for n in names]) for i, t in enumerate(texts)]
+    layout = "doc_id long, text string, lang string, source string, " + ", ".join(f"`{n}` string" for n in names)
+    table = spark.createDataFrame(rows, layout)
+    frames = {
+        "dedup": exactdedup.deduplicated(table),
+        "near": nearjoin.one_of_each(table),
+        "mixed": mixing.mixed(table),
+        "lang": langid.identify(table, langid.fit(table)),
+        "toxic": toxicity.score_texts(table, None),
+        "shards": sharding.hilbert_shards(table, ["source", "doc_id"], 2),
+        "lines": linededup.deduplicated_lines(table),
+    }
+    for name, frame in frames.items():
+        assert len(set(c.lower() for c in frame.columns)) == len(frame.columns), name
+        found = frame.select("doc_id", *[f"`{n}`" for n in names]).collect()
+        assert found, name
+        for r in found:
+            assert [r[n] for n in names] == [f"{n}{r.doc_id}" for n in names], name
+
+
+def test_one_of_equal_rows_stays(spark, tmp_path):
+    rows = [(5, "a"), (5, "a"), (3, "A"), (None, "b"), (None, "B"), (7, None), (8, "")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = exactdedup.copies(table).filter("kept").groupBy("keep_id").count().collect()
+    assert sorted((r.keep_id or 0, r["count"]) for r in kept) == [(0, 1), (5, 1), (8, 1)]
+    assert exactdedup.deduplicated(table).count() == 3
+    table.write.parquet(f"{tmp_path}/documents.parquet")
+    con = connect("/nowhere")
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert differences(spark, con, exactdedup.op7_exact_dedup, exactdedup.OP7_SQL, str(tmp_path)) == []
+
+
+def test_only_repeated_digests_pass_the_filter(spark, monkeypatch):
+    """Right with a filter that is far too small, too: what passes by mistake is checked."""
+    rows = [(i, f"text {i % 900}") for i in range(1000)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    for most in (1 << 16, common.MOST_BITS):
+        monkeypatch.setattr(common, "MOST_BITS", most)
+        keys = table.select(exactdedup.digest().alias("digest"))
+        bits = exactdedup.repeat_filter(keys)
+        maybe = exactdedup._prober(spark, bits)
+        assert keys.filter(maybe("digest")).count() <= 200 + 20
+        assert exactdedup.deduplicated(table).count() == 900
+    monkeypatch.setattr(common, "bloom_width", lambda keys: 64)
+    monkeypatch.setattr(common, "SEGMENT", 64)
+    assert exactdedup.deduplicated(table).count() == 900
+
+
+def test_letters_of_all_planes():
+    from alarmloom.llm import langid as module
+
+    text = chr(0x323B0 - 1) + chr(0x31350)
+    assert (module.profile(text) is not None) == any(c.isalpha() for c in text)
+    assert module.letters()[0x323AF] == chr(0x323AF).isalpha()
+
+
+def test_more_label_values_than_any_limit(spark):
+    from alarmloom.llm.linear import bounded_sample
+
+    rows = spark.range(24_000).select("id", (F.col("id") % 12_000).cast("string").alias("label"))
+    found = bounded_sample(rows, "label", "id", 24_000)
+    assert found.count() == 24_000
+    few = bounded_sample(rows, "label", "id", 6_000).count()
+    assert 5_000 < few < 7_000
