@@ -15,9 +15,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Fits on the labelled rows of `docs`; rows without an identifiable language leave."""
     model = langid.fit(docs)
     named = langid.identify(docs, model)
-    return named.filter(F.col("lang_pred") != langid.UNKNOWN).select(
-        *[F.col(f"`{c}`") for c in docs.columns]
-    )
+    found = F.col(common.free_name(docs, "lang_pred"))
+    return named.filter(found != langid.UNKNOWN).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +40,7 @@ def packing_bins(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     The stage reports each piece's place and the digest of its ids; the ids themselves are those of
     `packing.pack_documents`, and `packing.sequences` makes whole sequences of them.
     """
-    return packing.digests(packing.pack_documents(docs))
+    return packing.digests(packing.pack_documents(docs, remember=False))
 
 
 STAGES = [
