@@ -30,12 +30,30 @@ BIN = 4096
 SEPARATOR = 1
 GROUP = 4096
 CELLS = 1 << 20
-SLICE = 50
+SLICE = 4 << 20
+REMEMBERED = 800_000
+TOGETHER = 4096
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
-BLANKS = re.compile("[ \t\n\r]+")
 # How the tokenizer splits text of ASCII characters, in lower case.
 ASCII_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t-\r0-9a-z]+")
 TAIL = re.compile(r"[!-/:-@\[-`{-~]+\Z")
+SPECIAL = b"<|"
+
+BLANK, LETTER, DIGIT, SIGN, QUOTE, WIDE = range(6)
+
+
+def _kind(byte: int) -> int:
+    if byte in b" \t\n\x0b\x0c\r":
+        return BLANK
+    if byte >= 0x80:
+        return WIDE
+    if byte == ord("'"):
+        return QUOTE
+    return LETTER if chr(byte).isalpha() else DIGIT if chr(byte).isdigit() else SIGN
+
+
+KINDS = np.array([_kind(b) for b in range(256)], np.uint8)
+LOWERED = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 
 
 def vocabulary() -> str:
@@ -44,62 +62,158 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _cut(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pieces that the tokenizer treats each by itself: (bytes without blanks, offsets into them, place
+    of each piece's first byte in `data`).
+
+    It never looks across white space. Within a word of ASCII characters it goes on from one piece to
+    the next where letters, digits and signs meet, and at every digit. Words with a quote or with
+    wider characters stay whole here.
+    """
+    kinds = KINDS[data]
+    solid = kinds != BLANK
+    before = np.concatenate([[False], solid[:-1]])
+    first = np.flatnonzero(solid & ~before)
+    if not len(first):
+        return data[:0], np.zeros(1, np.int32), first
+    plain = np.maximum.reduceat(kinds, first) < QUOTE
+    spread = np.diff(np.append(first, len(data)))
+    turn = np.concatenate([[True], kinds[1:] != kinds[:-1]]) | (kinds == DIGIT)
+    turn &= solid & np.concatenate([np.zeros(first[0], bool), np.repeat(plain, spread)])
+    turn[first] = True
+    places = np.flatnonzero(turn)
+    # Blanks are taken out, so a piece ends where the next begins.
+    kept = data[solid]
+    offsets = np.append(np.cumsum(solid, dtype=np.int32)[places] - 1, len(kept)).astype(np.int32)
+    return kept, offsets, places
+
+
 class Encoder:
     """Ids as little-endian unsigned 32-bit bytes; remembers the ids of the words it has met.
 
-    The tokenizer drops white space and never looks across it, so a text's ids are those of its
-    blank-separated words. ASCII words are looked up by their own pieces in lower case, which the
-    tokenizer would apply anyway; a word that may hold a special token is left as it is.
+    A slice of texts is cut into pieces in one array operation, and each different piece of the slice
+    is looked up once. Texts that may hold a special token go to the tokenizer whole.
     """
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = REMEMBERED):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known, self.most = {}, most
-
-    @staticmethod
-    def _lowered(text: str | None) -> str:
-        if not text or "<|" in text:
-            return text or ""
-        if text.isascii():
-            return text.lower()
-        return text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
+        self.known, self.older, self.most, self.parted = {}, {}, most, {}
 
-    @staticmethod
-    def _split(word: str) -> list[str]:
-        if "<|" in word:
-            return [word]
-        if word.isascii():
-            return [word] if word.isalpha() else ASCII_PIECE.findall(word.lower())
-        tail = TAIL.search(word)
-        if tail and word[tail.start() - 1].isalpha() and "'" not in tail[0]:
-            return [word[: tail.start()], tail[0]]
-        return [word]
-
-    def __call__(self, texts: list[str | None]) -> list[bytes]:
+    def __call__(self, texts: list[bytes | None]) -> list[bytes]:
         gc.disable()  # nothing here is cyclic, and each collection would walk all known words
         try:
-            slices = range(0, len(texts), SLICE)
-            return [coded for at in slices for coded in self._encode(texts[at : at + SLICE])]
+            return self._encode_all(texts)
         finally:
             gc.enable()
 
-    def _encode(self, texts):
-        if len(self.known) > self.most:
-            self.known = {}
-        known = self.known
-        split = [[w for w in BLANKS.split(self._lowered(text)) if w] for text in texts]
-        new = {w: self._split(w) for own in split for w in own if w not in known}
-        unknown = list({p for own in new.values() for p in own if p not in known})
-        for piece, coded in zip(
-            unknown, self.tokenizer.encode_batch_fast(unknown, add_special_tokens=False)
-        ):
-            known[piece] = np.array(coded.ids, np.uint32).tobytes()
-        for word, own in new.items():
-            if word not in known:
-                known[word] = b"".join([known[p] for p in own])
-        return [b"".join([known[w] for w in own]) for own in split]
+    def _encode_all(self, texts):
+        out, held, size = [b""] * len(texts), [], 0
+
+        def settle():
+            for number, ids in zip([n for n, _ in held], self._encode([t for _, t in held])):
+                out[number] = out[number] + ids if out[number] else ids
+            held.clear()
+
+        for number, text in enumerate(texts):
+            if not text:
+                continue
+            if SPECIAL in text:
+                coded = self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False)
+                out[number] = np.array(coded.ids, np.uint32).tobytes()
+                continue
+            for part in self._parts(text):
+                held.append((number, part))
+                size += len(part)
+                if size >= SLICE:
+                    settle()
+                    size = 0
+        settle()
+        return out
+
+    @staticmethod
+    def _parts(text: bytes):
+        """A long text in parts of about a slice, cut at blanks."""
+        at = 0
+        while len(text) - at > SLICE:
+            end = text.find(b" ", at + SLICE)
+            if end < 0:
+                break
+            yield text[at:end]
+            at = end
+        yield text[at:] if at else text
+
+    def _encode(self, texts: list[bytes]) -> list[bytes]:
+        data = LOWERED[np.frombuffer(b" ".join(texts) + b" ", np.uint8)]
+        solid, offsets, places = _cut(data)
+        pieces = pa.Array.from_buffers(
+            pa.binary(), len(places), [None, pa.py_buffer(offsets), pa.py_buffer(solid)]
+        ).dictionary_encode()
+        coded = self._ids(pieces.dictionary.to_pylist())
+        each = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+        flat, start = np.frombuffer(b"".join(coded), np.uint32), np.cumsum(each) - each
+        own = pieces.indices.to_numpy(zero_copy_only=False)
+        lengths = each[own]
+        ends = np.cumsum(lengths)
+        ids = flat[np.repeat(start[own] - (ends - lengths), lengths) + np.arange(lengths.sum())]
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+        first = np.searchsorted(places, np.cumsum(sizes))
+        cuts = np.concatenate([[0], np.append(0, ends)[first]]).tolist()
+        return [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+
+    def _ids(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of each piece. Two generations are remembered, so that frequent ones last."""
+        if len(self.known) >= self.most // 2:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        coded = list(map(known.get, pieces))
+        missing = [n for n, ids in enumerate(coded) if ids is None]
+        split = {}
+        for piece in [pieces[n] for n in missing]:
+            if piece in older:
+                known[piece] = older[piece]
+            else:
+                split[piece] = self._split(piece)
+        unknown = list({p for own in split.values() for p in own if p not in known})
+        for at in range(0, len(unknown), TOGETHER):
+            self._learn(unknown[at : at + TOGETHER])
+        for piece, own in split.items():
+            if len(own) != 1 or own[0] != piece:
+                known[piece] = b"".join([known[p] for p in own])
+        for n in missing:
+            coded[n] = known[pieces[n]]
+        return coded
+
+    def _learn(self, pieces: list[bytes]) -> None:
+        """One call for many pieces, which the tokenizer keeps apart and numbers."""
+        words = [p.decode("utf-8", "replace") for p in pieces]
+        coded = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
+        counts = np.bincount(np.array(coded.word_ids, np.int64), minlength=len(pieces))
+        ids, ends = np.array(coded.ids, np.uint32), np.cumsum(counts).tolist()
+        for piece, start, end in zip(pieces, [0, *ends], ends):
+            self.known[piece] = ids[start:end].tobytes()
+
+    def _split(self, piece: bytes) -> list[bytes]:
+        """A word with a quote by the tokenizer's rule; signs behind a wider word come off it if the
+        tokenizer parts them from its last letter."""
+        if piece.isascii():
+            if b"'" not in piece:
+                return [piece]
+            return [p.encode() for p in ASCII_PIECE.findall(piece.decode())]
+        word = piece.decode("utf-8", "replace")
+        tail = TAIL.search(word)
+        if tail and "'" not in tail[0] and self._parts_from(word[tail.start() - 1]):
+            return [word[: tail.start()].encode(), tail[0].encode()]
+        return [piece]
+
+    def _parts_from(self, letter: str) -> bool:
+        """Does the tokenizer part a sign from this letter? Not if, normalised, it ends in a mark."""
+        if letter not in self.parted:
+            normal = self.tokenizer.normalizer.normalize_str(letter + ".")
+            found = self.tokenizer.pre_tokenizer.pre_tokenize_str(normal)
+            self.parted[letter] = len(found) == 2 and found[1][0] == "." and letter.isalpha()
+        return self.parted[letter]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -113,27 +227,50 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def pieces(docs: DataFrame, path: str, size: int = BIN, separator: int = SEPARATOR) -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids (little-endian unsigned 32-bit)."""
+def pieces(
+    docs: DataFrame, path: str, size: int = BIN, separator: int = SEPARATOR, remember: bool = True
+) -> DataFrame:
+    """One row per piece: doc_id, piece, start, length, ids (little-endian unsigned 32-bit).
+
+    `docs`: id and text. Without `remember` a task forgets its words when it ends, for jobs that go on
+    in the same workers and need the memory.
+    """
 
     def cut(batches):
         encode = encoder(path)
         end = np.array([separator], np.uint32).tobytes()
-        for batch in batches:
-            coded = encode(batch.column(1).to_pylist())
+        docs_held, texts, held = [], [], 0
+
+        def settle():
             rows = []
-            for doc, tokens in zip(batch.column(0).to_pylist(), coded):
+            for doc, tokens in zip(docs_held, encode(texts)):
                 tokens += end
                 for piece, at in enumerate(range(0, len(tokens), size * 4)):
                     part = tokens[at : at + size * 4]
                     rows.append((doc, piece, at // 4, len(part) // 4, part))
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
-            yield pa.RecordBatch.from_arrays(
+            docs_held.clear()
+            texts.clear()
+            return pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 5, kinds)],
                 ["doc_id", "piece", "start", "length", "ids"],
             )
 
-    return docs.mapInArrow(cut, PIECES)
+        for batch in batches:
+            docs_held += batch.column(0).to_pylist()
+            texts += batch.column(1).to_pylist()
+            held += batch.column(1).nbytes
+            if held >= SLICE:
+                yield settle()
+                held = 0
+        yield settle()
+        if not remember:
+            _ENCODERS.clear()
+        common.release()
+
+    id_col, text_col = docs.columns
+    binary = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`").cast("binary"))
+    return binary.mapInArrow(cut, PIECES)
 
 
 def best_fit(lengths: list[int], size: int) -> list[list[int]]:
@@ -307,11 +444,15 @@ def packed(parts: DataFrame, size: int = BIN) -> DataFrame:
 
 
 def pack_documents(
-    docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    path: str | None = None,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    remember: bool = True,
 ) -> DataFrame:
     """Pieces of all documents, each with its ids and its place in the packed sequences."""
-    rows = docs.select(F.col(id_col).cast("long"), text_col)
-    return packed(stage(pieces(rows, path or vocabulary()), "pieces"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return packed(stage(pieces(rows, path or vocabulary(), remember=remember), "pieces"))
 
 
 def sequences(placed: DataFrame) -> DataFrame:

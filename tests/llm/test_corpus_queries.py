@@ -230,3 +230,41 @@ def test_local_search_empties_a_bin():
     bins = [[0, 5], [1, 3], [2, 4], [6]]
     found = packing.local_search([list(b) for b in bins], lengths, 10)
     assert len(found) == 3 and sorted(i for b in found for i in b) == list(range(7))
+
+
+def test_ids_of_random_strings_are_the_tokenizers():
+    """Letters that change when normalised, quotes, special tokens, blanks of all kinds, in any order."""
+    import random
+    import unicodedata
+
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(packing.vocabulary())
+    rng = random.Random(11)
+    wide = [chr(c) for c in range(0x80, 0x30000) if not 0xD800 <= c < 0xE000]
+    changed = [c for c in wide if unicodedata.normalize("NFC", c) != c or len(c.lower()) > 1]
+    assert {"\u0130", "\u0958"} <= set(changed)
+    pool = changed + list("abcIST.,!?-_'0129 ") + [
+        "'s", "'LL", "\n", "\t", "\x0b", "\x85", "\xa0", "\u2028", "\u0301", "\u0345", "\u200b", "<|endoftext|>",
+        "<|", "\x00", "\U0001F600", "\u4e2d", "\u1e9e", "\ufb01", "\u00bd",
+    ]
+    texts = ["".join(rng.choices(pool, k=rng.randrange(0, 9))) for _ in range(12_000)]
+    texts += [a + c + "." + b for c in changed for a, b in (("", ""), ("x", ",y"))]
+    encode = packing.Encoder(packing.vocabulary(), most=3000)
+    for at in range(0, len(texts), 3000):
+        own = texts[at : at + 3000]
+        for text, ids in zip(own, encode([t.encode() for t in own])):
+            expected = tokenizer.encode(text, add_special_tokens=False).ids
+            assert np.frombuffer(ids, np.uint32).tolist() == expected, repr(text)
+
+
+def test_a_long_text_is_encoded_in_parts(monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(packing, "SLICE", 100)
+    text = " ".join(f"Word{i}, it's \u00e9t\u00e9!" for i in range(300)) + "x" * 500
+    encode = packing.Encoder(packing.vocabulary())
+    found = encode([text.encode(), None, b"", b"a", text.encode()])
+    expected = Tokenizer.from_file(packing.vocabulary()).encode(text, add_special_tokens=False).ids
+    assert [np.frombuffer(f, np.uint32).tolist() for f in (found[0], found[4])] == [expected] * 2
+    assert found[1] == found[2] == b""
