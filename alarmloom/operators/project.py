@@ -109,8 +109,14 @@ def summary_rows(rows: DataFrame, generation: int = 2, extras: bool = True) -> D
 
 
 def report_rows(alarms: DataFrame, extras: bool = True) -> DataFrame:
-    """Raw alarms, not classified: no ids, `reserved` always `-1`."""
+    """Raw alarms, not classified: no ids of their own, `reserved` always `-1`.
+
+    The alarms of a message share its id and its time, which stays a TIMESTAMP.
+    """
+    message_id = stable_id(F.col("topic"), F.col("partition"), F.col("offset"))
     return _with_body(alarms).withColumn("reserved", F.lit(DEFAULT)).select(
+        message_id.alias("messageUuid"),
+        F.col("event_ts").alias("messageTime"),
         *[_or_default(name) for name in HEADER_KEYS],
         *_body(classified=False),
         *[_or_default(name) for name in TRAILER_KEYS],

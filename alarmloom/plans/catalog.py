@@ -12,10 +12,11 @@ from alarmloom.operators import backfill, classify, merge, nested, packets, proj
 from alarmloom.plans import jobs
 from alarmloom.schemas import MESSAGE_SCHEMA, MODULE_KEY, NESTED_REPORT_SCHEMA, TYPE_KEY
 from alarmloom.session import configure, new_folder, stage
+from alarmloom.sinks import commits
 from alarmloom.sinks.tables import read_table, write_batch, write_lines
 from alarmloom.sources import files, samples
 from alarmloom.sources.kafka import byte_values, text_values
-from alarmloom.streaming import merge as stream_merge
+from alarmloom.streaming import changelog
 from alarmloom.streaming import queries as streams
 
 # The test events spread over 30 days, so the queries merge by the hour.
@@ -83,7 +84,12 @@ def immediate_alarms(spark, sf_dir):
 
 
 def report_rows(spark, sf_dir):
-    return _with_zone(project.report_rows(_alarms(spark, sf_dir)))
+    return _reported(project.report_rows(_alarms(spark, sf_dir)))
+
+
+def _reported(rows):
+    """The report with its time as a number, which compares alike everywhere."""
+    return _with_zone(rows).withColumn("messageTime", F.unix_micros("messageTime"))
 
 
 def _with_zone(rows):
@@ -98,40 +104,36 @@ def _merge_rows(spark, sf_dir, generation):
     return merge.with_window(jobs.is_merged(rows), WINDOW)
 
 
-def _max_heads(spark, sf_dir, generation):
-    """Bound on the number of summaries, from the labels and the time range of the table."""
-    first, last = samples.read_events(spark, sf_dir).agg(F.min("ts"), F.max("ts")).first()
-    return classify.label_count(generation) * merge.window_count((first, last), WINDOW)
+def _staged_merge_rows(spark, sf_dir, generation, *columns):
+    """The summaries and the details need the rows more than once; staged, the messages are parsed once."""
+    rows = _merge_rows(spark, sf_dir, generation)
+    return stage(rows.select(*merge.KEYS, *al.ARRIVAL, "date", *columns), "merge-rows")
 
 
-def _staged_merge_rows(spark, sf_dir, generation):
-    """Both the summaries and the details need the rows; staged, the messages are parsed once."""
-    rows = _merge_rows(spark, sf_dir, generation)
-    return stage(rows.select(*merge.KEYS, *al.ARRIVAL, "date"), "merge-rows")
+def _staged_ends(rows):
+    ends = stage(merge.merge_ends(rows), "merge-ends")
+    return {"ends": ends, "max_heads": ends.count()}
 
 
 def _merge_detail(generation):
     def query(spark, sf_dir):
-        details = merge.merge_details(
-            _staged_merge_rows(spark, sf_dir, generation), _max_heads(spark, sf_dir, generation)
-        )
+        rows = _staged_merge_rows(spark, sf_dir, generation)
+        details = merge.merge_details(rows, **_staged_ends(rows))
         return details.select("uuid", "pid", "route", "type_label", "win", "date")
 
     return query
 
 
 def merge_detail_salted(spark, sf_dir):
-    """The same details without a bound on the summaries: the join goes by salted keys."""
+    """The same details without a bound on the summaries: the joins go by salted keys."""
     details = merge.merge_details(_staged_merge_rows(spark, sf_dir, 2))
     return details.select("uuid", "pid", "route", "type_label", "win", "date")
 
 
 def _merge_summary(generation):
     def query(spark, sf_dir):
-        rows = _merge_rows(spark, sf_dir, generation).select(
-            *merge.KEYS, *al.ARRIVAL, "date", "currenttime"
-        )
-        return merge.merge_summaries(rows).select(
+        rows = _staged_merge_rows(spark, sf_dir, generation, "currenttime")
+        return merge.merge_summaries(rows, **_staged_ends(rows)).select(
             *merge.KEYS, "uuid", "pid", "date", "currenttime", "size"
         )
 
@@ -143,26 +145,35 @@ def merge_by_window_size(spark, sf_dir):
     return merge.window_sizes(rows, WINDOW_SIZES)
 
 
-def warning_table_rows(spark, sf_dir):
+def _warning_table_rows(generation):
     """The whole warning table of a batch run: immediate alarms and summaries."""
-    root = _alarm_batch(spark, sf_dir)
-    return _with_zone(read_table(spark, root, "bus_warning")).drop("batch_id")
 
+    def query(spark, sf_dir):
+        root = _alarm_batch(spark, sf_dir, generation)
+        rows = read_table(spark, root, al.GENERATIONS[generation].warning_table)
+        return _with_zone(rows).drop("batch_id")
+
+    return query
 
-def detail_table_rows(spark, sf_dir):
-    """Both detail tables of a batch run."""
-    root = _alarm_batch(spark, sf_dir)
-    parts = [
-        read_table(spark, root, table).withColumn("table", F.lit(table))
-        for table in ("bus_twarning", "bus_cwarning")
-    ]
-    return _with_zone(parts[0].unionByName(parts[1])).drop("batch_id")
 
+def _detail_table_rows(generation):
+    """All detail tables of a batch run."""
 
-def _alarm_batch(spark, sf_dir):
+    def query(spark, sf_dir):
+        root = _alarm_batch(spark, sf_dir, generation)
+        rows = None
+        for table in jobs.detail_tables(generation).values():
+            part = read_table(spark, root, table).withColumn("table", F.lit(table))
+            rows = part if rows is None else rows.unionByName(part)
+        return _with_zone(rows).drop("batch_id")
+
+    return query
+
+
+def _alarm_batch(spark, sf_dir, generation):
     root = new_folder(spark, "alarm-batch")
     messages = samples.alarm_messages(spark, sf_dir)
-    jobs.run_alarm_batch(messages, root, batch_id=1, generation=2, seconds=WINDOW)
+    jobs.run_alarm_batch(messages, root, batch_id=1, generation=generation, seconds=WINDOW)
     return root
 
 
@@ -196,45 +207,96 @@ def _finish(spark, start, *arguments, **options):
         start(*arguments, **options, seconds=None).awaitTermination()
 
 
-def _merge_stream(spark, sf_dir, select):
-    messages = samples.alarm_messages(spark, sf_dir)
-    stream = _recorded(
-        spark, messages.unionByName(samples.flush_message(messages, WINDOW)), "messages"
-    )
-    rows = jobs.is_merged(jobs.classified_alarms(stream, 2)).select(
-        *al.ARRIVAL, "date", "currenttime", "route", "type_label"
-    )
-    root = new_folder(spark, "merged")
-    merged = stream_merge.merge_stream(rows, WINDOW)
-    writer = streams.table_writer(root, {"merged": select})
-    _finish(spark, streams.start, merged, writer, new_folder(spark, "checkpoint"))
-    return read_table(spark, root, "merged").drop("batch_id")
+# The test events spread over 30 days: folders of five days, not of an hour.
+STREAM_SPAN = 5 * 86400
+STREAM_FILES = 24
+
+
+def _late_stream(spark, sf_dir):
+    """The whole stream job over a replay in which one of seven messages comes last, long after the
+    windows it belongs to have closed, and the reconcile job after it. Returns the root."""
+    messages = samples.alarm_messages(spark, sf_dir).select(*MESSAGE_SCHEMA.names)
+    late = F.col("offset") % 7 == 3
+    folder, root = new_folder(spark, "messages"), new_folder(spark, "alarms")
+    parts = [messages.filter(~late), messages.filter(late).unionByName(samples.flush_message(messages, WINDOW))]
+    for part in parts:
+        # One file per part, and so one micro-batch.
+        part.coalesce(1).write.mode("append").parquet(folder)
+    stream = files.message_stream(spark, folder, max_files_per_trigger=1)
+    with _state_partitions(spark):
+        for query in jobs.start_alarm_stream(
+            stream, root, new_folder(spark, "checkpoint"), 2, WINDOW, clock="arrival",
+            trigger_seconds=None, span=STREAM_SPAN, files_per_trigger=STREAM_FILES,
+        ):
+            query.awaitTermination()
+    jobs.reconcile_merged(spark, root, 0, 2, WINDOW, span=STREAM_SPAN)
+    return root
+
+
+def _heads(spark, root):
+    return jobs.read_merged(spark, root, jobs.HEADS).drop("batch_id")
 
 
 def merge_summary_stream(spark, sf_dir):
-    rows = _merge_stream(spark, sf_dir, stream_merge.summaries)
-    return rows.select(*merge.KEYS, "uuid", "pid", "date", "currenttime", "size")
+    root = _late_stream(spark, sf_dir)
+    written = jobs.read_merged(spark, root, al.GENERATIONS[2].warning_table)
+    rows = written.select("uuid", "pid", "date", "currenttime", F.col("size").cast("long").alias("size"))
+    return _heads(spark, root).select(*merge.KEYS, "pid").join(rows, "pid").select(
+        *merge.KEYS, "uuid", "pid", "date", "currenttime", "size"
+    )
 
 
 def merge_detail_stream(spark, sf_dir):
-    rows = _merge_stream(spark, sf_dir, stream_merge.details)
-    return rows.select("uuid", "pid", "route", "type_label", "win", "date")
+    root = _late_stream(spark, sf_dir)
+    rows = None
+    for table in jobs.detail_tables(2).values():
+        part = jobs.read_merged(spark, root, table).select("uuid", "pid", "date")
+        rows = part if rows is None else rows.union(part)
+    heads = _heads(spark, root).select(*merge.KEYS, "pid")
+    return rows.join(heads, "pid").select("uuid", "pid", "route", "type_label", "win", "date")
 
 
-def count_by_id_stream(spark, sf_dir):
-    """Counts per user as a changing result: every batch writes the counts that changed."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+CHANGE_BATCHES = 4
+
+
+def _count_changelog(spark, sf_dir):
+    """Counts per user over several micro-batches, each with its retractions and additions."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("user_id")
+    folder, root = new_folder(spark, "events"), new_folder(spark, "counts")
+    events.repartition(CHANGE_BATCHES).write.parquet(folder)
     stream = (
-        spark.readStream.schema(events)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(sf_dir)
-        .select("user_id")
+        spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
     )
-    root = new_folder(spark, "counts")
-    writer = streams.table_writer(root, {"counts": lambda batch: batch})
+    writer = changelog.change_writer(root, "counts", "user_id", snapshot_every=2)
     counts = nested.count_by(stream, "user_id")
     _finish(spark, streams.start, counts, writer, new_folder(spark, "checkpoint"), mode="update")
-    return streams.latest_counts(spark, root, "counts", "user_id")
+    return root
+
+
+def count_by_id_stream(spark, sf_dir):
+    """The current counts, out of the last snapshot and what came after it."""
+    return changelog.latest_counts(spark, _count_changelog(spark, sf_dir), "counts", "user_id")
+
+
+def count_by_id_changelog(spark, sf_dir):
+    """The whole changelog added up: what is retracted had been added, so each key balances to one."""
+    return changelog.folded(spark, _count_changelog(spark, sf_dir), "counts", "user_id")
+
+
+def admitted_batches(spark, sf_dir):
+    """A replay that admits at most FLUSH_ROWS messages to a batch, as a buffered sink flushes."""
+    messages = samples.alarm_messages(spark, sf_dir).select(*MESSAGE_SCHEMA.names)
+    folder, root = new_folder(spark, "messages"), new_folder(spark, "admitted")
+    messages.coalesce(1).write.option("maxRecordsPerFile", streams.FLUSH_ROWS).parquet(folder)
+    stream = files.message_stream(spark, folder, max_files_per_trigger=1)
+    writer = streams.table_writer(root, {"admitted": lambda b: b.select("partition", "offset")})
+    _finish(spark, streams.start, stream, writer, new_folder(spark, "checkpoint"))
+    sizes = read_table(spark, root, "admitted").groupBy("batch_id").count()
+    return sizes.agg(
+        F.sum("count").alias("messages"),
+        F.count("*").alias("batches"),
+        F.max("count").alias("largest"),
+    )
 
 
 def packet_files(spark, sf_dir):
@@ -305,6 +367,21 @@ def schemaless_metadata_table_rows(spark, sf_dir):
     )
 
 
+def vendor_table_compacted(spark, sf_dir):
+    """The vendor table after three batches, compacted twice, with a repeated batch in between."""
+    lines = samples.vendor_lines(spark, sf_dir)
+    root = new_folder(spark, "lines-compacted")
+    parts = [lines.filter(F.col("offset") % 3 == n) for n in range(3)]
+    jobs.run_line_batch("vendor", parts[0], root, batch_id=0)
+    jobs.run_line_batch("vendor", parts[1], root, batch_id=1)
+    commits.compact(spark, root)
+    jobs.run_line_batch("vendor", parts[1], root, batch_id=1)
+    jobs.run_line_batch("vendor", parts[2], root, batch_id=2)
+    commits.compact(spark, root)
+    commits.vacuum(spark, root)
+    return read_table(spark, root, jobs.LINE_JOBS["vendor"][0]).drop("batch_id")
+
+
 def backfill_table_rows(spark, sf_dir):
     root = new_folder(spark, "backfill")
     jobs.run_backfill_batch(samples.backfill_lines(spark, sf_dir), root, batch_id=0)
@@ -314,7 +391,7 @@ def backfill_table_rows(spark, sf_dir):
 def report_table_rows(spark, sf_dir):
     root = new_folder(spark, "report")
     jobs.run_report_batch(samples.alarm_messages(spark, sf_dir), root, batch_id=0)
-    return _with_zone(read_table(spark, root, jobs.REPORT_TABLE)).drop("batch_id")
+    return _reported(read_table(spark, root, jobs.REPORT_TABLE).drop("batch_id"))
 
 
 def typed_record_counts(spark, sf_dir):
@@ -439,6 +516,25 @@ def text_copy(spark, sf_dir):
     return files.text_lines(spark, path)
 
 
+def text_copy_stream(spark, sf_dir):
+    """Text files from a stream that is stopped and started again while files arrive."""
+    folder, out = new_folder(spark, "lines"), new_folder(spark, "text-stream")
+    checkpoint = new_folder(spark, "checkpoint")
+    half = F.col("doc_id") % 2
+    documents_in = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for part in (0, 1):
+        lines = documents_in.filter(half == part).select(
+            F.explode(F.split("text", "\n", -1)).alias("value")
+        )
+        lines.write.mode("append").option("lineSep", "\n").text(folder)
+        # The second start goes on from the checkpoint: files of the first half are not read again.
+        _finish(
+            spark, streams.file_stream, files.text_line_stream(spark, folder), out, checkpoint,
+            format="text",
+        )
+    return files.text_lines(spark, out)
+
+
 def raw_line_table(spark, sf_dir):
     root = new_folder(spark, "raw-lines")
     rows = _document_lines(spark, sf_dir).select(F.col("value").alias("size"))
@@ -468,8 +564,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "merge_by_window_size": merge_by_window_size,
     "immediate_alarms": immediate_alarms,
     "report_rows": report_rows,
-    "warning_table_rows": warning_table_rows,
-    "detail_table_rows": detail_table_rows,
+    "warning_table_rows": _warning_table_rows(2),
+    "warning_table_rows_gen1": _warning_table_rows(1),
+    "warning_table_rows_gen0": _warning_table_rows(0),
+    "detail_table_rows": _detail_table_rows(2),
+    "detail_table_rows_gen1": _detail_table_rows(1),
+    "detail_table_rows_gen0": _detail_table_rows(0),
     "vendor_alert_rows": vendor_alert_rows,
     "metadata_rows": metadata_rows,
     "schemaless_rows": schemaless_rows,
@@ -478,6 +578,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "metadata_table_rows": metadata_table_rows,
     "schemaless_table_rows": schemaless_table_rows,
     "schemaless_metadata_table_rows": schemaless_metadata_table_rows,
+    "vendor_table_compacted": vendor_table_compacted,
     "backfill_table_rows": backfill_table_rows,
     "report_table_rows": report_table_rows,
     "typed_record_counts": typed_record_counts,
@@ -493,8 +594,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "nested_typed": nested_typed,
     "nested_fields": nested_fields,
     "count_by_id_stream": count_by_id_stream,
+    "count_by_id_changelog": count_by_id_changelog,
+    "admitted_batches": admitted_batches,
     "dashed_id_format": dashed_id_format,
     "text_copy": text_copy,
+    "text_copy_stream": text_copy_stream,
     "raw_line_table": raw_line_table,
 }
 

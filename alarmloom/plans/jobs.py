@@ -1,16 +1,23 @@
 """The five jobs end to end, as batch plans and as streaming queries."""
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from alarmloom.operators import alarms as al
 from alarmloom.operators import backfill, classify, merge, packets, project, records
-from alarmloom.schemas import METADATA_COLUMNS, VENDOR_COLUMNS
+from alarmloom.schemas import MESSAGE_SCHEMA, METADATA_COLUMNS, VENDOR_COLUMNS
 from alarmloom.session import staging
-from alarmloom.sinks.tables import read_table, write_batch
+from alarmloom.sinks import commits
+from alarmloom.sinks.commits import table_writer
+from alarmloom.sinks.tables import read_table
 from alarmloom.sources.kafka import text_values
 from alarmloom.streaming import merge as stream_merge
-from alarmloom.streaming.queries import start, table_writer
+from alarmloom.streaming import queries as streams
+from alarmloom.streaming.merge import SPAN
+from alarmloom.streaming.queries import start
 
 REJECTS = "rejects"
 
@@ -63,6 +70,30 @@ def detail_tables(generation: int) -> dict[str, str]:
     return tables
 
 
+HEADS = "merged_heads"
+REPLACED = "merged_replaced"
+LATE = "late"
+
+
+def _merged_tables(
+    merged: DataFrame, generation: int, stage: Callable[..., DataFrame]
+) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Staged summaries of staged rows of merged routes, and the detail tables.
+
+    How many summaries there are is known before rows meet them, so they are broadcast only within
+    a bound; else the join goes by salted keys.
+    """
+    ends = stage(merge.merge_ends(merged), "ends")
+    count = ends.count()
+    summaries = stage(merge.merge_summaries(merged, ends=ends, max_heads=count), "summaries")
+    details = merge.attach_pid(merged, summaries, count)
+    tables = {
+        table: project.detail_rows(details.filter(F.col("route") == route), generation)
+        for route, table in detail_tables(generation).items()
+    }
+    return summaries, tables
+
+
 def run_alarm_batch(
     messages: DataFrame,
     root: str,
@@ -70,31 +101,25 @@ def run_alarm_batch(
     generation: int = 2,
     seconds: int | None = None,
 ) -> None:
-    """One bounded slice of messages into the alarm tables.
+    """One bounded slice of messages into the alarm tables, which become visible together.
 
     The messages are parsed once, into a staged table with a folder per route (rejects included),
-    and every later step reads only its routes. The summaries are staged too, and the details join
-    them from there: Spark then knows their real size and broadcasts them only if they are small,
-    else the join goes by salted keys. The staged tables are deleted when the job ends.
+    and every later step reads only its routes. The staged tables are deleted when the job ends.
     """
     job = al.GENERATIONS[generation]
+    spark = messages.sparkSession
     rows = classified_alarms(messages, generation, keep_rejects=True)
     rows = merge.with_window(rows, seconds or job.window_seconds)
-    with staging(messages.sparkSession) as stage:
+    with staging(spark) as stage:
         rows = stage(rows, "classified", by="route")
         rejected = rows.filter(F.col("route") == classify.REJECTED)
         rows = rows.drop("value", "reject_reason")
-        merged = is_merged(rows)
-        summaries = stage(merge.merge_summaries(merged), "summaries")
-        warnings = project.immediate_rows(is_immediate(rows), generation).unionByName(
+        summaries, tables = _merged_tables(is_merged(rows), generation, stage)
+        tables[job.warning_table] = project.immediate_rows(is_immediate(rows), generation).unionByName(
             project.summary_rows(summaries, generation), allowMissingColumns=True
         )
-        write_batch(warnings, root, job.warning_table, batch_id)
-        details = merge.attach_pid(merged, summaries)
-        for route, table in detail_tables(generation).items():
-            of_route = details.filter(F.col("route") == route)
-            write_batch(project.detail_rows(of_route, generation), root, table, batch_id)
-        write_batch(records.rejects(rejected), root, REJECTS, batch_id)
+        tables[REJECTS] = records.rejects(rejected)
+        commits.write_tables(spark, root, batch_id, tables)
 
 
 def start_alarm_stream(
@@ -106,20 +131,34 @@ def start_alarm_stream(
     clock: str = "processing",
     delay: str | None = None,
     trigger_seconds: int | None = 8,
+    files_per_trigger: int | None = None,
+    span: int = SPAN,
 ) -> list[StreamingQuery]:
-    """Two queries: alarms and rejects stored at once (no state), and merged alarms (state per
-    open window). With the processing clock a heartbeat closes windows while no message comes; a
-    run without a trigger would end before that, so it needs the arrival clock. There `delay` must
-    be given: Spark leaves out alarms that come later than that."""
+    """Three queries. The first reads the topic, once, into the table `classified`. The others read
+    that table: alarms and rejects stored at once (no state), and merged alarms (a count per open
+    window as state).
+
+    With the processing clock a heartbeat closes windows while no message comes; a run without a
+    trigger would end before that, so it needs the arrival clock. Alarms that come later than
+    `delay` stay in `classified` until `reconcile_merged` brings them in. A run without a trigger
+    finishes the first query before it starts the others.
+    """
     if clock == "processing" and trigger_seconds is None:
         raise ValueError("a bounded run would leave its last windows open: use clock='arrival'")
-    if clock == "arrival" and delay is None:
-        raise ValueError("clock='arrival' needs a delay that covers the disorder of the topic")
+    if delay is None:
+        # Rows reach the table a trigger after their time.
+        delay = "0 seconds" if clock == "arrival" else f"{2 * (trigger_seconds or 0)} seconds"
     job = al.GENERATIONS[generation]
+    spark = messages.sparkSession
     seconds = seconds or job.window_seconds
     everything = classified_alarms(messages, generation, clock, keep_rejects=True)
+    schema, path = streams.classified_schema(everything), f"{root}/classified"
+    reading = streams.classified_stream(everything, path, f"{checkpoint}/classified", trigger_seconds, span)
+    if trigger_seconds is None:
+        reading.awaitTermination()
+    stored = streams.stream_classified(spark, path, schema, files_per_trigger).drop("span")
     immediate = start(
-        everything.filter(F.col("route").isin(classify.LABEL, classify.REJECTED)),
+        stored.filter(F.col("route").isin(classify.LABEL, classify.REJECTED)),
         table_writer(
             f"{root}/immediate",
             {
@@ -130,33 +169,123 @@ def start_alarm_stream(
         f"{checkpoint}/immediate",
         seconds=trigger_seconds,
     )
-
-    def of_route(route):
-        return lambda batch: project.detail_rows(
-            stream_merge.details(batch.filter(F.col("route") == route)), generation
-        )
-
-    tables = {table: of_route(route) for route, table in detail_tables(generation).items()}
-    tables[job.warning_table] = lambda batch: project.summary_rows(
-        stream_merge.summaries(is_merged(batch)), generation
-    )
-    rows = is_merged(classified_alarms(messages, generation, clock))
-    if clock == "processing" and trigger_seconds is not None:
+    rows = is_merged(stored).select("event_ts", "route", "type_label")
+    if clock == "processing":
         rows = stream_merge.with_heartbeat(rows)
     merged = start(
-        stream_merge.merge_stream(rows, seconds, delay or "0 seconds"),
-        table_writer(f"{root}/merged", tables),
+        stream_merge.closed_windows(rows, seconds, delay),
+        _closed_writer(root, schema, generation, seconds, span),
         f"{checkpoint}/merged",
         seconds=trigger_seconds,
     )
-    return [immediate, merged]
+    return [reading, immediate, merged]
+
+
+def _write_groups(
+    spark: SparkSession,
+    root: str,
+    schema: StructType,
+    generation: int,
+    seconds: int,
+    span: int,
+    groups: DataFrame,
+    batch_id: int,
+    writer: str,
+    replaced: DataFrame | None = None,
+) -> None:
+    """All stored rows of the staged `groups` (route, label, window) merged and written, with the
+    heads of the groups, as one commit."""
+    first, last = groups.agg(F.min("win"), F.max("win")).first()
+    with staging(spark) as stage:
+        classified = streams.read_classified(spark, f"{root}/classified", schema)
+        rows = stream_merge.rows_of_windows(is_merged(classified), seconds, first, last, span)
+        rows = merge.meet(rows, groups.select(*merge.KEYS), groups.count(), how="left_semi")
+        rows = stage(rows.drop("value", "reject_reason", "span"), "closed-rows")
+        summaries, tables = _merged_tables(rows, generation, stage)
+        tables[al.GENERATIONS[generation].warning_table] = project.summary_rows(summaries, generation)
+        tables[HEADS] = summaries.select(*merge.KEYS, "pid", F.col("date").alias("last_date"), "size")
+        version = F.lit(0 if replaced is None else batch_id + 1).cast("long").alias("version")
+        tables = {table: made.select("*", version) for table, made in tables.items()}
+        if replaced is not None:
+            tables[REPLACED] = replaced.select("pid", version)
+        commits.write_tables(spark, f"{root}/merged", batch_id, tables, writer)
+
+
+def _closed_writer(root: str, schema: StructType, generation: int, seconds: int, span: int):
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if commits.is_committed(spark, f"{root}/merged", batch_id, "closed"):
+            return
+        with staging(spark) as stage:
+            groups = stage(is_merged(batch).select(*merge.KEYS), "closed")
+            if not groups.isEmpty():
+                _write_groups(
+                    spark, root, schema, generation, seconds, span, groups, batch_id, "closed"
+                )
+
+    return write
+
+
+def read_merged(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """A table of merged alarms as last merged: rows of groups that were merged anew are left out in
+    their older form."""
+    folder = f"{root}/merged"
+    rows = read_table(spark, folder, table)
+    if commits.has_table(spark, folder, REPLACED):
+        anew = read_table(spark, folder, REPLACED).groupBy("pid").agg(F.max("version").alias("newest"))
+        old = (rows["pid"] == anew["pid"]) & (rows["version"] < anew["newest"])
+        rows = rows.join(anew, old, "left_anti")
+    return rows.drop("version")
+
+
+def reconcile_merged(
+    spark: SparkSession,
+    root: str,
+    number: int,
+    generation: int = 2,
+    seconds: int | None = None,
+    since: int | None = None,
+    span: int = SPAN,
+) -> int:
+    """Merges anew the groups of closed windows that got rows after they were merged; returns how many.
+
+    Closed are the windows up to the last that the stream has merged; `since` (epoch seconds) leaves
+    older ones alone. A group is merged whole from the stored rows: details, count, last date, and a
+    new id where the late row is the first. Everything becomes visible in one commit of `number`;
+    a second run finds nothing to do, and a run that failed leaves nothing.
+    """
+    if commits.is_committed(spark, f"{root}/merged", number, LATE):
+        raise ValueError(f"number {number} is taken")
+    if not commits.has_table(spark, f"{root}/merged", HEADS):
+        return 0
+    seconds = seconds or al.GENERATIONS[generation].window_seconds
+    schema = streams.classified_schema(
+        classified_alarms(spark.createDataFrame([], MESSAGE_SCHEMA), generation, keep_rejects=True)
+    )
+    heads = read_merged(spark, root, HEADS)
+    last = heads.agg(F.max("win")).first()[0]
+    if since is not None:
+        since = since // seconds * seconds
+        heads = heads.filter(F.col("win") >= since)
+    with staging(spark) as stage:
+        heads = stage(heads, "heads")
+        classified = streams.read_classified(spark, f"{root}/classified", schema)
+        rows = stream_merge.rows_of_windows(is_merged(classified), seconds, since, last, span)
+        groups = stage(stream_merge.late_groups(rows, heads), "late")
+        count = groups.count()
+        if count:
+            replaced = heads.join(groups, merge.KEYS).select("pid")
+            _write_groups(
+                spark, root, schema, generation, seconds, span, groups, number, LATE, replaced
+            )
+    return count
 
 
 def stream_warnings(spark: SparkSession, root: str, generation: int = 2) -> DataFrame:
     """Immediate alarms and summaries that `start_alarm_stream` has written so far."""
     table = al.GENERATIONS[generation].warning_table
     return read_table(spark, f"{root}/immediate", table).unionByName(
-        read_table(spark, f"{root}/merged", table), allowMissingColumns=True
+        read_merged(spark, root, table), allowMissingColumns=True
     )
 
 
@@ -189,17 +318,17 @@ def metadata_rows(lines: DataFrame, mode: str = "reference", clock: str = "arriv
     return _line_rows("metadata", _parsed_lines("metadata", lines, mode, clock))
 
 
-def _line_writer(job: str, root: str):
-    return table_writer(
-        root, {LINE_JOBS[job][0]: lambda b: _line_rows(job, b), REJECTS: records.rejects}
-    )
+def _line_writer(job: str, root: str, replace: bool = False):
+    tables = {LINE_JOBS[job][0]: lambda b: _line_rows(job, b), REJECTS: records.rejects}
+    return table_writer(root, tables, replace=replace)
 
 
 def run_line_batch(
     job: str, lines: DataFrame, root: str, batch_id: int, mode: str = "reference"
 ) -> None:
     """One slice of a line format into its table, and what cannot be parsed."""
-    _line_writer(job, root)(_parsed_lines(job, lines, mode, "arrival"), batch_id)
+    parsed = _parsed_lines(job, lines, mode, "arrival")
+    _line_writer(job, root, replace=True)(parsed, batch_id)
 
 
 def start_line_stream(
@@ -226,8 +355,11 @@ def backfill_rows(lines: DataFrame) -> DataFrame:
 
 def run_backfill_batch(lines: DataFrame, root: str, batch_id: int) -> None:
     """Historical CSV into its table; lines with too few fields are kept aside."""
-    write_batch(backfill.backfill_rows(lines), root, BACKFILL_TABLE, batch_id)
-    write_batch(backfill.backfill_rejects(lines), root, f"{BACKFILL_TABLE}_rejects", batch_id)
+    tables = {
+        BACKFILL_TABLE: backfill.backfill_rows(lines),
+        f"{BACKFILL_TABLE}_rejects": backfill.backfill_rejects(lines),
+    }
+    commits.write_tables(lines.sparkSession, root, batch_id, tables)
 
 
 def run_report_batch(messages: DataFrame, root: str, batch_id: int) -> None:
@@ -235,5 +367,8 @@ def run_report_batch(messages: DataFrame, root: str, batch_id: int) -> None:
     parsed = records.parse_alarm_messages(text_values(messages, null_as_empty=True))
     with staging(messages.sparkSession) as stage:
         alarms = stage(al.explode_alarms(parsed, keep_rejects=True), "report")
-        write_batch(project.report_rows(al.usable_alarms(alarms)), root, REPORT_TABLE, batch_id)
-        write_batch(records.rejects(alarms), root, REJECTS, batch_id)
+        tables = {
+            REPORT_TABLE: project.report_rows(al.usable_alarms(alarms)),
+            REJECTS: records.rejects(alarms),
+        }
+        commits.write_tables(messages.sparkSession, root, batch_id, tables)

@@ -228,24 +228,39 @@ DISPOSED = "CASE WHEN msg_id % 7 = 3 THEN '7' ELSE '1' END"
 IMMEDIATE_LINKS = {"size": "'1'", "disposetime": DISPOSED, "event_level": "'0'"}
 
 
-def _warning_table():
+def _links(generation, found, ids=None):
+    """What a layout of this generation has of the ids and links of the last."""
+    ids = IDS if ids is None else ids
+    if generation == 0:
+        ids = {k: v for k, v in ids.items() if k != "currenttime"}
+    if generation < 2:
+        found = {k: v for k, v in found.items() if k not in ("disposetime", "event_level")}
+    return ids, found
+
+
+def _warning_table(generation):
     none = "CAST(NULL AS VARCHAR)"
-    immediate = _layout(IDS, {"pid": none, **IMMEDIATE_LINKS})
-    summary = _layout(
-        SUMMARY_IDS,
-        {"pid": "pid", "size": "CAST(size AS VARCHAR)", "disposetime": none, "event_level": "'0'"},
-    )
+    immediate = _layout(*_links(generation, {"pid": none, **IMMEDIATE_LINKS}))
+    merged = {"pid": "pid", "size": "CAST(size AS VARCHAR)", "disposetime": none, "event_level": "'0'"}
+    summary = _layout(*_links(generation, merged, SUMMARY_IDS))
     return (
-        _merged(2)
+        _merged(generation)
         + f"SELECT {immediate} FROM c WHERE route = 'label' "
         + f"UNION ALL SELECT {summary} FROM d WHERE uuid = pid"
     )
 
 
-def _detail_table():
-    layout = _layout(IDS, {"pid": "pid", "event_level": "'0'"})
-    table = "CASE route WHEN 'transformation' THEN 'bus_twarning' ELSE 'bus_cwarning' END"
-    return _merged(2) + f'SELECT {layout}, {table} AS "table" FROM d'
+def _detail_table(generation):
+    layout = _layout(*_links(generation, {"pid": "pid", "event_level": "'0'"}))
+    first = "bus_twarning_local" if generation == 0 else "bus_twarning"
+    table = f"CASE route WHEN 'transformation' THEN '{first}' ELSE 'bus_cwarning' END"
+    return _merged(generation) + f'SELECT {layout}, {table} AS "table" FROM d'
+
+
+def _report():
+    ids = {"messageUuid": "md5(concat_ws('|', 'da_warning', part, off))", "messageTime": "us"}
+    layout = _layout(ids, {}, classified=False, header={"reserved": "'-1'"})
+    return f"WITH {NUMBERED} SELECT {layout} FROM alarm"
 
 
 # --- Vendor alerts, metadata, schema-less ---------------------------------------------------------
@@ -540,10 +555,13 @@ ORACLES: dict[str, str] = {
     "merge_by_window_size": WINDOW_SIZES,
     "immediate_alarms": _classified(2)
     + f"SELECT {_layout(IDS, IMMEDIATE_LINKS)} FROM c WHERE route = 'label'",
-    "report_rows": f"WITH {NUMBERED} SELECT "
-    + f"{_layout({}, {}, classified=False, header={'reserved': chr(39) + '-1' + chr(39)})} FROM alarm",
-    "warning_table_rows": _warning_table(),
-    "detail_table_rows": _detail_table(),
+    "report_rows": _report(),
+    "warning_table_rows": _warning_table(2),
+    "warning_table_rows_gen1": _warning_table(1),
+    "warning_table_rows_gen0": _warning_table(0),
+    "detail_table_rows": _detail_table(2),
+    "detail_table_rows_gen1": _detail_table(1),
+    "detail_table_rows_gen0": _detail_table(0),
     "vendor_alert_rows": _vendor(),
     "metadata_rows": _metadata(),
     "schemaless_rows": _schemaless_vendor(),
@@ -552,9 +570,9 @@ ORACLES: dict[str, str] = {
     "metadata_table_rows": _metadata(),
     "schemaless_table_rows": _schemaless_vendor(),
     "schemaless_metadata_table_rows": _schemaless_metadata(),
+    "vendor_table_compacted": _vendor(),
     "backfill_table_rows": BACKFILL,
-    "report_table_rows": f"WITH {NUMBERED} SELECT "
-    + f"{_layout({}, {}, classified=False, header={'reserved': chr(39) + '-1' + chr(39)})} FROM alarm",
+    "report_table_rows": _report(),
     "typed_record_counts": TYPED_RECORDS,
     "reject_counts": REJECTS,
     "packet_header": PACKET_HEADER,
@@ -568,8 +586,13 @@ ORACLES: dict[str, str] = {
     "nested_typed": f'WITH {USAGE} SELECT "userId", day, package, activetime FROM usage',
     "nested_fields": NESTED_FIELDS,
     "count_by_id_stream": "SELECT user_id, count(*) AS n FROM events GROUP BY user_id",
+    "count_by_id_changelog": "SELECT user_id, count(*) AS n, CAST(1 AS BIGINT) AS balance "
+    "FROM events GROUP BY user_id",
+    "admitted_batches": "SELECT n AS messages, CAST(ceil(n / 1000) AS BIGINT) AS batches, "
+    "least(n, 1000) AS largest FROM (SELECT count(DISTINCT event_id // 4) AS n FROM events)",
     "dashed_id_format": DASHED,
     "text_copy": DOCUMENT_LINES.format("value"),
+    "text_copy_stream": DOCUMENT_LINES.format("value"),
     "raw_line_table": DOCUMENT_LINES.format("size"),
 }
 

@@ -15,12 +15,17 @@ def kafka_options(
     start="latest",
     max_offsets_per_trigger: int | None = None,
     min_partitions: int | None = None,
+    min_offsets_per_trigger: int | None = None,
+    max_trigger_delay: int | None = None,
 ) -> dict[str, str]:
     """Reader options. `start` is `latest`, `earliest`, `group` or {topic: {partition: offset}}.
 
     `group` means "where the last run stopped". In Structured Streaming that position lives in the
     query checkpoint, which wins over `startingOffsets` on every restart, so only the very first
     run needs a value: latest.
+
+    Flush by size or time: a batch starts once `min_offsets_per_trigger` records wait or
+    `max_trigger_delay` seconds have passed, and takes at most `max_offsets_per_trigger` records.
     """
     if isinstance(start, dict):
         offsets = json.dumps(
@@ -42,6 +47,10 @@ def kafka_options(
         options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
     if min_partitions is not None:
         options["minPartitions"] = str(min_partitions)
+    if min_offsets_per_trigger is not None:
+        options["minOffsetsPerTrigger"] = str(min_offsets_per_trigger)
+    if max_trigger_delay is not None:
+        options["maxTriggerDelay"] = f"{max_trigger_delay}s"
     return options
 
 

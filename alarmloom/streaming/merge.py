@@ -1,44 +1,68 @@
-"""The merge on a stream: rows of a closed window, each with its summary's id, in one query.
+"""The merge on a stream: windows close by the watermark, their rows come from the classified table.
 
-A windowed aggregate (small state, partial aggregation) finds the first id, last date and count per
-key. Its result joins the rows themselves, which wait in join state until their window closes. The
-join key includes a salt, so a label with most of the rows of a window is spread over many state
-partitions. Summaries are the detail rows whose id equals their `pid`.
+Rows are stored once, classified, by Spark's file sink (`streaming.queries.classified_stream`). The
+merge reads that table as a stream and keeps nothing but a count per open window and label: state of
+fixed width, with partial aggregation, however many rows a window has. When windows close, their rows
+are read from the table, which is partitioned by route and span of time, and merged as in a batch job.
+
+A row that comes later than the watermark allows is stored all the same. `late_groups` finds the
+closed windows that have more rows than were merged; `plans.jobs.reconcile_merged` merges them anew.
 """
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from alarmloom.operators.alarms import ARRIVAL
+from alarmloom.functions.identity import window_second
+from alarmloom.operators.merge import KEYS
 
-STREAM_SALTS = 16
+# Seconds of event time that a folder of the classified table holds.
+SPAN = 3600
 
 
-def merge_stream(
-    rows: DataFrame, seconds: int, delay: str = "0 seconds", salts: int = STREAM_SALTS
-) -> DataFrame:
-    """Detail rows with `pid`, `last_date` and `size`, emitted in append mode as windows close.
+def span_of(seconds: Column, span: int = SPAN) -> Column:
+    return F.floor(seconds / span).cast("long")
+
 
-    `delay` is how far behind the newest row a row may come and still be counted. With the
-    processing clock no row is ever late. Rows must keep the columns of `operators.alarms.ARRIVAL`.
+def closed_windows(rows: DataFrame, seconds: int, delay: str = "0 seconds") -> DataFrame:
+    """Route, label, window start and row count of windows as they close; a stream for append mode.
+
+    `delay` is how far behind the newest row a row may come and still be counted.
     """
-    length = f"{seconds} seconds"
-    salted = rows.withColumn(
-        "salt", F.pmod(F.xxhash64("uuid"), F.lit(salts)).cast("int")
-    ).withWatermark("event_ts", delay)
-    heads = merge_heads_stream(salted, length).withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    )
-    # A stream has one event-time column, here the window; the row's own time goes on as plain data.
-    waiting = salted.withColumn("window", F.window("event_ts", length)).withColumn(
-        "event_ts", F.timestamp_micros(F.unix_micros("event_ts"))
+    closed = (
+        rows.withWatermark("event_ts", delay)
+        .groupBy(F.window("event_ts", f"{seconds} seconds"), "route", "type_label")
+        .agg(F.count("*").alias("size"))
     )
-    return (
-        waiting.join(heads, ["window", "route", "type_label", "salt"])
-        .withColumn("win", F.unix_seconds(F.col("window.start")))
-        .drop("salt", "window")
+    return closed.select(
+        "route", "type_label", F.unix_seconds(F.col("window.start")).alias("win"), "size"
     )
 
 
+def rows_of_windows(
+    classified: DataFrame, seconds: int, first: int | None, last: int | None, span: int = SPAN
+) -> DataFrame:
+    """The classified rows with `win`, of windows that start from `first` to `last`; only the spans
+    that these can touch are read."""
+    if first is not None:
+        classified = classified.filter(F.col("span") >= first // span)
+    if last is not None:
+        classified = classified.filter(F.col("span") <= (last + seconds - 1) // span)
+    rows = classified.withColumn("win", window_second(F.col("event_ts"), seconds))
+    if first is not None:
+        rows = rows.filter(F.col("win") >= first)
+    if last is not None:
+        rows = rows.filter(F.col("win") <= last)
+    return rows
+
+
+def late_groups(rows: DataFrame, heads: DataFrame) -> DataFrame:
+    """Keys of groups whose number of stored rows is not the one they were last merged with.
+
+    `rows`: stored rows of closed windows; `heads`: route, label, window, size of what was merged.
+    """
+    stored = rows.groupBy(*KEYS).agg(F.count("*").alias("size"))
+    return stored.join(heads.select(*KEYS, "size"), [*KEYS, "size"], "left_anti").select(*KEYS)
+
+
 HEARTBEAT = "heartbeat"
 
 
@@ -54,10 +78,6 @@ def with_heartbeat(rows: DataFrame) -> DataFrame:
         "event_ts": F.current_timestamp(),
         "route": F.lit(HEARTBEAT),
         "type_label": F.lit(HEARTBEAT),
-        "partition": F.lit(0),
-        "offset": F.col("value"),
-        "pos": F.lit(0),
-        "uuid": F.md5(F.col("value").cast("string")),
     }
     return rows.unionByName(
         ticks.select(
@@ -67,26 +87,3 @@ def with_heartbeat(rows: DataFrame) -> DataFrame:
             ]
         )
     )
-
-
-def merge_heads_stream(rows: DataFrame, length: str) -> DataFrame:
-    """Summaries only: per closed window and key the first id, the last date and the count."""
-    order = F.struct(*ARRIVAL)
-    return rows.groupBy(F.window("event_ts", length), "route", "type_label").agg(
-        F.min_by("uuid", order).alias("pid"),
-        F.max_by("date", order).alias("last_date"),
-        F.count("*").alias("size"),
-    )
-
-
-def details(merged: DataFrame) -> DataFrame:
-    return merged.drop("last_date", "size")
-
-
-def summaries(merged: DataFrame) -> DataFrame:
-    """One row per key: the first row with the last date and the count."""
-    return (
-        merged.filter(F.col("uuid") == F.col("pid"))
-        .withColumn("date", F.col("last_date"))
-        .drop("last_date")
-    )

@@ -1,24 +1,32 @@
-"""Starting queries: triggers, checkpoints, changelogs."""
+"""Starting queries: triggers, checkpoints, the classified table."""
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
-from alarmloom.sinks.tables import read_table, write_batch
+from alarmloom.sinks import commits
+from alarmloom.sinks.commits import table_writer  # noqa: F401
+from alarmloom.streaming.merge import SPAN, span_of
 
-# A buffered sink flushes after this many seconds.
+# A buffered sink flushes after this many rows or seconds.
+FLUSH_ROWS = 1000
 FLUSH_SECONDS = 8
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def use_rocksdb(spark: SparkSession) -> None:
-    """Keep state off the heap, with changelog checkpoints; for windows with many waiting rows."""
+    """Keep state off the heap, with changelog checkpoints; for windows with many labels."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
 
 
+def _trigger(seconds: int | None) -> dict:
+    return {"availableNow": True} if seconds is None else {"processingTime": f"{seconds} seconds"}
+
+
 def start(
     rows: DataFrame,
     write: Callable[[DataFrame, int], None],
@@ -33,38 +41,55 @@ def start(
         .option("checkpointLocation", checkpoint)
         .foreachBatch(write)
     )
-    if seconds is None:
-        return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=f"{seconds} seconds").start()
+    return writer.trigger(**_trigger(seconds)).start()
 
 
-def table_writer(
-    root: str, tables: dict[str, Callable[[DataFrame], DataFrame]]
-) -> Callable[[DataFrame, int], None]:
-    """One stream into several tables; the batch is kept while more than one table reads it."""
+def file_stream(
+    rows: DataFrame,
+    path: str,
+    checkpoint: str,
+    format: str,
+    seconds: int | None,
+    by: tuple[str, ...] = (),
+):
+    """Files through Spark's own file sink, which commits each batch exactly once: its log names the
+    files of finished batches, and readers of the folder, streams too, go by that log."""
+    writer = rows.writeStream.format(format).option("checkpointLocation", checkpoint)
+    if by:
+        writer = writer.partitionBy(*by)
+    return writer.option("path", path).trigger(**_trigger(seconds)).start()
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        shared = len(tables) > 1
-        if shared:
-            batch.persist()
-        try:
-            for table, select in tables.items():
-                write_batch(select(batch), root, table, batch_id)
-        finally:
-            if shared:
-                batch.unpersist()
 
-    return write
+PLACED = ("route", "span")
 
 
-def file_stream(rows: DataFrame, path: str, checkpoint: str, format: str, seconds: int | None):
-    """Files through Spark's own file sink, which commits each batch exactly once."""
-    writer = rows.writeStream.format(format).option("checkpointLocation", checkpoint)
-    trigger = {"availableNow": True} if seconds is None else {"processingTime": f"{seconds} seconds"}
-    return writer.option("path", path).trigger(**trigger).start()
+def _placed(rows: DataFrame, span: int) -> DataFrame:
+    """Columns as the table has them: its partition columns come last."""
+    placed = rows.withColumn("span", span_of(F.unix_seconds("event_ts"), span))
+    return placed.select(*[c for c in placed.columns if c not in PLACED], *PLACED)
+
+
+def classified_stream(
+    rows: DataFrame, path: str, checkpoint: str, seconds: int | None, span: int = SPAN
+) -> StreamingQuery:
+    """Classified alarms and rejects into one table by route and span of time: the one reader of the
+    topic."""
+    return file_stream(_placed(rows, span), path, checkpoint, "parquet", seconds, PLACED)
+
+
+def classified_schema(rows: DataFrame) -> StructType:
+    return _placed(rows, SPAN).schema
+
+
+def read_classified(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    return spark.read.schema(schema).parquet(path)
 
 
-def latest_counts(spark: SparkSession, root: str, table: str, key: str) -> DataFrame:
-    """The current count per key out of a changelog written in update mode."""
-    changes = read_table(spark, root, table)
-    return changes.groupBy(key).agg(F.max_by("n", "batch_id").alias("n"))
+def stream_classified(
+    spark: SparkSession, path: str, schema: StructType, max_files_per_trigger: int | None = None
+) -> DataFrame:
+    commits.make_folder(spark, path)
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.parquet(path)

@@ -77,6 +77,34 @@ def test_no_window_operator_gathers_a_key(messages):
     assert "partial_min_by" in plan
 
 
+def test_ends_are_a_hash_aggregate_and_only_rows_at_the_ends_are_sorted(messages):
+    rows = merge.with_window(jobs.is_merged(jobs.classified_alarms(skewed(messages), 2)), 20)
+    ends = merge.merge_ends(rows)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in ends and "SortAggregate" not in ends
+    for frame in (merge.merge_heads(rows, max_heads=100), merge.merge_summaries(rows, max_heads=100)):
+        lines = frame._jdf.queryExecution().executedPlan().toString().splitlines()
+        at = max(i for i, line in enumerate(lines) if "SortAggregate" in line)
+        below = lines[at + 1 :]
+        # Below the sorted aggregate comes the filter on the two times, within the join with the ends.
+        join = next(i for i, line in enumerate(below) if "Join" in line)
+        assert "first_ts" in below[join] and "last_ts" in below[join]
+        assert not any("min_by" in line for line in below)
+
+
+def test_ties_at_the_ends_go_by_position(messages):
+    def doc(n):
+        body = {"verifyFunctionModuleCode": 5, "verifyTypeId": 5, "srcPort": n}
+        return json.dumps({"basicMessageBasicList": [body, body]})
+
+    rows = jobs.is_merged(jobs.classified_alarms(
+        messages([(1, 7, 3, doc(1)), (0, 9, 3, doc(2)), (0, 8, 3, doc(3)), (2, 1, 3, doc(4))]), 2
+    ))
+    rows = merge.with_window(rows, 20)
+    for bound in (None, 1):
+        found = merge.merge_summaries(rows, max_heads=bound).collect()
+        assert [(r.partition, r.offset, r.pos, r["size"]) for r in found] == [(0, 8, 0, 8)]
+
+
 def test_same_label_of_two_routes_does_not_mix(messages):
     def doc(module):
         body = {"verifyFunctionModuleCode": module, "verifyTypeId": 99}

@@ -31,21 +31,21 @@ def test_wifi_row(messages):
 def test_nested_sample(messages):
     text = (
         '{"messageProtocolVersion":"","messageDeviceTypeId":0,"messageDeviceSerialId":"DEV7",'
-        '"basicMessageBasicList":[{"srcMac":"02-00-00-00-00-09","srcPort":8080,"byteNumber":-4021,'
-        '"verifyTypeId":101}],"tempVerifyCode":0,"messageSplit":false}'
+        '"basicMessageBasicList":[{"srcMac":"02-00-00-00-00-09","srcPort":61007,"byteNumber":-4021,'
+        '"verifyTypeId":13}],"tempVerifyCode":0,"messageSplit":false}'
     )
     row = nested.nested_report(messages([(0, 0, 1, text)])).first()
     assert len(row) == 16
     assert (row.messageDeviceTypeId, row.messageSplit) == ("0", "false")
     (alarm,) = row.basicMessageBasicList
     assert len(alarm) == 13
-    assert (alarm.srcPort, alarm.byteNumber, alarm.destIp) == ("8080", "-4021", None)
+    assert (alarm.srcPort, alarm.byteNumber, alarm.destIp) == ("61007", "-4021", None)
 
 
 def test_typed_sample(messages):
-    text = '{"userId":"1","day":"2020-01-05","data":[{"package":"com.maps","activetime":"912"},{"activetime":"x"}]}'
+    text = '{"userId":"1","day":"2031-11-23","data":[{"package":"com.maps","activetime":"912"},{"activetime":"x"}]}'
     row = nested.typed_report(messages([(0, 0, 1, text)])).first()
-    assert (row.userId, row.day) == (1, "2020-01-05")
+    assert (row.userId, row.day) == (1, "2031-11-23")
     assert [tuple(e) for e in row.data] == [("com.maps", 912), (None, None)]
 
 
@@ -68,6 +68,9 @@ def test_kafka_options():
     assert latest["subscribe"] == "t" and latest["startingOffsets"] == "latest"
     assert kafka_options("h:1", "t", "group")["startingOffsets"] == "latest"
     assert kafka_options("h:1", "t", "earliest", 500, 64)["maxOffsetsPerTrigger"] == "500"
+    flush = kafka_options("h:1", "t", min_offsets_per_trigger=1000, max_trigger_delay=8, max_offsets_per_trigger=5000)
+    assert (flush["minOffsetsPerTrigger"], flush["maxTriggerDelay"]) == ("1000", "8s")
+    assert flush["maxOffsetsPerTrigger"] == "5000" and "minOffsetsPerTrigger" not in latest
     fixed = kafka_options("h:1", "t", {"t": {0: 5}})
     assert fixed["startingOffsets"] == '{"t": {"0": 5}}'
     with pytest.raises(ValueError):
