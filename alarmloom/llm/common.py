@@ -19,6 +19,7 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SEGMENT = 1 << 16
 FAN_IN = 64
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 _SHIPPED: set[str] = set()
@@ -43,9 +44,11 @@ def ship(spark: SparkSession) -> None:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of the given folder. Texts may be long, so Arrow batches are kept to 500 rows."""
+    """A table of the given folder. Texts may be long, so Arrow batches are kept to 500 rows or 32 MB,
+    whichever is less; the settings stay, since the rows are read when the caller asks for them."""
     ship(spark)
     spark.conf.set(ARROW_ROWS, "500")
+    spark.conf.set(ARROW_BYTES, "32m")
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

@@ -172,25 +172,44 @@ def spans_of(rule: Rule, place: int, text: Column) -> Column:
         )
     pairs = F.filter(pairs, lambda p: p["size"].isNotNull())
     size = "own" if rule.group else "size"
-    nothing = F.array().cast("array<struct<start:int,place:int,end:int,own:int>>")
-    walked = F.aggregate(
-        pairs,
-        F.struct(F.lit(0).alias("at"), nothing.alias("spans")),
-        lambda s, p: F.struct(
-            (s["at"] + p["gap"] + p["size"]).alias("at"),
-            F.array_append(
-                s["spans"],
-                F.struct(
-                    (s["at"] + p["gap"]).alias("start"),
-                    F.lit(place).alias("place"),
-                    (s["at"] + p["gap"] + p["size"]).alias("end"),
-                    p[size].alias("own"),
-                ),
-            ).alias("spans"),
-        ),
-        lambda s: s["spans"],
-    )
-    return F.filter(walked, lambda s: s["own"] >= rule.least)
+    # Where each match ends is a running sum. It is taken in blocks of about the root of their number:
+    # the ends of the blocks first, then each match from the start of its block.
+    count = F.size(pairs)
+    block = F.greatest(F.lit(1), F.ceil(F.sqrt(count.cast("double"))).cast("int"))
+
+    def covered(found: Column) -> Column:
+        return F.aggregate(found, F.lit(0), lambda total, p: total + p["gap"] + p["size"])
+
+    def spans(state: Column) -> Column:
+        found, block, starts = state["pairs"], state["block"], state["starts"]
+
+        def span(p, i):
+            of = F.floor(i / block).cast("int")
+            before = F.get(starts, of) + covered(F.slice(found, of * block + 1, i - of * block))
+            start = before + p["gap"]
+            return F.struct(
+                start.alias("start"),
+                F.lit(place).alias("place"),
+                (start + p["size"]).alias("end"),
+                p[size].alias("own"),
+            )
+
+        return F.filter(F.transform(found, span), lambda s: s["own"] >= rule.least)
+
+    def with_starts(state: Column) -> Column:
+        found, block = state["pairs"], state["block"]
+        ends = F.aggregate(
+            F.sequence(F.lit(0), F.ceil(F.size(found) / block).cast("int")),
+            F.array(F.lit(0)),
+            lambda starts, n: F.array_append(
+                starts, F.get(starts, n) + covered(F.slice(found, n * block + 1, block))
+            ),
+        )
+        return F.struct(found.alias("pairs"), block.alias("block"), ends.alias("starts"))
+
+    # One-element lists bind a value once instead of repeating its expression.
+    bound = F.transform(F.array(F.struct(pairs.alias("pairs"), block.alias("block"))), with_starts)
+    return F.get(F.transform(bound, spans), F.lit(0))
 
 
 def scan(

@@ -15,6 +15,7 @@ from alarmloom.llm import (
     packing,
     secretscan,
     sharding,
+    topk,
     toxicity,
 )
 from compare import connect, differences
@@ -321,3 +322,65 @@ def test_more_label_values_than_any_limit(spark):
     assert found.count() == 24_000
     few = bounded_sample(rows, "label", "id", 6_000).count()
     assert 5_000 < few < 7_000
+
+
+def plain_top(vectors, k=5):
+    """Of (id, integers) rows, Python's integers, whole lists."""
+    out = []
+    for n, (q, x) in enumerate(vectors):
+        if q % 50 == 0:
+            scored = [
+                (-min(2**63 - 1, max(-(2**63), sum(a * b for a, b in zip(x, y)))), i)
+                for m, (i, y) in enumerate(vectors) if m != n and len(y) == len(x)
+            ]
+            out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(sorted(scored)[:k])]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("size", [1.0, 400.0, 4e3, 1e17])
+@pytest.mark.parametrize("rows_in_block", [7, 4096])
+def test_scores_are_exact_at_any_size(spark, size, rows_in_block):
+    """Large components, repeated ids and vectors, ties, several lengths; blocks of few rows."""
+    import random
+
+    rng = random.Random(int(size) + rows_in_block)
+    rows = []
+    for i in range(300):
+        width = 64 if i % 10 else 3
+        rows.append((i % 240, [float(rng.randrange(-256, 257) * size) / 256 for _ in range(width)]))
+    rows += [(50, rows[7][1]), (50, rows[7][1]), (1, rows[7][1]), (0, [0.0] * 64), (100, [0.0] * 64)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    found = topk.top_k(table, F.col("vec_id") % 50 == 0, block=4, rows_in_block=rows_in_block).collect()
+    held = [(i, [max(-(2**63), min(2**63 - 1, int(256 * x))) for x in v]) for i, v in rows]
+    assert sorted(map(tuple, found)) == plain_top(held)
+
+
+def test_pairs_of_blocks_without_a_chance_do_not_meet(spark):
+    near = [(i, [1.0, 1.0 + i / 1000]) for i in range(100)]
+    far = [(1000 + i, [-1.0, -1.0 - i]) for i in range(100)]
+    table = spark.createDataFrame(near + far, "vec_id long, embedding array<double>").coalesce(1)
+    seen = []
+    plain = topk._pairs
+
+    def counted(q, r):
+        found = plain(q, r)
+        seen.append((q.count() * r.count(), found.count()))
+        return found
+
+    topk._pairs = counted
+    try:
+        found = topk.top_k(table, F.col("vec_id") == 50, block=8, rows_in_block=20).collect()
+    finally:
+        topk._pairs = plain
+    assert [r.vec_id for r in sorted(found, key=lambda r: r.rank)] == [98, 99, 94, 95, 96]  # equal after rounding down
+    assert seen == [(10, 3)]
+
+
+@pytest.mark.parametrize("count", [0, 1, 2, 3, 5, 17, 20_000])
+def test_spans_of_a_text_with_many_matches(spark, count):
+    text = "".join(f"é{'x' * (i % 3)} token={'abcdef' if i % 4 else 'ab'}{i} AKIA{'Z' * 16}é" for i in range(count))
+    path = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    rows = secretscan.scan(path).collect()
+    from test_corpus_queries import secret_spans
+
+    assert [(s.start, s.place, s.end) for s in rows[0].found] == secret_spans(text)

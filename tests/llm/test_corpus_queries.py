@@ -10,7 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from alarmloom.llm import catalog, langid, packing, secretscan, sharding
+from alarmloom.llm import catalog, langid, packing, secretscan, sharding, toxicity
 from compare import connect, differences
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -268,3 +268,123 @@ def test_a_long_text_is_encoded_in_parts(monkeypatch):
     expected = Tokenizer.from_file(packing.vocabulary()).encode(text, add_special_tokens=False).ids
     assert [np.frombuffer(f, np.uint32).tolist() for f in (found[0], found[4])] == [expected] * 2
     assert found[1] == found[2] == b""
+
+
+# --- Predictions in plain Python ----------------------------------------------------------------
+
+
+def plain_profile(text, slots=2048):
+    """Letter n-grams of the padded words, hashed one by one."""
+    mask, letters = (1 << 64) - 1, []
+    for c in (text or "").lower():
+        if c.isalpha():
+            letters.append(ord(c))
+        elif letters and letters[-1] != 32:
+            letters.append(32)
+    if not letters:
+        return None
+    own, counts = [32, *letters], np.zeros(slots)
+
+    def met(value):
+        counts[(value >> 40) & (slots - 1)] += 1
+
+    for i, c in enumerate(own):
+        one = (c * 0x9E3779B97F4A7C15) & mask
+        met(one)
+        if i + 1 < len(own):
+            two = ((one ^ ((own[i + 1] * 0xC2B2AE3D27D4EB4F) & mask)) * 0xFF51AFD7ED558CCD) & mask
+            met(two)
+            if i + 2 < len(own):
+                met(((two ^ ((own[i + 2] * 0x165667B19E3779F9) & mask)) * 0xC4CEB9FE1A85EC53) & mask)
+    return np.sqrt(counts) / math.sqrt(counts.sum())
+
+
+def plain_language(model, x):
+    def margin(svm):
+        return float(np.dot(x.astype(np.float64), svm[0].astype(np.float64)) + svm[1])
+
+    def squash(m):
+        return 1 / (1 + math.exp(-max(-30, min(30, 3 * m))))
+
+    tops = [margin(svm) for svm in model.of_family]
+    family = max(range(len(tops)), key=lambda f: tops[f])
+    group = model.families[family]
+    score = squash(tops[family]) if len(tops) > 1 else 1.0
+    wins = {a: 0.0 for a in group}
+    least = {a: math.inf for a in group}
+    for n, a in enumerate(group):
+        for b in group[n + 1 :]:
+            m = margin(model.pairs[a, b])
+            wins[a] += (m >= 0) + 1e-3 * math.tanh(m)
+            wins[b] += (m < 0) - 1e-3 * math.tanh(m)
+            least[a], least[b] = min(least[a], m), min(least[b], -m)
+    best = max(group, key=lambda a: wins[a])
+    return model.languages[best], score * (squash(least[best]) if len(group) > 1 else 1.0)
+
+
+def test_language_predictions_equal_plain_python(spark, docs):
+    rows = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    odd = spark.createDataFrame([(-1, None), (-2, ""), (-3, "12 !"), (-4, "É"), (-5, "a1b")], "doc_id long, text string")
+    model = langid.fit(rows)
+    assert sorted(i for f in model.families for i in f) == list(range(len(model.languages)))
+    found = langid.identify(rows.select("doc_id", "text").union(odd), model).collect()
+    for r in found:
+        x = plain_profile(r.text)
+        if x is None:
+            assert (r.lang_pred, r.lang_score) == ("und", 0.0)
+            continue
+        lang, score = plain_language(model, x)
+        assert r.lang_pred == lang and abs(r.lang_score - score) < 1e-3
+
+
+def plain_toxic(model, text):
+    words = re.findall(r"[^\W\d_]+", (text or "").lower())
+    hits = [w for w in words if w in model.voters.index]
+    counts = Counter(hits)
+    value = model.offset
+    for w, n in counts.items():
+        value += math.log1p(n) * model.weights[model.voters.index[w]]
+    base = len(model.voters.index)
+    own = dict.fromkeys(("two", "four", "dense", "repeated", "early", "none"), 0.0)
+    if hits:
+        first = next(i for i, w in enumerate(words) if w in counts)
+        own |= {
+            "two": math.log(len(counts)), "four": len(counts) >= 4, "repeated": max(counts.values()) >= 2,
+            "dense": min(1.0, 20 * len(hits) / len(words)), "early": first < 50,
+        }
+    else:
+        own["none"] = 1.0
+    for i, name in enumerate(model.voters.PATTERNS):
+        value += own[name] * model.weights[base + i]
+    return 1 / (1 + math.exp(-max(-30, min(30, value))))
+
+
+def test_toxicity_scores_equal_plain_python(spark):
+    folder = "/root/testdata/sf0.1" if os.path.isdir("/root/testdata/sf0.1") else SF_DIR
+    rows = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{folder}/labels.parquet").groupBy("doc_id").agg({"toxic": "max"})
+    model = toxicity.fit(rows, labels.toDF("doc_id", "toxic"))
+    assert len(model.voters.index) >= 5
+    found = toxicity.score_texts(rows, model).collect()
+    for r in found:
+        assert abs(r.toxic_score - plain_toxic(model, r.text)) < 1e-9
+
+
+def test_correlated_voters_share_their_weight():
+    """Planted voters: two by themselves, and two that always agree."""
+    from alarmloom.llm.toxicity import LabelModel
+
+    rng = np.random.default_rng(3)
+    truth = rng.random(6000) < 0.3
+
+    def voter(hit, slip):
+        return np.where(truth, rng.random(6000) < hit, rng.random(6000) < slip)
+
+    first, pair, third = voter(0.9, 0.005), voter(0.6, 0.004), voter(0.7, 0.005)
+    votes = np.array([first, pair, pair, third, ~(first | pair | third)]).T.astype(float)
+    model = LabelModel(votes, 0.3)
+    assert model.share[1] < 0.75 < model.share[0]
+    assert abs(model.share[1] - model.share[2]) < 1e-6
+    assert model.yes[0] > model.yes[3] > model.yes[1]
+    found = model.posterior(votes) >= 0.5
+    assert (found == truth).mean() > 0.95
