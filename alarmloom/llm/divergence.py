@@ -29,7 +29,7 @@ from alarmloom.llm import common
 from alarmloom.session import stage
 
 LEAST_DOCS = 3
-FIRST_LEVEL = 5
+FIRST_LEVEL = 8
 LONGER = 3
 HELD = 400_000
 MOST_TERMS = 200
@@ -90,7 +90,7 @@ def prefix_documents(texts: DataFrame, length: int, before: int, alive: Filter |
 
         def settle():
             for lang, own in held.items():
-                keys = sorted(own)
+                keys = list(own)
                 if alive is not None:
                     stays = alive(lang, [k[:before] for k in keys])
                     keys = [k for k, s in zip(keys, stays.tolist()) if s]
@@ -105,7 +105,10 @@ def prefix_documents(texts: DataFrame, length: int, before: int, alive: Filter |
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
                 own, known = held[lang], len(held[lang])
                 # A term shorter than `before` was complete, and settled, a level ago.
-                own.update({(t + END)[:length] for t in set(terms_of(text)) if len(t) >= before})
+                terms = terms_of(text)
+                if before:
+                    terms = [t for t in terms if len(t) >= before]
+                own.update({(t + END)[:length] for t in set(terms)})
                 size += len(own) - known
                 if size >= HELD:
                     yield from settle()
@@ -140,7 +143,7 @@ def term_counts(texts: DataFrame, kept: DataFrame) -> DataFrame:
 
         def settle():
             for (lang, source), own in held.items():
-                keys = sorted(own)
+                keys = list(own)
                 stays = wanted(lang, [k + END for k in keys])
                 keys = [k for k, s in zip(keys, stays.tolist()) if s]
                 yield pa.RecordBatch.from_arrays(
