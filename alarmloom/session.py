@@ -39,13 +39,41 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_folder(spark), "alarmloom", f"{name}-{uuid.uuid4().hex}")
 
 
+# Lists of the paths that `stage` writes, one per open `scratch`.
+_scratches: list[list[str]] = []
+
+
 def stage(rows: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Write the rows once to the shared folder and read them back.
 
     Used where several later steps need the same expensive rows: it cuts the lineage, survives lost
     executors, and lets each step read only its own columns, and with `by` only its own folders.
     """
-    return _written(rows, new_folder(rows.sparkSession, name), by)
+    path = new_folder(rows.sparkSession, name)
+    if _scratches:
+        _scratches[-1].append(path)
+    return _written(rows, path, by)
+
+
+def _deleted(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[..., DataFrame]]:
+    """Deletes at its end all tables that `stage` has written in it, and yields a `stage` whose tables
+    stay: for a step that makes many tables on the way to its result."""
+    _scratches.append([])
+
+    def kept(rows: DataFrame, name: str, by: str | None = None) -> DataFrame:
+        return _written(rows, new_folder(spark, name), by)
+
+    try:
+        yield kept
+    finally:
+        _deleted(spark, _scratches.pop())
 
 
 def _written(rows: DataFrame, path: str, by: str | None) -> DataFrame:
@@ -70,6 +98,4 @@ def staging(spark: SparkSession) -> Iterator[Callable[..., DataFrame]]:
     try:
         yield stage_here
     finally:
-        for path in paths:
-            place = spark._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        _deleted(spark, paths)

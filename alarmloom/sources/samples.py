@@ -21,6 +21,14 @@ EVENTS_PER_MESSAGE = 4
 _dumps: dict[tuple, str] = {}
 
 
+def _version(spark: SparkSession, sf_dir: str) -> tuple:
+    """The table's path with its length and time, so that a changed table is encoded anew."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/events.parquet")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = files.getContentSummary(path)
+    return sf_dir, found.getLength(), files.getFileStatus(path).getModificationTime()
+
+
 def _dumped(format: str = "parquet"):
     """Write what the function encodes on the first call, read it back on every call."""
 
@@ -28,7 +36,7 @@ def _dumped(format: str = "parquet"):
         @functools.wraps(encode)
         def read(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
             application = spark.sparkContext.applicationId
-            key = (application, sf_dir, encode.__name__, *sorted(options.items()))
+            key = (application, *_version(spark, sf_dir), encode.__name__, *sorted(options.items()))
             if key not in _dumps:
                 path = new_folder(spark, encode.__name__)
                 encode(spark, sf_dir, **options).write.format(format).save(path)

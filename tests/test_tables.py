@@ -86,3 +86,34 @@ def test_jdbc_options_and_text_columns(spark):
     found = jdbc.as_text_columns(rows)
     assert set(dict(found.dtypes).values()) == {"string"}
     assert list(found.first()) == ["0", '{"k":"v"}', "it's"]
+
+
+def test_scratch_deletes_what_was_staged_in_it(spark):
+    from pathlib import Path
+
+    from alarmloom.session import scratch, shared_folder, stage
+
+    folder = Path(shared_folder(spark).removeprefix("file://")) / "alarmloom"
+    before = set(folder.glob("*"))
+    with scratch(spark) as keep:
+        rows = stage(spark.range(5), "on-the-way")
+        kept = keep(rows.filter("id > 2"), "result")
+    assert [r.id for r in kept.orderBy("id").collect()] == [3, 4]
+    assert {p.name.split("-")[0] for p in set(folder.glob("*")) - before} == {"result"}
+    with pytest.raises(ValueError), scratch(spark):
+        stage(spark.range(3), "dropped")
+        raise ValueError
+    outside = stage(spark.range(2), "outside")
+    assert outside.count() == 2
+
+
+def test_a_changed_table_is_encoded_anew(spark, tmp_path):
+    import shutil
+
+    from alarmloom.sources import samples
+
+    shutil.copy("/root/testdata/sf0.001/events.parquet", tmp_path / "events.parquet")
+    first = samples.wifi_lines(spark, str(tmp_path)).count()
+    half = spark.read.parquet(str(tmp_path / "events.parquet")).limit(10).toPandas()
+    half.to_parquet(tmp_path / "events.parquet")
+    assert samples.wifi_lines(spark, str(tmp_path)).count() == 10 < first
