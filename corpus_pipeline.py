@@ -8,7 +8,7 @@ texts without a letter leave in the first stage; an empty table gives an empty r
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from alarmloom.llm import common, exactdedup, langid, mixing, nearjoin, packing
-from alarmloom.session import stage
+from alarmloom.session import scratch
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,5 +59,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
     for name, function in STAGES[:-1]:
-        docs = stage(function(spark, docs, sf_dir), f"pipeline-{name}")
+        # What an operator stages on the way goes once its rows are written.
+        with scratch(spark) as stage:
+            docs = stage(function(spark, docs, sf_dir), f"pipeline-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)
