@@ -77,9 +77,13 @@ def ranked(rows: DataFrame, order: list[Column], name: str, rank: str) -> DataFr
         before[r["part"]], total = total, total + r["rows"]
     if not before:
         return written
-    offsets = F.create_map(*[F.lit(x).cast("long") for pair in before.items() for x in pair])
+    # One row per partition of the shuffle, whatever the data: safe to broadcast.
+    own = free_name(written, "offset")
+    offsets = rows.sparkSession.createDataFrame(list(before.items()), "part long, before long")
+    offsets = offsets.select(F.struct("part", "before").alias(own))
     place = F.col(rank).bitwiseAND(F.lit((1 << 33) - 1))
-    return written.withColumn(rank, F.element_at(offsets, part) + place)
+    met = written.join(F.broadcast(offsets), part == F.col(f"{own}.part"))
+    return met.withColumn(rank, F.col(f"{own}.before") + place).drop(own)
 
 
 def text_or_empty(column: str = "text") -> Column:
