@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from alarmloom.session import stage
@@ -102,11 +103,39 @@ def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
     return F.xxhash64(own.isNull(), own, text.isNull(), text)
 
 
+def _straight_from_files(docs: DataFrame) -> bool:
+    """Is each row one row of a file, and only projected and filtered?"""
+    plan = docs._jdf.queryExecution().analyzed()
+    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.children().apply(0)
+    return plan.nodeName() == "LogicalRelation" and bool(docs.inputFiles())
+
+
 def numbered(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """The rows staged with a number of their own each, and the name of that column, which no column of
-    `docs` has. The number is written down, so retries and other partitionings keep it."""
-    number = free_name(docs, "number")
-    return stage(docs.withColumn(number, F.monotonically_increasing_id()), name), number
+    """The rows with a number of their own each, and the name of that column, which no column of `docs`
+    has. Retries and other partitionings keep the numbers.
+
+    Rows read straight from files are numbered by their file and their place in it, without being
+    written again; others are staged with their number. The list of files, which the driver holds
+    anyway, is joined by broadcast.
+    """
+    number, spark = free_name(docs, "number"), docs.sparkSession
+    try:
+        placed = docs.select(F.col("_metadata.file_path"), F.col("_metadata.row_index")).select("file_path")
+    except AnalysisException:
+        placed = None
+    if placed is None or not _straight_from_files(docs):
+        return stage(docs.withColumn(number, F.monotonically_increasing_id()), name), number
+    paths = sorted(r["file_path"] for r in placed.distinct().collect())
+    files = spark.createDataFrame(list(enumerate(paths)), "file long, path string")
+    own = free_name(docs, "file")
+    files = F.broadcast(files.select(F.struct("file", "path").alias(own)))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    at = F.struct(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+    rows = docs.select(*columns, at.alias(number)).join(files, F.col(f"{number}.file_path") == F.col(f"{own}.path"))
+    # The file's number stands above the lower 33 bits, like a partition's in Spark's own row numbers.
+    found = F.shiftleft(F.col(f"{own}.file"), 33) + F.col(f"{number}.row_index")
+    return rows.select(*columns, found.alias(number)), number
 
 
 def crc_of_id(id_col: str = "doc_id") -> Column:

@@ -83,24 +83,24 @@ def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay, with all their columns; rows without a copy are never shuffled."""
-    number, key = common.free_name(docs, "number"), common.free_name(docs, "digest")
-    rows = docs.withColumn(key, digest(f"`{text_col}`"))
-    rows = stage(rows.withColumn(number, F.monotonically_increasing_id()), "dedup-rows")
-    maybe = _prober(rows.sparkSession, repeat_filter(rows.select(key)))
-    columns = [F.col(f"`{c}`") for c in docs.columns]
+    rows, number = common.numbered(docs, "dedup-rows")
     narrow = rows.select(
-        F.col(f"`{id_col}`").alias("doc_id"), F.col(key).alias("digest"), F.col(number).alias("number")
-    )
-    keep = (
-        narrow.filter(maybe(F.col("digest")))
-        .groupBy("digest")
-        .agg(F.max_by("number", _first()).alias(number))
-        .select(number)
+        F.col(f"`{id_col}`").alias("doc_id"),
+        digest(f"`{text_col}`").alias("digest"),
+        F.col(number).alias("number"),
     )
-    keep = stage(keep, "dedup-keep")
-    passing = rows.filter(~maybe(F.col(key)))
-    best = rows.filter(maybe(F.col(key))).join(keep, number, "left_semi")
-    return passing.select(*columns).unionByName(best.select(*columns))
+    narrow = stage(narrow, "dedup")
+    maybe = _prober(rows.sparkSession, repeat_filter(narrow.select("digest")))
+    again = stage(narrow.filter(maybe(F.col("digest"))), "dedup-again")
+    best = again.groupBy("digest").agg(F.max_by("number", _first()).alias("number")).select("number")
+    gone = stage(again.join(best, "number", "left_anti").select(F.col("number").alias(number)), "dedup-gone")
+    # Rows pass by their digest once more; only those it may be repeated for meet the list.
+    key = common.free_name(rows, "digest")
+    probed = rows.withColumn(key, maybe(digest(f"`{text_col}`")))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    passing, met = probed.filter(~F.col(key)), probed.filter(F.col(key))
+    left = met.join(gone.hint("merge"), number, "left_anti")
+    return passing.select(*columns).unionByName(left.select(*columns))
 
 
 def op7_exact_dedup(spark, sf_dir):

@@ -100,7 +100,10 @@ def deduplicated_lines(
 
 def op4_line_dedup(spark, sf_dir):
     docs = common.table(spark, sf_dir, "documents")
-    counted = docs.select("doc_id", "text", F.size(_lines("text")).alias("n_lines"))
+    # Before the operator removes lines, they are counted; the rows stay those of the files.
+    counted = docs.withColumn("n_lines", F.size(_lines("text"))).select(
+        "doc_id", "n_lines", "text"
+    )
     return deduplicated_lines(counted, count="n_removed").select(
         "doc_id", "n_lines", "n_removed", "text"
     )

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from alarmloom.llm import common
-from alarmloom.session import stage
+from alarmloom.session import scratch, stage
 
 GROUP = 512
 STEPS = 60
@@ -306,9 +306,10 @@ def mix(
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The rows of the mix with all their columns, each as often as it has copies."""
     rows, number = common.numbered(docs, "mix-rows")
-    dealt = mix(rows, number=number, **options).filter("copies > 0")
     copies = common.free_name(rows, "copies")
-    dealt = stage(dealt.select(F.col("number").alias(number), F.col("copies").alias(copies)), "mix-copies")
+    with scratch(docs.sparkSession) as kept:
+        dealt = mix(rows, number=number, **options).filter("copies > 0")
+        dealt = kept(dealt.select(F.col("number").alias(number), F.col("copies").alias(copies)), "mix-copies")
     often = F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies)))
     kept = rows.join(dealt.hint("merge"), number)
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns], often.alias(copies)).drop(copies)

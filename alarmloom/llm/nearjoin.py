@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from alarmloom.llm import common
-from alarmloom.session import stage
+from alarmloom.session import scratch, stage
 
 SLOTS = 1 << 22
 PARTS = 64
@@ -422,11 +422,13 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     """One document of each component, with all columns: that with the smallest id, of several rows with
     that id the first. Documents without shingles link with nothing and stay."""
     rows, number = common.numbered(docs, "near-docs")
-    found = near_classes(rows, words, percent, number=number)
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "number")
-    firsts = found.filter("n > 0").groupBy("label").agg(F.min_by("number", order).alias(number))
-    empty = found.filter("n = 0").select(F.col("number").alias(number))
-    keep = stage(firsts.select(number).union(empty), "near-keep")
+    # All tables on the way go once it is known which rows stay.
+    with scratch(docs.sparkSession) as kept:
+        found = near_classes(rows, words, percent, number=number)
+        order = F.struct(F.col("doc_id").isNull(), "doc_id", "number")
+        firsts = found.filter("n > 0").groupBy("label").agg(F.min_by("number", order).alias(number))
+        empty = found.filter("n = 0").select(F.col("number").alias(number))
+        keep = kept(firsts.select(number).union(empty), "near-keep")
     return rows.join(keep.hint("merge"), number, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

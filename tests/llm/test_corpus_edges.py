@@ -384,3 +384,29 @@ def test_spans_of_a_text_with_many_matches(spark, count):
     from test_corpus_queries import secret_spans
 
     assert [(s.start, s.place, s.end) for s in rows[0].found] == secret_spans(text)
+
+
+def test_rows_of_files_are_numbered_without_being_written(spark, tmp_path):
+    rows = [(i, f"t{i}") for i in range(50)] * 2
+    table = spark.createDataFrame(rows, "doc_id long, `number` string")
+    table.repartition(7).write.parquet(f"{tmp_path}/t.parquet")
+    read = spark.read.parquet(f"{tmp_path}/t.parquet")
+    first, name = common.numbered(read, "rows")
+    assert name == "number_1" and first.columns == ["doc_id", "number", name]
+    assert all(str(tmp_path) in f for f in first.inputFiles())
+    found = {r[name]: r.doc_id for r in first.collect()}
+    assert len(found) == 100
+    again = {r[name]: r.doc_id for r in common.numbered(read, "rows")[0].repartition(3).collect()}
+    assert again == found
+    other, name = common.numbered(table.repartition(3), "rows")
+    assert other.select(name).distinct().count() == 100 and other.count() == 100
+    assert common.numbered(read.filter("doc_id < 10"), "rows")[0].select(name).distinct().count() == 20
+    none = common.numbered(read.limit(0), "rows")[0]
+    assert none.collect() == []
+    # Steps that repeat rows: these are staged, since a row of a file is no longer one row.
+    for many in (
+        read.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(3)))), read.crossJoin(spark.range(3)),
+        read.union(read), read.sample(True, 2.0, 3), read.selectExpr("stack(2, doc_id, doc_id) as x"),
+    ):
+        own, name = common.numbered(many, "rows")
+        assert own.select(name).distinct().count() == own.count() > 100
