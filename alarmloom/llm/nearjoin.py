@@ -217,15 +217,14 @@ def _entries(reps: DataFrame, prefixes: DataFrame) -> DataFrame:
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str, number: str | None) -> DataFrame:
-    """(doc_id, number, text) of the rows; numbered here, in a staged table, if they are not yet."""
-    rows = docs.select(
+    """(doc_id, number, text) of the rows, numbered here if they are not yet."""
+    if number is None:
+        docs, number = common.numbered(docs, "near-texts")
+    return docs.select(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"),
-        (F.lit(None) if number is None else F.col(number)).cast("long").alias("number"),
+        F.col(number).alias("number"),
         F.col(f"`{text_col}`").cast("binary").alias("text"),
     )
-    if number is None:
-        rows = stage(rows.withColumn("number", F.monotonically_increasing_id()), "near-texts")
-    return rows
 
 
 def _prepared(join: Shingles, docs: DataFrame):
