@@ -17,6 +17,7 @@ from alarmloom.sinks.tables import read_table, write_batch, write_lines
 from alarmloom.sources import files, samples
 from alarmloom.sources.kafka import byte_values, text_values
 from alarmloom.streaming import changelog
+from alarmloom.streaming import merge as stream_merge
 from alarmloom.streaming import queries as streams
 
 # The test events spread over 30 days, so the queries merge by the hour.
@@ -207,22 +208,23 @@ def _finish(spark, start, *arguments, **options):
         start(*arguments, **options, seconds=None).awaitTermination()
 
 
-# The test events spread over 30 days: folders of five days, not of an hour.
-STREAM_SPAN = 5 * 86400
-STREAM_FILES = 24
+# The test events spread over 30 days: folders of 15 days, not of an hour. A part of the replay is as many
+# files as tasks read it; of the classified files a batch takes about as many as one part makes.
+STREAM_SPAN = 15 * 86400
+STREAM_TASKS = 4
+STREAM_FILES = 40
 
 
 def _late_stream(spark, sf_dir):
-    """The whole stream job over a replay in which one of seven messages comes last, long after the
-    windows it belongs to have closed, and the reconcile job after it. Returns the root."""
+    """The whole stream job over a replay in which one of seven messages comes last, long after its time,
+    and the reconcile job after it. Returns the root."""
     messages = samples.alarm_messages(spark, sf_dir).select(*MESSAGE_SCHEMA.names)
     late = F.col("offset") % 7 == 3
     folder, root = new_folder(spark, "messages"), new_folder(spark, "alarms")
     parts = [messages.filter(~late), messages.filter(late).unionByName(samples.flush_message(messages, WINDOW))]
     for part in parts:
-        # One file per part, and so one micro-batch.
-        part.coalesce(1).write.mode("append").parquet(folder)
-    stream = files.message_stream(spark, folder, max_files_per_trigger=1)
+        part.repartition(STREAM_TASKS).write.mode("append").parquet(folder)
+    stream = files.message_stream(spark, folder, max_files_per_trigger=STREAM_TASKS)
     with _state_partitions(spark):
         for query in jobs.start_alarm_stream(
             stream, root, new_folder(spark, "checkpoint"), 2, WINDOW, clock="arrival",
@@ -238,10 +240,36 @@ def _heads(spark, root):
 
 
 def merge_summary_stream(spark, sf_dir):
-    root = _late_stream(spark, sf_dir)
-    written = jobs.read_merged(spark, root, al.GENERATIONS[2].warning_table)
-    rows = written.select("uuid", "pid", "date", "currenttime", F.col("size").cast("long").alias("size"))
-    return _heads(spark, root).select(*merge.KEYS, "pid").join(rows, "pid").select(
+    """Summaries alone: narrow classified rows in their table, windows closed by the stream, their rows
+    merged as in a batch."""
+    messages = samples.alarm_messages(spark, sf_dir)
+    recorded = messages.unionByName(samples.flush_message(messages, WINDOW))
+    stream = _recorded(spark, recorded, "messages")
+    rows = jobs.is_merged(jobs.classified_alarms(stream, 2)).select(
+        *al.ARRIVAL, "date", "currenttime", "route", "type_label"
+    )
+    path, root = new_folder(spark, "classified"), new_folder(spark, "merged")
+    schema = streams.classified_schema(rows)
+
+    def write(batch, batch_id):
+        groups = stage(batch.select(*merge.KEYS), "closed")
+        first, last = groups.agg(F.min("win"), F.max("win")).first()
+        if first is None:
+            return
+        stored = streams.read_classified(spark, path, schema)
+        closed = stream_merge.rows_of_windows(stored, WINDOW, first, last, STREAM_SPAN).drop("span")
+        closed = stage(merge.meet(closed, groups, groups.count(), how="left_semi"), "closed-rows")
+        merged = merge.merge_summaries(closed, **_staged_ends(closed))
+        commits.write_tables(spark, root, batch_id, {"merged": merged})
+
+    with _state_partitions(spark):
+        streams.classified_stream(
+            rows, path, new_folder(spark, "checkpoint"), None, STREAM_SPAN
+        ).awaitTermination()
+    keys = streams.stream_classified(spark, path, schema).select("event_ts", "route", "type_label")
+    closing = stream_merge.closed_windows(keys, WINDOW)
+    _finish(spark, streams.start, closing, write, new_folder(spark, "checkpoint"))
+    return read_table(spark, root, "merged").select(
         *merge.KEYS, "uuid", "pid", "date", "currenttime", "size"
     )
 
