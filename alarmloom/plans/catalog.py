@@ -3,7 +3,7 @@
 from collections.abc import Callable
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from alarmloom.functions import documents
 from alarmloom.functions.identity import dashed, stable_id
@@ -311,15 +311,51 @@ def count_by_id_changelog(spark, sf_dir):
     return changelog.folded(spark, _count_changelog(spark, sf_dir), "counts", "user_id")
 
 
+# Batches of a replay run one after the other, so a long one is replayed by several queries side by side.
+ADMIT_LANES = 16
+
+
+def _flush_files(spark, sf_dir, folder):
+    """The messages as files of FLUSH_ROWS rows, the last one of the rest, in folders by lane; returns how
+    many lanes. Rows are numbered by file and place, and a file is written by the task that has its number."""
+    messages = samples.alarm_messages(spark, sf_dir)
+    placed = messages.select(
+        *MESSAGE_SCHEMA.names,
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.row_index").alias("place"),
+    )
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.groupBy("file").count().withColumn(
+        "start", F.coalesce(F.sum("count").over(before), F.lit(0))
+    )
+    total = messages.count()
+    if not total:
+        messages.select(*MESSAGE_SCHEMA.names).write.parquet(f"{folder}/lane=0")
+        return 1
+    lanes = min(ADMIT_LANES, -(-total // streams.FLUSH_ROWS))
+    flush = F.call_function("div", F.col("start") + F.col("place"), F.lit(streams.FLUSH_ROWS))
+    numbered = placed.join(F.broadcast(starts), "file").withColumn("flush", flush)
+    numbered.repartition("flush").select(
+        *MESSAGE_SCHEMA.names, (F.col("flush") % lanes).alias("lane")
+    ).write.option("maxRecordsPerFile", streams.FLUSH_ROWS).partitionBy("lane").parquet(folder)
+    return lanes
+
+
 def admitted_batches(spark, sf_dir):
     """A replay that admits at most FLUSH_ROWS messages to a batch, as a buffered sink flushes."""
-    messages = samples.alarm_messages(spark, sf_dir).select(*MESSAGE_SCHEMA.names)
     folder, root = new_folder(spark, "messages"), new_folder(spark, "admitted")
-    messages.coalesce(1).write.option("maxRecordsPerFile", streams.FLUSH_ROWS).parquet(folder)
-    stream = files.message_stream(spark, folder, max_files_per_trigger=1)
-    writer = streams.table_writer(root, {"admitted": lambda b: b.select("partition", "offset")})
-    _finish(spark, streams.start, stream, writer, new_folder(spark, "checkpoint"))
-    sizes = read_table(spark, root, "admitted").groupBy("batch_id").count()
+    running = []
+    with _state_partitions(spark):
+        for lane in range(_flush_files(spark, sf_dir, folder)):
+            stream = files.message_stream(spark, f"{folder}/lane={lane}", max_files_per_trigger=1)
+            admitted = {"admitted": _admitted(lane)}
+            writer = streams.table_writer(root, admitted, writer=f"lane{lane}")
+            running.append(
+                streams.start(stream, writer, new_folder(spark, "checkpoint"), seconds=None)
+            )
+        for query in running:
+            query.awaitTermination()
+    sizes = read_table(spark, root, "admitted").groupBy("lane", "batch_id").count()
     return sizes.agg(
         F.sum("count").alias("messages"),
         F.count("*").alias("batches"),
@@ -327,6 +363,10 @@ def admitted_batches(spark, sf_dir):
     )
 
 
+def _admitted(lane):
+    return lambda batch: batch.select("partition", "offset", F.lit(lane).alias("lane"))
+
+
 def packet_files(spark, sf_dir):
     """Packets decoded on a stream into files, read back."""
     stream = _recorded(spark, byte_values(samples.packet_records(spark, sf_dir)), "packets")

@@ -8,6 +8,9 @@ Compaction gathers the committed folders of a day into few large files per table
 snapshot, the last number folded of each writer; a folded batch that is run again adds nothing.
 Folders that no commit names any more stay until `vacuum`, so that readers at work can finish.
 
+Snapshots lie in a folder of their own, so that a batch need not list the commits before it. (Roots that were
+begun without that folder have them among the commits.)
+
 Files are reached through the Hadoop file system of the root; a commit is created under another
 name and renamed, so it is either whole or not there. (While a batch's commit is replaced by that of a
 new run, there is a moment without either.)
@@ -22,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 COMMITS = "_commits"
+SNAPSHOTS = "_snapshots"
 SNAPSHOT = "snapshot"
 BATCH_COLUMN = "batch_id"
 FILE_BYTES = 128 << 20
@@ -80,13 +84,29 @@ def _commit_name(writer: str, batch_id: int) -> str:
 
 
 def _snapshots(files: _Files) -> list[str]:
-    return [n for n in files.names(COMMITS) if n.startswith(f"{SNAPSHOT}-")]
+    folder = _snapshot_folder(files)
+    return [f"{folder}/{n}" for n in files.names(folder) if n.startswith(f"{SNAPSHOT}-")]
+
+
+def _snapshot_folder(files: _Files) -> str:
+    return SNAPSHOTS if files.exists(SNAPSHOTS) else COMMITS
+
+
+def _make_folders(files: _Files) -> None:
+    if not files.exists(COMMITS):
+        files.make(SNAPSHOTS)
+        files.make(COMMITS)
+
+
+def _is_folded(files: _Files, batch_id: int, writer: str) -> bool:
+    snapshots = _snapshots(files)
+    return bool(snapshots) and batch_id <= files.read(snapshots[-1])["folded"].get(writer, -1)
 
 
 def _state(files: _Files) -> tuple[dict, dict[str, dict]]:
     """The last snapshot, and the commits that are not part of it by file name."""
     snapshots = _snapshots(files)
-    snapshot = files.read(f"{COMMITS}/{snapshots[-1]}") if snapshots else {"folded": {}, "tables": {}}
+    snapshot = files.read(snapshots[-1]) if snapshots else {"folded": {}, "tables": {}}
     commits = {}
     for name in files.names(COMMITS):
         if name.startswith((f"{SNAPSHOT}-", ".")):
@@ -108,12 +128,7 @@ def uses_commits(spark: SparkSession, root: str) -> bool:
 
 def is_committed(spark: SparkSession, root: str, batch_id: int, writer: str = "batch") -> bool:
     files = _Files(spark, root)
-    if files.exists(_commit_name(writer, batch_id)):
-        return True
-    snapshots = _snapshots(files)
-    if not snapshots:
-        return False
-    return batch_id <= files.read(f"{COMMITS}/{snapshots[-1]}")["folded"].get(writer, -1)
+    return files.exists(_commit_name(writer, batch_id)) or _is_folded(files, batch_id, writer)
 
 
 def write_tables(
@@ -129,9 +144,8 @@ def write_tables(
     folded is not written again.
     """
     files = _Files(spark, root)
-    files.make(COMMITS)
-    snapshots = _snapshots(files)
-    if snapshots and batch_id <= files.read(f"{COMMITS}/{snapshots[-1]}")["folded"].get(writer, -1):
+    _make_folders(files)
+    if _is_folded(files, batch_id, writer):
         return
     written = {}
     for table, rows in dict(tables).items():
@@ -216,7 +230,7 @@ def compact(spark: SparkSession, root: str, file_bytes: int = FILE_BYTES) -> dic
         target = f"{table}/day={day}/fold-{turn:06d}-{uuid.uuid4().hex[:8]}"
         rows.coalesce(wanted).write.parquet(f"{files.root}/{target}")
         tables[table]["folders"].append(target)
-    files.write(f"{COMMITS}/{SNAPSHOT}-{turn:06d}.json", {"folded": folded, "tables": tables})
+    files.write(f"{_snapshot_folder(files)}/{SNAPSHOT}-{turn:06d}.json", {"folded": folded, "tables": tables})
     return folded
 
 
@@ -237,10 +251,11 @@ def vacuum(spark: SparkSession, root: str) -> int:
                 if folder not in live:
                     files.delete(folder)
                     gone += 1
-    kept = set(commits) | set(_snapshots(files)[-1:])
-    for name in files.names(COMMITS):
-        if name not in kept:
-            files.delete(f"{COMMITS}/{name}")
+    kept = {f"{COMMITS}/{name}" for name in commits} | set(_snapshots(files)[-1:])
+    for folder in (COMMITS, SNAPSHOTS):
+        for name in files.names(folder):
+            if f"{folder}/{name}" not in kept:
+                files.delete(f"{folder}/{name}")
     return gone
 
 
