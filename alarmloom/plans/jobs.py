@@ -323,12 +323,17 @@ def _line_writer(job: str, root: str, replace: bool = False):
     return table_writer(root, tables, replace=replace)
 
 
+def _without_read_text(parsed: DataFrame) -> DataFrame:
+    """Only rejects keep their raw text; of the others the document is all that the tables read."""
+    return parsed.withColumn("value", F.when(F.col("reject_reason").isNotNull(), F.col("value")))
+
+
 def run_line_batch(
     job: str, lines: DataFrame, root: str, batch_id: int, mode: str = "reference"
 ) -> None:
     """One slice of a line format into its table, and what cannot be parsed."""
     parsed = _parsed_lines(job, lines, mode, "arrival")
-    _line_writer(job, root, replace=True)(parsed, batch_id)
+    _line_writer(job, root, replace=True)(_without_read_text(parsed), batch_id)
 
 
 def start_line_stream(
@@ -341,7 +346,7 @@ def start_line_stream(
     trigger_seconds: int | None = 8,
 ) -> StreamingQuery:
     """The same without end. There is no state and no shuffle."""
-    parsed = _parsed_lines(job, lines, mode, clock)
+    parsed = _without_read_text(_parsed_lines(job, lines, mode, clock))
     return start(parsed, _line_writer(job, root), checkpoint, seconds=trigger_seconds)
 
 

@@ -24,6 +24,8 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from alarmloom.session import staging
+
 COMMITS = "_commits"
 SNAPSHOTS = "_snapshots"
 SNAPSHOT = "snapshot"
@@ -265,20 +267,19 @@ def table_writer(
     writer: str = "batch",
     replace: bool = False,
 ) -> Callable[[DataFrame, int], None]:
-    """One stream into several tables that become visible together; the batch is kept while more than
-    one table reads it. A batch that is committed already is written again only if `replace`."""
+    """One stream into several tables that become visible together; the batch is staged while more than
+    one table reads it: files are read in splits and by column, where cached partitions are read whole. A
+    batch that is committed already is written again only if `replace`, one that is folded never."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if not replace and is_committed(spark, root, batch_id, writer):
+        files = _Files(spark, root)
+        if _is_folded(files, batch_id, writer):
             return
-        shared = len(tables) > 1
-        if shared:
-            batch.persist()
-        try:
-            write_tables(spark, root, batch_id, {t: make(batch) for t, make in tables.items()}, writer)
-        finally:
-            if shared:
-                batch.unpersist()
+        if not replace and files.exists(_commit_name(writer, batch_id)):
+            return
+        with staging(spark) as stage:
+            rows = stage(batch, "batch") if len(tables) > 1 else batch
+            write_tables(spark, root, batch_id, {t: make(rows) for t, make in tables.items()}, writer)
 
     return write

@@ -17,6 +17,7 @@ from alarmloom.session import new_folder
 from alarmloom.sources.files import text_lines
 
 EVENTS_PER_MESSAGE = 4
+EVENT_BYTES = 4 << 20
 
 _dumps: dict[tuple, str] = {}
 
@@ -56,10 +57,12 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table for encoding; stored in fewer splits than there are cores, it is spread out."""
+    """The table for encoding; stored in fewer splits than there are cores, or in splits of more than
+    EVENT_BYTES, it is spread out, because encoded records are many times as long."""
     events = read_events(spark, sf_dir)
-    cores = spark.sparkContext.defaultParallelism
-    return events if events.rdd.getNumPartitions() >= cores else events.repartition(cores)
+    length = _version(spark, sf_dir)[1]
+    parts = max(spark.sparkContext.defaultParallelism, -(-length // EVENT_BYTES))
+    return events if events.rdd.getNumPartitions() >= parts else events.repartition(parts)
 
 
 def _remainder(divisor: int, of: str = "event_id") -> Column:

@@ -70,3 +70,36 @@ def test_a_root_with_its_snapshots_among_the_commits_stays_readable(spark, tmp_p
     assert not (tmp_path / "t" / commits.SNAPSHOTS).exists()
     commits.vacuum(spark, root)
     assert commits.read_committed(spark, root, "a").count() == 6
+
+
+def test_tables_of_a_batch_share_staged_rows(spark, tmp_path, monkeypatch):
+    """Cached rows are read a whole partition at a time, files in splits."""
+    from pyspark.sql import DataFrame
+
+    def refused(self, *_):
+        raise AssertionError("kept in memory")
+
+    monkeypatch.setattr(DataFrame, "persist", refused)
+    root = str(tmp_path / "t")
+    made = {"even": lambda b: b.filter("id % 2 = 0"), "odd": lambda b: b.filter("id % 2 = 1")}
+    write = commits.table_writer(root, made)
+    write(spark.range(5), 0)
+    write(spark.range(5), 0)
+    assert commits.read_committed(spark, root, "even").count() == 3
+    commits.compact(spark, root)
+    again = commits.table_writer(root, made, replace=True)
+    monkeypatch.setattr(commits, "write_tables", refused)
+    again(spark.range(5), 0)
+    assert commits.read_committed(spark, root, "odd").count() == 2
+
+
+def test_encoding_spreads_with_the_table(spark, tmp_path, monkeypatch):
+    from alarmloom.sources import samples
+
+    folder = events_folder(spark, tmp_path / "in", 1000)
+    cores = spark.sparkContext.defaultParallelism
+    assert samples._events(spark, folder).rdd.getNumPartitions() == cores
+    length = samples._version(spark, folder)[1]
+    monkeypatch.setattr(samples, "EVENT_BYTES", length // (3 * cores))
+    assert samples._events(spark, folder).rdd.getNumPartitions() >= 3 * cores
+    assert samples._events(spark, folder).count() == 1000
