@@ -31,6 +31,9 @@ SNAPSHOTS = "_snapshots"
 SNAPSHOT = "snapshot"
 BATCH_COLUMN = "batch_id"
 FILE_BYTES = 128 << 20
+# Wide rows that compress well make small files of much work: a file has no more values than a task writes
+# in some ten seconds.
+FILE_VALUES = 40_000_000
 
 
 class _Files:
@@ -203,7 +206,9 @@ def read_committed(
     return rows if after is None else rows.filter(F.col(BATCH_COLUMN) > after)
 
 
-def compact(spark: SparkSession, root: str, file_bytes: int = FILE_BYTES) -> dict[str, int]:
+def compact(
+    spark: SparkSession, root: str, file_bytes: int = FILE_BYTES, file_values: int = FILE_VALUES
+) -> dict[str, int]:
     """Folds all committed batches into day partitions; returns the last number folded by writer.
 
     Rows keep their batch number. The snapshot that names the new folders is the commit: a run that
@@ -228,7 +233,8 @@ def compact(spark: SparkSession, root: str, file_bytes: int = FILE_BYTES) -> dic
     for (table, day), folders in by_day.items():
         layout = StructType.fromJson(json.loads(tables[table]["schema"]))
         rows = spark.read.schema(layout).parquet(*[f"{files.root}/{f}" for f in folders])
-        wanted = max(1, -(-sum(map(files.size, folders)) // file_bytes))
+        values = rows.count() * len(layout)
+        wanted = max(1, -(-sum(map(files.size, folders)) // file_bytes), -(-values // file_values))
         target = f"{table}/day={day}/fold-{turn:06d}-{uuid.uuid4().hex[:8]}"
         rows.coalesce(wanted).write.parquet(f"{files.root}/{target}")
         tables[table]["folders"].append(target)

@@ -103,3 +103,12 @@ def test_encoding_spreads_with_the_table(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(samples, "EVENT_BYTES", length // (3 * cores))
     assert samples._events(spark, folder).rdd.getNumPartitions() >= 3 * cores
     assert samples._events(spark, folder).count() == 1000
+
+
+def test_compaction_bounds_the_values_of_a_file(spark, tmp_path):
+    root = str(tmp_path / "t")
+    wide = spark.range(0, 800, 1, 8).select("id", *[F.lit("-1").alias(f"c{i}") for i in range(8)])
+    commits.write_tables(spark, root, 0, {"wide": wide})
+    commits.compact(spark, root, file_values=2000)
+    assert len(list((tmp_path / "t" / "wide").glob("day=*/fold-*/part-*"))) == 4
+    assert commits.read_committed(spark, root, "wide").count() == 800
