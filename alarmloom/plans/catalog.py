@@ -209,10 +209,11 @@ def _finish(spark, start, *arguments, **options):
 
 
 # The test events spread over 30 days: folders of 15 days, not of an hour. A part of the replay is as many
-# files as tasks read it; of the classified files a batch takes about as many as one part makes.
+# files as tasks read it, one per core or more; of the classified files a batch takes about as many as one
+# part makes.
 STREAM_SPAN = 15 * 86400
 STREAM_TASKS = 4
-STREAM_FILES = 40
+STREAM_FILES = 10
 
 
 def _late_stream(spark, sf_dir):
@@ -221,14 +222,15 @@ def _late_stream(spark, sf_dir):
     messages = samples.alarm_messages(spark, sf_dir).select(*MESSAGE_SCHEMA.names)
     late = F.col("offset") % 7 == 3
     folder, root = new_folder(spark, "messages"), new_folder(spark, "alarms")
+    tasks = max(STREAM_TASKS, spark.sparkContext.defaultParallelism)
     parts = [messages.filter(~late), messages.filter(late).unionByName(samples.flush_message(messages, WINDOW))]
     for part in parts:
-        part.repartition(STREAM_TASKS).write.mode("append").parquet(folder)
-    stream = files.message_stream(spark, folder, max_files_per_trigger=STREAM_TASKS)
+        part.repartition(tasks).write.mode("append").parquet(folder)
+    stream = files.message_stream(spark, folder, max_files_per_trigger=tasks)
     with _state_partitions(spark):
         for query in jobs.start_alarm_stream(
             stream, root, new_folder(spark, "checkpoint"), 2, WINDOW, clock="arrival",
-            trigger_seconds=None, span=STREAM_SPAN, files_per_trigger=STREAM_FILES,
+            trigger_seconds=None, span=STREAM_SPAN, files_per_trigger=STREAM_FILES * tasks,
         ):
             query.awaitTermination()
     jobs.reconcile_merged(spark, root, 0, 2, WINDOW, span=STREAM_SPAN)

@@ -112,3 +112,21 @@ def test_compaction_bounds_the_values_of_a_file(spark, tmp_path):
     commits.compact(spark, root, file_values=2000)
     assert len(list((tmp_path / "t" / "wide").glob("day=*/fold-*/part-*"))) == 4
     assert commits.read_committed(spark, root, "wide").count() == 800
+
+
+def test_a_part_of_the_replay_has_a_file_per_core(spark, tmp_path, monkeypatch):
+    class Stopped(Exception):
+        pass
+
+    seen = []
+
+    def stop(_, folder, max_files_per_trigger):
+        seen.append(max_files_per_trigger)
+        seen.append(spark.read.parquet(folder).select(F.input_file_name()).distinct().count())
+        raise Stopped
+
+    monkeypatch.setattr(catalog.files, "message_stream", stop)
+    with pytest.raises(Stopped):
+        catalog._late_stream(spark, events_folder(spark, tmp_path / "in", 8000))
+    cores = spark.sparkContext.defaultParallelism
+    assert seen[0] >= cores and seen[1] > cores
