@@ -19,6 +19,7 @@ table; extra columns are ignored.
 """
 
 from collections import Counter, defaultdict
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +41,7 @@ TERM_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b > 127 else 32 for b in range(256)
 )
 PREFIXES = "lang string, prefix binary, docs long"
-COUNTS = "lang string, source string, term binary, n long"
+COUNTS = "g long, term binary, n long"
 
 
 def terms_of(text: bytes | None) -> list[bytes]:
@@ -85,6 +86,8 @@ def prefix_documents(texts: DataFrame, length: int, before: int, alive: Filter |
     """(lang, prefix, docs): distinct documents of the prefixes of `length` bytes whose prefix of
     `before` bytes is alive. `texts`: lang, source, text."""
 
+    cut = itemgetter(slice(0, length))
+
     def count(batches):
         held, size = defaultdict(Counter), 0
 
@@ -94,8 +97,10 @@ def prefix_documents(texts: DataFrame, length: int, before: int, alive: Filter |
                 if alive is not None:
                     stays = alive(lang, [k[:before] for k in keys])
                     keys = [k for k, s in zip(keys, stays.tolist()) if s]
+                # What is shorter than the level is a whole term.
+                ended = [k if len(k) == length else k + END for k in keys]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(keys), pa.string()), pa.array(keys, pa.binary()),
+                    [pa.array([lang] * len(keys), pa.string()), pa.array(ended, pa.binary()),
                      pa.array([own[k] for k in keys], pa.int64())],
                     ["lang", "prefix", "docs"],
                 )
@@ -108,7 +113,7 @@ def prefix_documents(texts: DataFrame, length: int, before: int, alive: Filter |
                 terms = terms_of(text)
                 if before:
                     terms = [t for t in terms if len(t) >= before]
-                own.update({(t + END)[:length] for t in set(terms)})
+                own.update(set(map(cut, terms)))
                 size += len(own) - known
                 if size >= HELD:
                     yield from settle()
@@ -135,29 +140,33 @@ def kept_terms(texts: DataFrame, least: int = LEAST_DOCS) -> DataFrame:
 
 
 def term_counts(texts: DataFrame, kept: DataFrame) -> DataFrame:
-    """(lang, source, term, n): occurrences of the kept terms in each group."""
+    """(lang, source, term, n): occurrences of the kept terms in each group. Groups are counted by number."""
     wanted = prefix_filter(kept, kept.count())
+    numbered = texts.select("lang", "source").distinct().withColumn("g", F.monotonically_increasing_id())
+    numbered = stage(numbered, "audit-numbered")
+    told = texts.join(numbered, ["lang", "source"]).select("lang", "g", "text")
 
     def count(batches):
-        held, size = defaultdict(Counter), 0
+        held, size = defaultdict(lambda: defaultdict(Counter)), 0
 
         def settle():
-            for (lang, source), own in held.items():
-                keys = list(own)
+            # Each term of a language is looked up once, whatever number of its sources have it.
+            for lang, groups in held.items():
+                keys = list(set().union(*groups.values()))
                 stays = wanted(lang, [k + END for k in keys])
-                keys = [k for k, s in zip(keys, stays.tolist()) if s]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(keys), pa.string()),
-                     pa.array([source] * len(keys), pa.string()),
-                     pa.array(keys, pa.binary()),
-                     pa.array([own[k] for k in keys], pa.int64())],
-                    ["lang", "source", "term", "n"],
-                )
+                passed = {k for k, s in zip(keys, stays.tolist()) if s}
+                for g, own in groups.items():
+                    keys = [k for k in own if k in passed]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([g] * len(keys), pa.int64()), pa.array(keys, pa.binary()),
+                         pa.array([own[k] for k in keys], pa.int64())],
+                        ["g", "term", "n"],
+                    )
             held.clear()
 
         for batch in batches:
-            for lang, source, text in zip(*[c.to_pylist() for c in batch.columns]):
-                own = held[lang, source]
+            for lang, g, text in zip(*[c.to_pylist() for c in batch.columns]):
+                own = held[lang][g]
                 known = len(own)
                 own.update(terms_of(text))
                 size += len(own) - known
@@ -168,8 +177,8 @@ def term_counts(texts: DataFrame, kept: DataFrame) -> DataFrame:
 
     # The filter may let a term pass that is not kept; the join leaves it out.
     terms = kept.select("lang", F.expr("substring(prefix, 1, octet_length(prefix) - 1)").alias("term"))
-    added = texts.mapInArrow(count, COUNTS).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
-    return added.join(terms, ["lang", "term"]).select(
+    added = told.mapInArrow(count, COUNTS).groupBy("g", "term").agg(F.sum("n").alias("n"))
+    return added.join(numbered, "g").join(terms, ["lang", "term"]).select(
         "lang", "source", F.col("term").cast("string").alias("term"), "n"
     )
 
