@@ -265,6 +265,8 @@ def pieces(
                 held = 0
         yield settle()
         if not remember:
+            # Nothing may hold the words any more when memory is given back.
+            encode = None
             _ENCODERS.clear()
         common.release()
 
