@@ -172,7 +172,9 @@ def classify(alarms: DataFrame, generation: int = 2) -> DataFrame:
         OTHER
     )
     type_key = F.when(F.col("type_code").between(0, 15), F.col("type_code")).otherwise(OTHER)
-    coded = with_codes(alarms).withColumn("code_key", _code_key(module_key, type_key))
+    # Known to be never null: else Spark filters on the join key, and so walks every alarm once more.
+    code_key = F.coalesce(_code_key(module_key, type_key), F.lit(_code_key(OTHER, OTHER)))
+    coded = with_codes(alarms).withColumn("code_key", code_key)
     dimension = F.broadcast(_dimension(alarms.sparkSession, rows))
     alarm = F.col("alarm")
     description = F.call_function(

@@ -130,3 +130,14 @@ def test_a_part_of_the_replay_has_a_file_per_core(spark, tmp_path, monkeypatch):
         catalog._late_stream(spark, events_folder(spark, tmp_path / "in", 8000))
     cores = spark.sparkContext.defaultParallelism
     assert seen[0] >= cores and seen[1] > cores
+
+
+@pytest.mark.parametrize("keep_rejects", [False, True])
+def test_alarms_are_not_walked_by_a_filter_on_the_join_key(spark, messages, keep_rejects):
+    from alarmloom.plans import jobs
+
+    text = '{"basicMessageBasicList":[{"verifyFunctionModuleCode":6,"verifyTypeId":"x"},{"verifyFunctionModuleCode":null,"verifyTypeId":1}]}'
+    rows = jobs.classified_alarms(messages([(0, 0, 1, text)]), keep_rejects=keep_rejects)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Filter" in line and "BIGINT" in line]
+    assert rows.count() == (2 if keep_rejects else 1)
