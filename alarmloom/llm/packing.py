@@ -32,6 +32,9 @@ GROUP = 4096
 CELLS = 1 << 20
 SLICE = 4 << 20
 REMEMBERED = 800_000
+# Of an encoder that is not kept for other tasks: its arrays and words are to take little memory.
+SHORT_SLICE = 1 << 20
+FEW_REMEMBERED = 400_000
 TOGETHER = 4096
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
 # How the tokenizer splits text of ASCII characters, in lower case.
@@ -100,6 +103,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known, self.older, self.most, self.parted = {}, {}, most, {}
+        self.slice = SLICE
 
     def __call__(self, texts: list[bytes | None]) -> list[bytes]:
         gc.disable()  # nothing here is cyclic, and each collection would walk all known words
@@ -126,18 +130,17 @@ class Encoder:
             for part in self._parts(text):
                 held.append((number, part))
                 size += len(part)
-                if size >= SLICE:
+                if size >= self.slice:
                     settle()
                     size = 0
         settle()
         return out
 
-    @staticmethod
-    def _parts(text: bytes):
+    def _parts(self, text: bytes):
         """A long text in parts of about a slice, cut at blanks."""
         at = 0
-        while len(text) - at > SLICE:
-            end = text.find(b" ", at + SLICE)
+        while len(text) - at > self.slice:
+            end = text.find(b" ", at + self.slice)
             if end < 0:
                 break
             yield text[at:end]
@@ -232,12 +235,15 @@ def pieces(
 ) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids (little-endian unsigned 32-bit).
 
-    `docs`: id and text. Without `remember` a task forgets its words when it ends, for jobs that go on
-    in the same workers and need the memory.
+    `docs`: id and text. Without `remember` a task works in shorter slices, holds fewer words, and forgets
+    them when it ends, for jobs that go on in the same workers and need the memory.
     """
+    slice_ = SLICE if remember else SHORT_SLICE
 
     def cut(batches):
         encode = encoder(path)
+        if not remember:
+            encode.slice, encode.most = SHORT_SLICE, FEW_REMEMBERED
         end = np.array([separator], np.uint32).tobytes()
         docs_held, texts, held = [], [], 0
 
@@ -260,7 +266,7 @@ def pieces(
             docs_held += batch.column(0).to_pylist()
             texts += batch.column(1).to_pylist()
             held += batch.column(1).nbytes
-            if held >= SLICE:
+            if held >= slice_:
                 yield settle()
                 held = 0
         yield settle()

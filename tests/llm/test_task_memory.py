@@ -93,3 +93,30 @@ def test_a_packing_task_drops_its_words_before_it_gives_memory_back(spark, monke
     made = list(docs.function(iter([batch])))
     assert made[0].num_rows == 1
     assert alive == [False]
+
+
+def test_a_packing_task_that_forgets_works_in_short_slices(spark, monkeypatch):
+    class Docs(Rows):
+        columns = ["doc_id", "text"]
+
+        def select(self, *columns):
+            return self
+
+    def most(remember):
+        docs, sizes, made = Docs(), [], packing.Encoder(packing.vocabulary())
+        monkeypatch.setattr(packing, "encoder", lambda path: made)
+        own = made._encode
+        monkeypatch.setattr(made, "_encode", lambda texts: sizes.append(sum(map(len, texts))) or own(texts))
+        packing.pieces(docs, "vocabulary", remember=remember)
+        texts = [f"word{i % 50} and {i} more ".encode() * 2000 for i in range(150)]
+        batches = [
+            pa.RecordBatch.from_arrays([pa.array([i]), pa.array([t])], ["doc_id", "text"])
+            for i, t in enumerate(texts)
+        ]
+        found = pa.Table.from_batches(list(docs.function(iter(batches)))).to_pylist()
+        return max(sizes), made.most, found
+
+    short, long = most(False), most(True)
+    assert short[0] < 2 * packing.SHORT_SLICE < packing.SLICE < long[0] * 2
+    assert (short[1], long[1]) == (packing.FEW_REMEMBERED, packing.REMEMBERED)
+    assert short[2] == long[2]
