@@ -10,6 +10,9 @@ Each level is a pass over the texts. A task adds up its own documents first and
 filter of the prefixes that stayed, what has been discarded, before anything is shuffled. What the
 filter lets pass by mistake is counted and falls below the threshold by itself.
 
+For the occurrences in each group the texts are brought together by group first: a task that meets few
+groups adds up most of their counts itself. Spark splits what is large and joins what is small by bytes.
+
 Divergences are exact integers. For a pair of sources only the terms that both have are met, in a
 join by term; terms that one of them has, or none, are added from the histogram of its counts.
 
@@ -144,7 +147,8 @@ def term_counts(texts: DataFrame, kept: DataFrame) -> DataFrame:
     wanted = prefix_filter(kept, kept.count())
     numbered = texts.select("lang", "source").distinct().withColumn("g", F.monotonically_increasing_id())
     numbered = stage(numbered, "audit-numbered")
-    told = texts.join(numbered, ["lang", "source"]).select("lang", "g", "text")
+    # Rebalanced, not partitioned, by group: a large group is read by many tasks.
+    told = texts.join(numbered, ["lang", "source"]).select("lang", "g", "text").hint("rebalance", "g")
 
     def count(batches):
         held, size = defaultdict(lambda: defaultdict(Counter)), 0

@@ -18,3 +18,16 @@ def test_ends_of_terms_at_the_edges_of_a_level(spark):
     texts = spark.createDataFrame([("en", "s", b" ".join(words))] * 3, "lang string, source string, text binary")
     kept = {(bytes(r.prefix), r.docs) for r in divergence.kept_terms(texts).collect()}
     assert kept == {(w + b"\0", 3) for w in words}
+
+
+def test_texts_of_a_group_are_counted_together(spark):
+    sources = [f"s{i}" for i in range(4)]
+    rows = [("en", s, f"alpha beta {s}only alpha".encode()) for s in sources] * 8
+    texts = spark.createDataFrame(rows, "lang string, source string, text binary").repartition(8)
+    kept = divergence.kept_terms(texts)
+    counts = divergence.term_counts(texts, kept)
+    assert "REBALANCE" in counts._jdf.queryExecution().executedPlan().toString()
+    found = {(r.source, r.term): r.n for r in counts.collect()}
+    # Digits part terms: "s0only" has "s" and "only".
+    each = {"alpha": 16, "beta": 8, "s": 8, "only": 8}
+    assert found == {(s, t): n for s in sources for t, n in each.items()}
