@@ -12,6 +12,12 @@ filter lets pass by mistake is counted and falls below the threshold by itself.
 
 For the occurrences in each group the texts are brought together by group first: a task that meets few
 groups adds up most of their counts itself. Spark splits what is large and joins what is small by bytes.
+Their counts are dealt out once, by term: they are added, met with the kept terms and summed over the
+language where they lie. From there on a term goes by its number.
+
+A task reads its texts in slices of about 1 MB and finds where terms start and end in all bytes of a slice
+at once. The first 8 bytes of a term are one number; prefixes and terms up to that length are counted as
+numbers, longer ones as bytes.
 
 Divergences are exact integers. For a pair of sources only the terms that both have are met, in a
 join by term; terms that one of them has, or none, are added from the histogram of its counts.
@@ -22,7 +28,7 @@ table; extra columns are ignored.
 """
 
 from collections import Counter, defaultdict
-from operator import itemgetter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +42,8 @@ LEAST_DOCS = 3
 FIRST_LEVEL = 8
 LONGER = 3
 HELD = 400_000
+SLICE = 1 << 20
+WORD = 8
 MOST_TERMS = 200
 BLOCK = 256
 END = b"\0"
@@ -44,11 +52,108 @@ TERM_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b > 127 else 32 for b in range(256)
 )
 PREFIXES = "lang string, prefix binary, docs long"
-COUNTS = "g long, term binary, n long"
-
-
-def terms_of(text: bytes | None) -> list[bytes]:
-    return (text or b"").translate(TERM_BYTES).split()
+COUNTS = "lang string, g long, term binary, n long"
+# One product below stays a 64-bit integer up to this count.
+MOST_PLAIN = 9_000_000_000
+
+
+def slices(batches, columns: int) -> Iterator[list[list]]:
+    """The columns of the batches as lists, some SLICE bytes of text (the last column, without nulls) at a time."""
+    for batch in batches:
+        lists = [batch.column(i).to_pylist() for i in range(columns)]
+        lists[-1] = [text or b"" for text in lists[-1]]
+        first, size = 0, 0
+        for at, text in enumerate(lists[-1], 1):
+            size += len(text)
+            if size >= SLICE or at == batch.num_rows:
+                yield [values[first:at] for values in lists]
+                first, size = at, 0
+
+
+def spans(texts: list[bytes], least: int = 1) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+    """The terms of `least` bytes or more: all bytes, where each term starts and ends, and the place of its text."""
+    data = b"".join([text + b" " for text in texts]).translate(TERM_BYTES)
+    ends = np.flatnonzero(np.frombuffer(data, np.uint8) == 32)
+    starts = np.zeros_like(ends)
+    starts[1:] = ends[:-1] + 1
+    found = ends - starts >= least
+    starts, ends = starts[found], ends[found]
+    behind = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+    owners = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(starts, behind), prepend=0))
+    return data, starts, ends, owners
+
+
+def words_at(data: bytes, starts: np.ndarray, ends: np.ndarray, length: int = WORD) -> np.ndarray:
+    """The first `length` bytes (at most 8) of each term as a number, with zeros behind a shorter term."""
+    at = np.ndarray(len(data), ">u8", data + bytes(WORD), strides=(1,))
+    unused = (8 * (WORD - np.minimum(ends - starts, length))).astype(np.uint64)
+    return at[starts].astype(np.uint64) >> unused << unused
+
+
+def word_bytes(words: np.ndarray, ended_below: int = 0) -> pa.Array:
+    """The words as bytes; those shorter than `ended_below` get the end of a term."""
+    own = np.zeros((len(words), WORD + 1), np.uint8)
+    own[:, :WORD] = words.astype(">u8").view(np.uint8).reshape(-1, WORD)
+    lengths = (own != 0).sum(axis=1)
+    lengths += lengths < ended_below
+    offsets = np.zeros(len(words) + 1, np.int32)
+    np.cumsum(lengths, out=offsets[1:])
+    data = own[np.arange(WORD + 1) < lengths[:, None]]
+    return pa.Array.from_buffers(pa.binary(), len(words), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each run of equal values starts, and how long it is."""
+    firsts = np.flatnonzero(np.r_[True, values[1:] != values[:-1]]) if len(values) else np.zeros(0, np.int64)
+    return firsts, np.diff(firsts, append=len(values))
+
+
+class Tally:
+    """Counts of words by unit: a language, or a group."""
+
+    def __init__(self):
+        self.held, self.size = defaultdict(list), 0
+
+    def add(self, units: list, owners: np.ndarray, words: np.ndarray, once: bool) -> None:
+        """Words of the texts `owners`, whose units are given by text. `once`: a text counts a word once."""
+        if not len(words):
+            return
+        number = {unit: i for i, unit in enumerate(dict.fromkeys(units))}
+        coded = pa.array(words).dictionary_encode()
+        known, texts = coded.dictionary.to_numpy(), len(units)
+        codes = np.array([number[u] for u in units])[owners] * len(known) + coded.indices.to_numpy()
+        if once:
+            codes = codes * texts + owners
+            codes.sort()
+            codes = codes[_runs(codes)[0]] // texts
+        else:
+            codes.sort()
+        firsts, counts = _runs(codes)
+        codes = codes[firsts]
+        bounds = np.searchsorted(codes, np.arange(len(number) + 1) * len(known)).tolist()
+        for unit, i in number.items():
+            a, b = bounds[i], bounds[i + 1]
+            if a < b:
+                self.held[unit].append((known[codes[a:b] % len(known)], counts[a:b]))
+        self.size += len(codes)
+
+    def merge(self) -> None:
+        """Adds up what is held of the same word."""
+        self.size = 0
+        for unit, parts in self.held.items():
+            words, counts = (np.concatenate(column) for column in zip(*parts))
+            order = np.argsort(words)
+            words, counts = words[order], counts[order]
+            firsts, _ = _runs(words)
+            self.held[unit] = [(words[firsts], np.add.reduceat(counts, firsts))]
+            self.size += len(firsts)
+
+    def settle(self) -> Iterator[tuple]:
+        """(unit, words, counts), each word once and in order, and holds nothing after."""
+        self.merge()
+        held, self.held, self.size = self.held, defaultdict(list), 0
+        for unit, ((words, counts),) in held.items():
+            yield unit, words, counts
 
 
 class Filter:
@@ -89,9 +194,29 @@ def prefix_documents(texts: DataFrame, length: int, before: int, alive: Filter |
     """(lang, prefix, docs): distinct documents of the prefixes of `length` bytes whose prefix of
     `before` bytes is alive. `texts`: lang, source, text."""
 
-    cut = itemgetter(slice(0, length))
+    def counts_of(lang, keys, docs):
+        return pa.RecordBatch.from_arrays(
+            [pa.array([lang] * len(keys), pa.string()), keys, pa.array(docs, pa.int64())],
+            ["lang", "prefix", "docs"],
+        )
 
-    def count(batches):
+    def count_words(batches):
+        held = Tally()
+
+        def settle():
+            for lang, words, docs in held.settle():
+                yield counts_of(lang, word_bytes(words, length), docs)
+
+        for langs, _, own in slices(batches, 3):
+            data, starts, ends, owners = spans(own)
+            held.add(langs, owners, words_at(data, starts, ends, length), once=True)
+            if held.size >= HELD:
+                held.merge()
+                if held.size >= HELD // 2:
+                    yield from settle()
+        yield from settle()
+
+    def count_bytes(batches):
         held, size = defaultdict(Counter), 0
 
         def settle():
@@ -102,32 +227,30 @@ def prefix_documents(texts: DataFrame, length: int, before: int, alive: Filter |
                     keys = [k for k, s in zip(keys, stays.tolist()) if s]
                 # What is shorter than the level is a whole term.
                 ended = [k if len(k) == length else k + END for k in keys]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(keys), pa.string()), pa.array(ended, pa.binary()),
-                     pa.array([own[k] for k in keys], pa.int64())],
-                    ["lang", "prefix", "docs"],
-                )
+                yield counts_of(lang, pa.array(ended, pa.binary()), [own[k] for k in keys])
             held.clear()
 
-        for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
+        for langs, _, read in slices(batches, 3):
+            # A term shorter than `before` was complete, and settled, a level ago.
+            data, starts, ends, owners = spans(read, max(before, 1))
+            until = np.minimum(ends, starts + length)
+            cut = [data[a:b] for a, b in zip(starts.tolist(), until.tolist())]
+            bounds = np.searchsorted(owners, np.arange(len(langs) + 1)).tolist()
+            for lang, a, b in zip(langs, bounds, bounds[1:]):
                 own, known = held[lang], len(held[lang])
-                # A term shorter than `before` was complete, and settled, a level ago.
-                terms = terms_of(text)
-                if before:
-                    terms = [t for t in terms if len(t) >= before]
-                own.update(set(map(cut, terms)))
+                own.update(set(cut[a:b]))
                 size += len(own) - known
                 if size >= HELD:
                     yield from settle()
                     size = 0
         yield from settle()
 
+    count = count_words if alive is None and length <= WORD else count_bytes
     return texts.mapInArrow(count, PREFIXES).groupBy("lang", "prefix").agg(F.sum("docs").alias("docs"))
 
 
 def kept_terms(texts: DataFrame, least: int = LEAST_DOCS) -> DataFrame:
-    """(lang, prefix, docs) of the terms, with their end, that `least` documents or more have."""
+    """(lang, prefix, docs, t) of the terms, with their end, that `least` documents or more have; t numbers them."""
     kept, alive, before, length = None, None, 0, FIRST_LEVEL
     while True:
         found = prefix_documents(texts, length, before, alive).filter(F.col("docs") >= least)
@@ -138,59 +261,98 @@ def kept_terms(texts: DataFrame, least: int = LEAST_DOCS) -> DataFrame:
         open_ = found.filter(~complete)
         left = open_.count()
         if not left:
-            return stage(kept, "iceberg-kept")
+            return stage(kept.withColumn("t", F.monotonically_increasing_id()), "iceberg-kept")
         alive, before, length = prefix_filter(open_, left), length, length * LONGER
 
 
-def term_counts(texts: DataFrame, kept: DataFrame) -> DataFrame:
-    """(lang, source, term, n): occurrences of the kept terms in each group. Groups are counted by number."""
+def group_numbers(texts: DataFrame) -> DataFrame:
+    """(lang, source, g): the groups, numbered."""
+    groups = texts.select("lang", "source").distinct().withColumn("g", F.monotonically_increasing_id())
+    return stage(groups, "audit-numbered")
+
+
+def term_counts(texts: DataFrame, kept: DataFrame, numbered: DataFrame | None = None) -> DataFrame:
+    """(lang, source, g, t, term, n, lang_n, groups): occurrences of the kept terms in each group and in its
+    language, and how many groups have the term. `numbered`: the groups of `texts` by number."""
     wanted = prefix_filter(kept, kept.count())
-    numbered = texts.select("lang", "source").distinct().withColumn("g", F.monotonically_increasing_id())
-    numbered = stage(numbered, "audit-numbered")
+    numbered = group_numbers(texts) if numbered is None else numbered
     # Rebalanced, not partitioned, by group: a large group is read by many tasks.
     told = texts.join(numbered, ["lang", "source"]).select("lang", "g", "text").hint("rebalance", "g")
 
     def count(batches):
-        held, size = defaultdict(lambda: defaultdict(Counter)), 0
+        # Terms of up to 8 bytes wait as numbers, longer ones as bytes.
+        short, long, size = Tally(), defaultdict(Counter), 0
+
+        def counts_of(unit, keys, n):
+            lang, g = unit
+            return pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(keys), pa.string()), pa.array([g] * len(keys), pa.int64()),
+                 keys, pa.array(n, pa.int64())],
+                ["lang", "g", "term", "n"],
+            )
 
         def settle():
             # Each term of a language is looked up once, whatever number of its sources have it.
-            for lang, groups in held.items():
-                keys = list(set().union(*groups.values()))
+            by_lang = defaultdict(list)
+            for unit, words, n in short.settle():
+                by_lang[unit[0]].append((unit, words, n))
+            for lang, groups in by_lang.items():
+                words = np.unique(np.concatenate([own for _, own, _ in groups]))
+                stays = wanted(lang, [k + END for k in word_bytes(words).to_pylist()])
+                for unit, own, n in groups:
+                    passed = stays[np.searchsorted(words, own)]
+                    yield counts_of(unit, word_bytes(own[passed]), n[passed])
+            by_lang = defaultdict(list)
+            for unit in long:
+                by_lang[unit[0]].append(unit)
+            for lang, units in by_lang.items():
+                keys = list(set().union(*[long[unit] for unit in units]))
                 stays = wanted(lang, [k + END for k in keys])
                 passed = {k for k, s in zip(keys, stays.tolist()) if s}
-                for g, own in groups.items():
+                for unit in units:
+                    own = long[unit]
                     keys = [k for k in own if k in passed]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([g] * len(keys), pa.int64()), pa.array(keys, pa.binary()),
-                         pa.array([own[k] for k in keys], pa.int64())],
-                        ["g", "term", "n"],
-                    )
-            held.clear()
-
-        for batch in batches:
-            for lang, g, text in zip(*[c.to_pylist() for c in batch.columns]):
-                own = held[lang][g]
-                known = len(own)
-                own.update(terms_of(text))
+                    yield counts_of(unit, pa.array(keys, pa.binary()), [own[k] for k in keys])
+            long.clear()
+
+        for langs, groups, read in slices(batches, 3):
+            units = list(zip(langs, groups))
+            data, starts, ends, owners = spans(read)
+            brief = ends - starts <= WORD
+            short.add(units, owners[brief], words_at(data, starts[brief], ends[brief]), once=False)
+            starts, ends, owners = starts[~brief], ends[~brief], owners[~brief]
+            terms = [data[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
+            bounds = np.searchsorted(owners, np.arange(len(units) + 1)).tolist()
+            for unit, a, b in zip(units, bounds, bounds[1:]):
+                own, known = long[unit], len(long[unit])
+                own.update(terms[a:b])
                 size += len(own) - known
-                if size >= HELD:
+            if short.size + size >= HELD:
+                short.merge()
+                if short.size + size >= HELD // 2:
                     yield from settle()
                     size = 0
         yield from settle()
 
-    # The filter may let a term pass that is not kept; the join leaves it out.
-    terms = kept.select("lang", F.expr("substring(prefix, 1, octet_length(prefix) - 1)").alias("term"))
-    added = told.mapInArrow(count, COUNTS).groupBy("g", "term").agg(F.sum("n").alias("n"))
-    return added.join(numbered, "g").join(terms, ["lang", "term"]).select(
-        "lang", "source", F.col("term").cast("string").alias("term"), "n"
+    # The filter may let a term pass that is not kept; the join leaves it out. The term comes first: it
+    # tells rows apart in a sort where the language seldom does.
+    terms = kept.select(F.expr("substring(prefix, 1, octet_length(prefix) - 1)").alias("term"), "lang", "t")
+    dealt = told.mapInArrow(count, COUNTS).repartition("term", "lang")
+    added = dealt.groupBy("g", "term", "lang").agg(F.sum("n").alias("n"))
+    of_term = Window.partitionBy("term", "lang")
+    met = added.join(terms, ["term", "lang"]).select(
+        "g", "t", F.col("term").cast("string").alias("term"), "n",
+        F.sum("n").over(of_term).alias("lang_n"), F.count("*").over(of_term).alias("groups"),
     )
+    return met.join(numbered, "g").select("lang", "source", "g", "t", "term", "n", "lang_n", "groups")
 
 
 def _share(n: Column, total: Column, kept: Column) -> Column:
-    """1 + floor(10^9 (n + 1) / (total + kept)), in decimals so that no product overflows."""
+    """1 + floor(10^9 (n + 1) / (total + kept)), for large counts in decimals so that no product overflows."""
+    plain = F.call_function("div", F.lit(1_000_000_000).cast("long") * (n + 1), total + kept)
     above = F.lit(1_000_000_000).cast("decimal(18,0)") * (n + 1).cast("decimal(19,0)")
-    return F.call_function("div", above, (total + kept).cast("decimal(19,0)")) + 1
+    wide = F.call_function("div", above, (total + kept).cast("decimal(19,0)"))
+    return F.when(n < MOST_PLAIN, plain).otherwise(wide) + 1
 
 
 def _apart(p: Column, q: Column) -> Column:
@@ -218,52 +380,49 @@ def audit(
         F.coalesce(F.col(text_col), empty).cast("binary").alias("text"),
     )
     kept = kept_terms(texts, least)
-    counts = stage(term_counts(texts, kept), "audit-counts")
+    numbered = group_numbers(texts)
+    counts = stage(term_counts(texts, kept, numbered).drop("lang", "source"), "audit-counts")
 
-    totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count("*").alias("own"))
+    totals = counts.groupBy("g").agg(F.sum("n").alias("total"), F.count("*").alias("own"))
     of_lang = kept.groupBy("lang").agg(F.count("*").alias("kept"))
     zero = F.lit(0).cast("long")
     groups = (
-        texts.select("lang", "source").distinct()
-        .join(totals, ["lang", "source"], "left")
+        numbered.join(totals, "g", "left")
         .join(of_lang, "lang", "left")
-        .select("lang", "source", F.coalesce("total", zero).alias("total"),
+        .select("lang", "source", "g", F.coalesce("total", zero).alias("total"),
                 F.coalesce("own", zero).alias("own"), F.coalesce("kept", zero).alias("kept"))
-        .withColumn("g", F.monotonically_increasing_id())
         # The share of a term that the group does not have.
         .withColumn("p0", F.when(F.col("kept") > 0, _share(zero, F.col("total"), F.col("kept"))))
     )
     groups = stage(groups, "audit-groups")
     lang_totals = groups.groupBy("lang").agg(F.sum("total").alias("lang_total"))
-    # A term that many groups have is met block by block.
-    terms = counts.groupBy("lang", "term").agg(
-        F.sum("n").alias("lang_n"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")
-    )
-    terms = terms.join(lang_totals, "lang")
-    rated = (
-        counts.join(terms, ["lang", "term"])
-        .join(groups, ["lang", "source"])
-        .select("lang", "source", "g", "term", "n", "blocks", "p0",
-                _share(F.col("n"), F.col("total"), F.col("kept")).alias("p"),
-                _share(F.col("lang_n"), F.col("lang_total"), F.col("kept")).alias("q"))
+    rated = counts.join(groups.join(lang_totals, "lang"), "g").select(
+        "g", "t", "term", "p0",
+        # A term that many groups have is met block by block.
+        F.ceil(F.col("groups") / BLOCK).cast("int").alias("blocks"),
+        _share(F.col("n"), F.col("total"), F.col("kept")).alias("p"),
+        _share(F.col("lang_n"), F.col("lang_total"), F.col("kept")).alias("q"),
     )
     rated = stage(rated, "audit-rated")
-    return _term_part(rated, most_terms).unionByName(_pair_part(groups, rated))
+    return _term_part(groups, rated, most_terms).unionByName(_pair_part(groups, rated))
+
+
+def _ranked(rows: DataFrame, of: str) -> DataFrame:
+    """`rank` among the rows of the same `of`, from 1."""
+    order = Window.partitionBy(of).orderBy(F.desc("value"), "item")
+    return rows.withColumn("rank", F.row_number().over(order))
 
 
-def _ranked(rows: DataFrame, part: str, most: int | None = None) -> DataFrame:
-    order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
-    ranked = rows.withColumn("rank", F.row_number().over(order))
-    if most is not None:
-        ranked = ranked.filter(F.col("rank") <= most)
-    return ranked.select("lang", "source", F.lit(part).alias("part"), "item", "value", "rank")
+def _part(rows: DataFrame, part: str) -> DataFrame:
+    return rows.select("lang", "source", F.lit(part).alias("part"), "item", "value", "rank")
 
 
-def _term_part(rated: DataFrame, most: int) -> DataFrame:
+def _term_part(groups: DataFrame, rated: DataFrame, most: int) -> DataFrame:
     above = rated.filter(F.col("p") > F.col("q")).select(
-        "lang", "source", F.col("term").alias("item"), _apart(F.col("p"), F.col("q")).alias("value")
+        "g", F.col("term").alias("item"), _apart(F.col("p"), F.col("q")).alias("value")
     )
-    return _ranked(above, "term", most)
+    first = _ranked(above, "g").filter(F.col("rank") <= most)
+    return _part(first.join(groups.select("lang", "source", "g"), "g"), "term")
 
 
 def _pair_part(groups: DataFrame, rated: DataFrame) -> DataFrame:
@@ -271,13 +430,13 @@ def _pair_part(groups: DataFrame, rated: DataFrame) -> DataFrame:
     plus the sums of f(ps, t0) and f(s0, pt) over each one's terms, plus f(s0, t0) for the terms that
     are in neither's; s0 and t0 are the shares of an absent term."""
     block = F.pmod(F.xxhash64("g"), F.col("blocks")).cast("int")
-    x = rated.select("lang", "term", block.alias("block"), F.col("g").alias("s"),
+    x = rated.select(F.col("t").alias("number"), block.alias("block"), F.col("g").alias("s"),
                      F.col("p").alias("ps"), F.col("p0").alias("s0"))
-    y = rated.select("lang", "term", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
+    y = rated.select(F.col("t").alias("number"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
                      F.col("g").alias("t"), F.col("p").alias("pt"), F.col("p0").alias("t0"))
     ps, s0, pt, t0 = (F.col(c) for c in ("ps", "s0", "pt", "t0"))
     met = (
-        x.join(y, ["lang", "term", "block"])
+        x.join(y, ["number", "block"])
         .filter("s < t")
         .groupBy("s", "t")
         .agg(
@@ -291,10 +450,11 @@ def _pair_part(groups: DataFrame, rated: DataFrame) -> DataFrame:
         met.select(F.col("t").alias("s"), F.col("s").alias("t"), "ts", "both")
     )
     # How often each share occurs in a group: a few hundred values, whatever the number of terms.
-    histogram = stage(rated.groupBy("lang", "g", "p", "p0").count(), "audit-histogram")
+    histogram = stage(rated.groupBy("g", "p", "p0").count(), "audit-histogram")
     other = groups.select("lang", F.col("g").alias("o"), F.col("p0").alias("o0"))
     alone = (
-        histogram.join(other, "lang")
+        histogram.join(groups.select("lang", "g"), "g")
+        .join(other, "lang")
         .filter("g <> o")
         .groupBy("g", "o")
         .agg(
@@ -321,9 +481,9 @@ def _pair_part(groups: DataFrame, rated: DataFrame) -> DataFrame:
         .join(both, ["s", "t"], "left")
         .join(alone.select(F.col("g").alias("s"), F.col("o").alias("t"), "over"), ["s", "t"], "left")
         .join(alone.select(F.col("g").alias("t"), F.col("o").alias("s"), "under"), ["s", "t"], "left")
-        .select("lang", "source", "item", F.when(F.col("kept") > 0, value).otherwise(zero).alias("value"))
+        .select("lang", "source", "s", "item", F.when(F.col("kept") > 0, value).otherwise(zero).alias("value"))
     )
-    return _ranked(pairs, "pair")
+    return _part(_ranked(pairs, "s"), "pair")
 
 
 def op12_source_divergence_audit(spark, sf_dir):
